@@ -81,23 +81,22 @@ def ascii_lower(c: Column) -> Column:
 
 
 def salted_rank(
-    df: DataFrame, keys: list[str], order: list[Column], salt_of: Column, out: str, salts: int = 64
+    df: DataFrame, keys: list[str], order: list[Column], salt_of: Column, out: str, salts: int = 256, of_key: DataFrame | None = None
 ) -> DataFrame:
-    """Adds ``out``: a rank from 0, without gaps, within equal ``keys``.
+    """Adds ``out``: a rank from 0, without gaps, within equal ``keys``; and the columns of ``of_key``, a frame by keys.
 
     A key is split into ``salts`` parts by ``salt_of``; each part is ranked on
     its own and begins where the parts before it end. So no task needs all rows
     of a key, and only ``salts`` counts per key are shuffled besides the rows.
-    Null keys are a key of their own.
+    Keys and salt must not be null.
     """
-    s, at, before = fresh(df, "salt"), fresh(df, "at"), fresh(df, "before")
+    s, at, before = "salt__", "at__", "before__"
     parted = df.withColumn(s, F.pmod(salt_of, F.lit(salts)).cast("int"))
     counts = parted.groupBy(*keys, s).agg(F.count(F.lit(1)).alias(before))
     w = Window.partitionBy(*keys).orderBy(s).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn(before, F.coalesce(F.sum(before).over(w), F.lit(0)))
+    if of_key is not None:
+        counts = counts.join(of_key, keys)
     ranked = parted.withColumn(at, F.row_number().over(Window.partitionBy(*keys, s).orderBy(*order)) - 1)
-    a, b = ranked.alias("a"), counts.alias("b")
-    on = F.lit(True)
-    for k in [*keys, s]:
-        on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    return a.join(b, on).select(*[F.col(f"a.{c}") for c in df.columns], (F.col(at) + F.col(before)).cast("long").alias(out))
+    both = ranked.join(counts, [*keys, s]).withColumn(out, (F.col(at) + F.col(before)).cast("long"))
+    return both.drop(s, at, before)

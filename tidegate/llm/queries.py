@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tidegate.llm import minhash
+from tidegate.llm import minhash, mixing, sharding
 
 QUERIES = {
+    "op3_sharding": sharding.query,
+    "op8_mixing": mixing.query,
     "op10_minhash": minhash.query,
 }
 
 ORACLES = {
+    "op3_sharding": sharding.ORACLE,
     "op10_minhash": minhash.ORACLE,
 }
