@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tidegate.llm import minhash, mixing, sharding
+from tidegate.llm import decontam, minhash, mixing, sharding
 
 QUERIES = {
     "op3_sharding": sharding.query,
+    "op6_decontam": decontam.query,
     "op8_mixing": mixing.query,
     "op10_minhash": minhash.query,
 }
 
 ORACLES = {
     "op3_sharding": sharding.ORACLE,
+    "op6_decontam": decontam.ORACLE,
     "op10_minhash": minhash.ORACLE,
 }
