@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidegate.llm import decontam, minhash, mixing, sharding
+from tidegate.llm import decontam, embedding, minhash, mixing, sharding
 
 QUERIES = {
+    "op1_embedding": embedding.query,
     "op3_sharding": sharding.query,
     "op6_decontam": decontam.query,
     "op8_mixing": mixing.query,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_embedding": embedding.ORACLE,
     "op3_sharding": sharding.ORACLE,
     "op6_decontam": decontam.ORACLE,
     "op10_minhash": minhash.ORACLE,
