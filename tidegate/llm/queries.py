@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidegate.llm import decontam, embedding, minhash, mixing, sharding
+from tidegate.llm import decontam, embedding, html, minhash, mixing, sharding
 
 QUERIES = {
     "op1_embedding": embedding.query,
     "op3_sharding": sharding.query,
     "op6_decontam": decontam.query,
+    "op7_html": html.query,
     "op8_mixing": mixing.query,
     "op10_minhash": minhash.query,
 }
@@ -16,5 +17,6 @@ ORACLES = {
     "op1_embedding": embedding.ORACLE,
     "op3_sharding": sharding.ORACLE,
     "op6_decontam": decontam.ORACLE,
+    "op7_html": html.ORACLE,
     "op10_minhash": minhash.ORACLE,
 }
