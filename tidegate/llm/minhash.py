@@ -1,11 +1,12 @@
 """MinHash near-duplicates: universal hash minima, banding, signature
 verification, exact confirmation and connected components.
 
-A bucket of a band isn't expanded into all its pairs. Each round compares one
-centre of every bucket, the member found in the largest buckets, with the other
-members; buckets whose members have come to one component need no more. What
-few rounds leave open is then compared pairwise, but only across components,
-so no link between different texts is lost.
+A bucket of a band isn't expanded into all its pairs. First one centre of every
+bucket, the member found in the largest buckets, is compared with the other
+members; buckets whose members have come to one component need no more. The
+rest is compared in blocks of bounded size, across components only, first by
+signature, then by full sets; a block returns one link a member, not its
+pairs. So no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ SHINGLE = 5
 #: 32 bands of 5 minima: a pair at similarity 0.80 is missed with probability
 #: 3e-6, at 0.85 with 7e-9.
 BANDS, ROWS = 32, 5
-#: Centres tried before the rest of a bucket is compared pairwise.
-STAR_ROUNDS = 3
+#: Members of a bucket compared at once; two blocks meet in one group.
+BLOCK = 256
 #: Signatures may fall short of the threshold by so many standard errors
 #: before a pair is refused without comparing its full sets.
 SIGMAS = 5.0
@@ -116,7 +117,7 @@ def _sketcher(shingle: int, bands: int, rows: int, seed: int):
                     continue
                 d = xxhash.xxh3_128_digest(s.tobytes())
                 sig = minima(s, a, b)
-                out.append((i, len(s), int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), sig.tobytes(), band_keys(sig, bands, rows)))
+                out.append((i, len(s), int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), (sig & 0xFFFF).astype(np.uint16).tobytes(), band_keys(sig, bands, rows)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), _SKETCH.types, strict=True)], schema=_SKETCH)
 
@@ -128,13 +129,107 @@ def _like_signatures(least: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (2, 3))
             ok = (x == y).mean(axis=1) >= least
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
 
     return run
 
 
+def _near_pairs(g: pa.Table, least: float, percent: int, rows: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of a group's pairs, across its two blocks and components, that the signatures bear out.
+
+    A pair is taken in the first band that it shares.
+    """
+    sig = np.frombuffer(b"".join(g["sig"].to_pylist()), np.uint16).reshape(g.num_rows, -1)
+    n, comp, side = (g[c].to_numpy() for c in ("n", "comp", "side"))
+    within = g["p"][0] == g["q"][0]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    left = np.flatnonzero(side == 0)
+    right = left if within else np.flatnonzero(side == 1)
+    for at, i in enumerate(left):
+        js = right[at + 1 :] if within else right
+        js = js[(comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
+        if not len(js):
+            continue
+        same = sig[js] == sig[i]
+        ok = same.mean(axis=1) >= least
+        if ok.any():
+            first = same[ok].reshape(int(ok.sum()), -1, rows).all(axis=2).argmax(axis=1)
+            js = js[ok][first == band]
+            found.append((np.full(len(js), i), js))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole groups of rows sorted by (band, key, p, q)."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        if rest is not None:
+            t = pa.concat_tables([rest, t])
+        if not t.num_rows:
+            continue
+        k = np.stack([t[c].to_numpy() for c in ("band", "key", "p", "q")], axis=1)
+        starts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(axis=1))))
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield t.slice(a, b - a)
+        rest = t.slice(starts[-1]).combine_chunks()
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+_MET = ["band", "key", "p", "q", "side", "node", "n", "comp", "sig"]
+
+
+def _block_likely(least: float, percent: int, rows: int):
+    """Of each group, the members that the signatures give a partner."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _by_group(batches):
+            i, j = _near_pairs(g, least, percent, rows, g["band"][0].as_py())
+            if len(i):
+                yield from g.take(pa.array(np.union1d(i, j))).combine_chunks().to_batches()
+
+    return run
+
+
+def _block_links(least: float, percent: int, rows: int, shingle: int):
+    """Of each group with texts, links that the full sets bear out and that join its members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _WordHashes()
+        for g in _by_group(batches):
+            sets: dict[int, np.ndarray] = {}
+            top = list(range(g.num_rows))
+
+            def find(x: int, top=top) -> int:
+                while top[x] != x:
+                    top[x] = top[top[x]]
+                    x = top[x]
+                return x
+
+            out: list[tuple[int, int]] = []
+            for i, j in zip(*(x.tolist() for x in _near_pairs(g, least, percent, rows, g["band"][0].as_py())), strict=True):
+                if find(i) == find(j):
+                    continue
+                for x in (i, j):
+                    if x not in sets:
+                        sets[x] = shingle_set(g["text"][x].as_py(), words, shingle)
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    top[find(i)] = find(j)
+                    out.append((i, j))
+            if out:
+                node = g["node"].to_numpy()
+                i, j = (np.array(x) for x in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], names=["a", "b"])
+
+    return run
+
+
 def _like_sets(percent: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, last, mine = _WordHashes(), None, np.empty(0, np.uint64)
@@ -183,12 +278,11 @@ def minhash_components(
     held = scratch.keep(
         sketches.where("n_shingles > 0").join(reps, (F.col("node") == F.col("rep")) & (sketches.hi == reps.hi) & (sketches.lo == reps.lo)).groupBy("node", "n").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     )
-    keys = held.select(F.explode("bands").alias("key"), "node", "n")
+    keys = held.select(F.posexplode("bands").alias("band", "key"), "node", "n")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = scratch.keep(keys.join(sizes, "key"))
     popular = shared.groupBy("node").agg(F.sum("size").alias("pop"))
-    buckets = scratch.keep(shared.join(popular, "node").select("key", "node", "n", "pop"))
-    scratch.drop(shared)
+    buckets = scratch.keep(shared.join(popular, "node").select("band", "key", "node", "n", "pop"))
 
     # ids that stand in several classes are one vertex
     twice = sketches.where("n_shingles > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("node")
@@ -198,49 +292,39 @@ def minhash_components(
 
     least = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b), those that the signatures and then the full sets bear out."""
-        sig = held.select("node", "sig")
-        x = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
-        likely = scratch.keep(x.select("a", "b", "x", "y").mapInArrow(_like_signatures(least), "a long, b long"))
-        ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = src.where("text is not null").join(ends, "node", "left_semi").dropDuplicates(["node"])
-        texts = scratch.keep(texts)
-        y = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-        out = scratch.keep(y.select("a", "b", "x", "y").mapInArrow(_like_sets(percent, shingle), "a long, b long"))
-        scratch.drop(likely, texts)
-        return out
-
-    near = f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
-    comps = None
-    for r in range(STAR_ROUNDS + 1):
-        b = buckets.withColumn("comp", F.col("node")) if comps is None else buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        span = b.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(F.struct("pop", -F.col("node"))).alias("top")).where("lo <> hi")
-        centre = span.select("key", (-F.col("top.col2")).alias("centre"))
-        open_ = scratch.keep(b.join(centre, "key"))
-        if comps is not None:
-            scratch.drop(buckets)
-        if r < STAR_ROUNDS:
-            own = open_.where("node = centre").select("key", F.col("n").alias("cn"), F.col("comp").alias("cc"))
-            pairs = open_.join(own, "key").where(f"node <> centre and comp <> cc and 100 * least(n, cn) >= {percent} * greatest(n, cn)").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-        else:
-            x, y = open_.alias("a"), open_.alias("b")
-            pairs = x.join(y, F.col("a.key") == F.col("b.key")).where(f"a.node < b.node and a.comp <> b.comp and {near}").select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        pairs = scratch.keep(pairs.distinct())
-        if pairs.isEmpty() and r == STAR_ROUNDS:
-            break
-        edges.append(links(pairs))
-        everything = edges[0]
-        for e in edges[1:]:
-            everything = everything.union(e)
-        comps = connected_components(everything, scratch)
-        if r == STAR_ROUNDS:
-            break
-        # a centre has met all members of its bucket
-        buckets = scratch.keep(open_.where("node <> centre").select("key", "node", "n", "pop"))
-        scratch.drop(open_)
-        if buckets.isEmpty():
-            break
+    texts = src.where("text is not null")
+    sig = held.select("node", "sig")
+
+    # each bucket's centre with its other members
+    top = buckets.groupBy("key").agg(F.max(F.struct("pop", (-F.col("node")).alias("node"), "n")).alias("top"))
+    centre = top.select("key", (-F.col("top.node")).alias("a"), F.col("top.n").alias("an"))
+    pairs = buckets.join(centre, "key").where(f"node <> a and 100 * least(n, an) >= {percent} * greatest(n, an)").select("a", F.col("node").alias("b"))
+    pairs = scratch.keep(pairs.distinct())
+    x = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
+    likely = scratch.keep(x.select("a", "b", "x", "y").mapInArrow(_like_signatures(least), "a long, b long"))
+    ends = scratch.keep(texts.join(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    y = likely.join(ends.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(ends.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    edges.append(scratch.keep(y.select("a", "b", "x", "y").mapInArrow(_like_sets(percent, shingle), "a long, b long")))
+    scratch.drop(pairs, likely, ends)
+    comps = connected_components(edges[0].union(edges[1]), scratch)
+
+    # what isn't one component yet, in blocks
+    at = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    at = scratch.keep(at.select("band", "key", "node", "n", "comp"))
+    mixed = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    at2 = at.join(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key")
+    at2 = at2.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = at2.select("band", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "comp")
+    met = met.join(sig, "node").select(*_MET).repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
+    kind = "band int, key long, p int, q int, side int, node long, n long, comp long, sig binary"
+    maybe = scratch.keep(met.mapInArrow(_block_likely(least, percent, rows), kind))
+    ends = scratch.keep(texts.join(maybe.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    full = maybe.join(ends, "node").select(*_MET, "text").repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
+    edges.append(scratch.keep(full.mapInArrow(_block_links(least, percent, rows, shingle), "a long, b long")))
+    first = comps
+    comps = connected_components(edges[0].union(edges[1]).union(edges[2]), scratch)
+    scratch.drop(first, shared, buckets, held, at, maybe, ends, *edges)
+
     out = sketches.select("node", "n_shingles", "hi", "lo").join(classes.select("hi", "lo", "rep"), ["hi", "lo"], "left")
     out = out.withColumn("vertex", F.coalesce("rep", "node"))
     out = out.join(comps.select(F.col("node").alias("vertex"), "comp"), "vertex", "left")
