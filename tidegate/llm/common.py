@@ -64,7 +64,14 @@ class Scratch:
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that Python workers get: texts may be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

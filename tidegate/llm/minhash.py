@@ -31,7 +31,7 @@ BLOCK = 256
 #: Signatures may fall short of the threshold by so many standard errors
 #: before a pair is refused without comparing its full sets.
 SIGMAS = 5.0
-_WORDS_CACHED = 400_000
+_WORDS_CACHED = 150_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
