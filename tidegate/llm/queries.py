@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidegate.llm import decontam, embedding, html, minhash, mixing, sharding
+from tidegate.llm import decontam, embedding, html, minhash, mixing, quality, sharding
 
 QUERIES = {
     "op1_embedding": embedding.query,
+    "op2_quality": quality.query,
     "op3_sharding": sharding.query,
     "op6_decontam": decontam.query,
     "op7_html": html.query,
