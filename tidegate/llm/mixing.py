@@ -54,25 +54,24 @@ def targets(totals: dict[str | None, int], weights=WEIGHTS, share: float = SHARE
     return out
 
 
-def solve_rates(cells: DataFrame, goal: dict[str, float], most: int = 200) -> dict[str, float]:
+def solve_rates(cells: DataFrame, goal: dict[str, float], most: int = 50) -> dict[str, float]:
     """Rates by source key: Newton's method on the dual, one multiplier per source.
 
-    The gradient is tilted tokens less the target, the Hessian is diagonal:
-    the tilted tokens. Both are one distributed sum a step. A target of 0, or a
-    source without tokens, has rate 0.
+    Each step is one distributed sum over cells: the tilted tokens of each source,
+    the gradient's moving part and, constraints being of single sources, the
+    diagonal of the Hessian too. Steps solve log(tilted tokens) = log(target),
+    which is linear in the multiplier, so few are needed whatever the target. A
+    target of 0, or a source without tokens, has rate 0.
     """
-    spark = cells.sparkSession
     lam = {k: 0.0 for k, t in goal.items() if t > 0}
-    for _ in range(most):
-        if not lam:
-            break
-        now = spark.createDataFrame(list(lam.items()), "key string, lam double")
-        sums = cells.join(now, "key").groupBy("key").agg(F.sum(F.col("n") * F.col("size") * F.exp("lam")).alias("tokens"))
+    for _ in range(most if lam else 0):
+        now = F.map_from_arrays(F.lit(list(lam)), F.lit(list(lam.values())))
+        tilted = cells.select("key", (F.col("n") * F.col("size") * F.exp(now[F.col("key")])).alias("t"))
         worst = 0.0
-        for key, tokens in sums.toLocalIterator():
-            gradient = tokens - goal[key]
-            worst = max(worst, abs(gradient) / goal[key])
-            lam[key] -= max(-3.0, min(3.0, gradient / tokens))
+        for key, tokens in tilted.groupBy("key").agg(F.sum("t")).collect():  # one row per source
+            if key in lam:
+                worst = max(worst, abs(tokens / goal[key] - 1))
+                lam[key] -= math.log(tokens / goal[key])
         if worst < TOLERANCE:
             break
     return {k: math.exp(lam[k]) if k in lam else 0.0 for k in goal}
@@ -105,7 +104,7 @@ def mix(df: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE,
     rows = sized if sized is not None else df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id_col).alias("id"), key.alias("key"), size_of(F.col(text_col)).alias("size"))
     cells = scratch.keep(rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")))
     # one row per source: weights and targets are set per source by the caller
-    totals = {k: int(v) for k, v in cells.groupBy("key").agg(F.sum(F.col("n") * F.col("size"))).toLocalIterator()}
+    totals = {k: int(v) for k, v in cells.groupBy("key").agg(F.sum(F.col("n") * F.col("size"))).collect()}
     by_name = targets({None if k == "n" else k[1:]: v for k, v in totals.items()}, weights, share, cap)
     goal = {k: by_name[None if k == "n" else k[1:]] for k in totals}
     rates = solve_rates(cells, goal)
