@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegate.llm import decontam, embedding, html, lm, minhash, mixing, quality, sharding
+from tidegate.llm import chat, decontam, embedding, html, lm, minhash, mixing, quality, sharding
 
 QUERIES = {
     "op1_embedding": embedding.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_decontam": decontam.query,
     "op7_html": html.query,
     "op8_mixing": mixing.query,
+    "op9_chat": chat.query,
     "op10_minhash": minhash.query,
 }
 
@@ -20,5 +21,6 @@ ORACLES = {
     "op3_sharding": sharding.ORACLE,
     "op6_decontam": decontam.ORACLE,
     "op7_html": html.ORACLE,
+    "op9_chat": chat.ORACLE,
     "op10_minhash": minhash.ORACLE,
 }
