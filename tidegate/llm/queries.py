@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidegate.llm import chat, decontam, embedding, html, lm, minhash, mixing, quality, sharding
+from tidegate.llm import chat, decontam, embedding, html, lm, minhash, mixing, pii, quality, sharding
 
 QUERIES = {
     "op1_embedding": embedding.query,
     "op2_quality": quality.query,
     "op3_sharding": sharding.query,
+    "op4_pii": pii.query,
     "op5_lm": lm.query,
     "op6_decontam": decontam.query,
     "op7_html": html.query,
