@@ -69,21 +69,22 @@ def shard_of(key: Column, t: Tree) -> Column:
     return _choose(key, regions)
 
 
-def shard(df: DataFrame, t: Tree, grown: Tree | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: doc_id, size, text_crc32, law, shard, slot, grown_shard.
+def shard(df: DataFrame, t: Tree, grown: Tree | None = None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One row per row: doc_id, size, text_crc32, law, shard, slot, grown_shard; with ``carry`` also struct ``row``, the row itself.
 
     size: UTF-8 bytes of the text plus 8; a null text has 0 bytes and the CRC of
     none. slot counts a shard's rows from 0 without gaps. A null id is a key
     of its own, "null"; repeated rows fall into the same shard, in slots of
-    their own. Other columns aren't read; an empty table gives an empty one.
+    their own. Other columns aren't read unless carried; an empty table gives an
+    empty one.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = df.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    rows = df.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), *([F.struct(*df.columns).alias("row")] if carry else []))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     rows = rows.withColumn("shard", shard_of(key, t).cast("int"))
     ranked = salted_rank(rows, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.coalesce(F.col("doc_id"), F.lit(0)), "slot")
     new = shard_of(key, grown).cast("int") if grown else F.lit(None).cast("int")
-    return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", new.alias("grown_shard"))
+    return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", new.alias("grown_shard"), *(["row"] if carry else []))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
