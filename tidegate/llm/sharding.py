@@ -12,6 +12,8 @@ only, so rows go into the new shard or stay: no row moves between old shards.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,37 +38,33 @@ def grow(old: Tree, weight: float = 1.0) -> Tree:
     return {**old, f"region-of-{n}": {f"rack-of-{n}": {n: weight}}}
 
 
-def _draw(key: Column, name: str, weight: float) -> Column:
-    h = F.conv(F.substring(F.md5(F.concat(key, F.lit("/" + name))), 1, 13), 16, 10).cast("double")
-    return -F.log((h + 0.5) / float(2**52)) / F.lit(float(weight))
-
-
-def _choose(key: Column, children: list[tuple[str, float, Column]]) -> Column:
-    """The value of the child with the smallest draw (equal draws: the first by name)."""
-    if len(children) == 1:
-        return children[0][2]
-    draws = [F.struct(_draw(key, name, w), F.lit(i)) for i, (name, w, _) in enumerate(children)]
-    at = F.least(*draws)["col2"]
-    out = F.when(at == 0, children[0][2])
-    for i, (_, _, value) in enumerate(children[1:], 1):
-        out = out.when(at == i, value)
-    return out
-
-
 def shard_of(key: Column, t: Tree) -> Column:
-    """The shard of a string key. Children of weight 0 get nothing; a tree needs some weight."""
-    regions = []
+    """The shard of a string key. Children of weight 0 get nothing; a tree needs some weight.
+
+    Equal draws: the first child. The tree is a constant of the plan, a map from
+    node to children, so the plan doesn't grow with the shards.
+    """
+    nodes: dict[str, list[tuple[str, float, str]]] = {}
     for region, racks in t.items():
-        inner = []
         for rack, shards in racks.items():
-            leaves = [(f"shard{s}", w, F.lit(s)) for s, w in shards.items() if w > 0]
+            leaves = [(f"shard{s}", float(w), str(s)) for s, w in shards.items() if w > 0]
             if leaves:
-                inner.append((rack, sum(w for _, w, _ in leaves), _choose(key, leaves)))
-        if inner:
-            regions.append((region, sum(w for _, w, _ in inner), _choose(key, inner)))
-    if not regions:
+                nodes[f"/{region}/{rack}"] = leaves
+                nodes.setdefault(f"/{region}", []).append((rack, sum(w for _, w, _ in leaves), f"/{region}/{rack}"))
+        if f"/{region}" in nodes:
+            nodes.setdefault("", []).append((region, sum(w for _, w, _ in nodes[f"/{region}"]), f"/{region}"))
+    if not nodes:
         raise ValueError("the tree has no weight")
-    return _choose(key, regions)
+    children = F.from_json(F.lit(json.dumps({k: [{"name": n, "weight": w, "child": c} for n, w, c in v] for k, v in nodes.items()})), "map<string,array<struct<name:string,weight:double,child:string>>>")
+
+    def draw(c: Column, i: Column) -> Column:
+        h = F.conv(F.substring(F.md5(F.concat(key, F.lit("/"), c["name"])), 1, 13), 16, 10).cast("double")
+        return F.struct((-F.log((h + 0.5) / float(2**52)) / c["weight"]).alias("draw"), i.alias("i"), c["child"].alias("child"))
+
+    node = F.lit("")
+    for _ in ("region", "rack", "shard"):
+        node = F.array_min(F.transform(F.element_at(children, node), draw))["child"]
+    return node.cast("int")
 
 
 def shard(df: DataFrame, t: Tree, grown: Tree | None = None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
@@ -81,10 +79,10 @@ def shard(df: DataFrame, t: Tree, grown: Tree | None = None, id_col: str = "doc_
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), *([F.struct(*df.columns).alias("row")] if carry else []))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    rows = rows.withColumn("shard", shard_of(key, t).cast("int"))
+    new = shard_of(key, grown) if grown else F.lit(None).cast("int")
+    rows = rows.withColumn("shard", F.coalesce(shard_of(key, t), F.lit(-1))).withColumn("grown_shard", new)
     ranked = salted_rank(rows, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.coalesce(F.col("doc_id"), F.lit(0)), "slot")
-    new = shard_of(key, grown).cast("int") if grown else F.lit(None).cast("int")
-    return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", new.alias("grown_shard"), *(["row"] if carry else []))
+    return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", *(["row"] if carry else []))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
