@@ -87,6 +87,23 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def likely_in(df: DataFrame, col: str, ids: DataFrame, bits: int = 23) -> DataFrame:
+    """Rows of ``df`` whose ``col`` may be among ``ids`` (one column): a Bloom filter before a join.
+
+    Drops most rows that the join would drop, before they are shuffled. The
+    filter is a bitmap of 2^bits bits, whatever the number of ids, so its
+    broadcast has a fixed size (1 MB); full of ids it drops less. Null goes.
+    """
+    h = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(1 << bits))
+    b, m = "bucket__", "bitmap__"
+    at = ids.select(h(ids.columns[0]).alias("h"))
+    maps = at.groupBy(F.bitmap_bucket_number("h").alias(b)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias(m))
+    pos = F.bitmap_bit_position(h(col))
+    byte = F.conv(F.hex(F.substr(F.col(m), (F.floor(pos / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr(f"shiftleft(1, cast({'bitmap_bit_position(pmod(xxhash64(`' + col + '`), ' + str(1 << bits) + 'L))'} % 8 as int))"))
+    return df.where(F.col(col).isNotNull()).join(F.broadcast(maps), F.bitmap_bucket_number(h(col)) == F.col(b)).where(bit != 0).select(*df.columns)
+
+
 def salted_rank(
     df: DataFrame, keys: list[str], order: list[Column], salt_of: Column, out: str, salts: int = 256, of_key: DataFrame | None = None
 ) -> DataFrame:

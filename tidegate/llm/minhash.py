@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, table
+from tidegate.llm.common import Scratch, likely_in, table
 from tidegate.llm.components import connected_components
 
 SHINGLE = 5
@@ -270,14 +270,12 @@ def minhash_components(
     Other columns aren't read. An empty table gives an empty one.
     """
     src = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sketches = scratch.keep(src.mapInArrow(_sketcher(shingle, bands, rows, seed), "node long, n_shingles long, hi long, lo long, sig binary, bands array<long>"))
-
-    # texts with the same set are one class; the smallest id stands for it
-    classes = scratch.keep(sketches.where("n_shingles > 0").groupBy("hi", "lo").agg(F.min("node").alias("rep"), F.max("n_shingles").alias("n")).where("rep is not null"))
-    reps = classes.select("rep", "n", "hi", "lo")
-    held = scratch.keep(
-        sketches.where("n_shingles > 0").join(reps, (F.col("node") == F.col("rep")) & (sketches.hi == reps.hi) & (sketches.lo == reps.lo)).groupBy("node", "n").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    )
+    sketches = scratch.keep(src.mapInArrow(_sketcher(shingle, bands, rows, seed), "node long, n_shingles long, hi long, lo long, sig binary, bands array<long>").withColumn("row", F.monotonically_increasing_id()))
+
+    # texts with the same set are one class; the row with the smallest id stands for it
+    classes = sketches.where("n_shingles > 0 and node is not null").groupBy("hi", "lo").agg(F.min(F.struct("node", "row")).alias("rep"), F.max("n_shingles").alias("n"))
+    classes = scratch.keep(classes.select("hi", "lo", F.col("rep.node").alias("rep"), F.col("rep.row").alias("row"), "n"))
+    held = scratch.keep(sketches.select("row", "sig", "bands").join(classes.select("row", F.col("rep").alias("node"), "n"), "row").drop("row"))
     keys = held.select(F.posexplode("bands").alias("band", "key"), "node", "n")
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = scratch.keep(keys.join(sizes, "key"))
@@ -292,7 +290,12 @@ def minhash_components(
 
     least = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
 
-    texts = src.where("text is not null")
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """A text for each node; most others aren't shuffled."""
+        nodes = scratch.keep(nodes.distinct())
+        return likely_in(src.where("text is not null"), "node", nodes).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
     sig = held.select("node", "sig")
 
     # each bucket's centre with its other members
@@ -302,7 +305,7 @@ def minhash_components(
     pairs = scratch.keep(pairs.distinct())
     x = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
     likely = scratch.keep(x.select("a", "b", "x", "y").mapInArrow(_like_signatures(least), "a long, b long"))
-    ends = scratch.keep(texts.join(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    ends = scratch.keep(texts_of(likely.select(F.explode(F.array("a", "b")).alias("node"))))
     y = likely.join(ends.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(ends.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
     edges.append(scratch.keep(y.select("a", "b", "x", "y").mapInArrow(_like_sets(percent, shingle), "a long, b long")))
     scratch.drop(pairs, likely, ends)
@@ -318,7 +321,7 @@ def minhash_components(
     met = met.join(sig, "node").select(*_MET).repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
     kind = "band int, key long, p int, q int, side int, node long, n long, comp long, sig binary"
     maybe = scratch.keep(met.mapInArrow(_block_likely(least, percent, rows), kind))
-    ends = scratch.keep(texts.join(maybe.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    ends = scratch.keep(texts_of(maybe.select("node")))
     full = maybe.join(ends, "node").select(*_MET, "text").repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
     edges.append(scratch.keep(full.mapInArrow(_block_links(least, percent, rows, shingle), "a long, b long")))
     first = comps
