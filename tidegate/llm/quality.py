@@ -155,24 +155,44 @@ class Model:
     meta: dict[str, tuple[np.ndarray, float]] = field(default_factory=dict)
     both: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def text_ids(self, shape_ids: list[int], hashes: list[int]) -> np.ndarray:
-        base = _SHAPE * BINS
-        return np.array([*shape_ids, *[base + i for i in map(self.vocab.get, hashes) if i is not None]], np.int64)
 
+@dataclass
+class Sample:
+    """Rows of both samples: text and metadata features, targets (nan unknown), and which are of the pool."""
+
+    text: Rows
+    meta: Rows
+    targets: dict[str, np.ndarray]
+    pool: np.ndarray
 
-def co_train(vocab: dict[int, int], lab: list[dict], pool: list[dict], rounds: int = ROUNDS) -> Model:
-    """Fits both views of both targets. Every fifth labelled row (by hash order) calibrates only."""
+    @classmethod
+    def of(cls, t: pa.Table) -> Sample:
+        def lists(c: str) -> tuple[np.ndarray, np.ndarray]:
+            a = t[c].combine_chunks()
+            return a.flatten().to_numpy(zero_copy_only=False).astype(np.int64), a.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+        (shape_ids, shape_n), (word_ids, word_n), (meta_ids, meta_n) = lists("shape"), lists("words"), lists("meta")
+        n, base = t.num_rows, _SHAPE * BINS
+        of_row = np.concatenate([np.repeat(np.arange(n), shape_n), np.repeat(np.arange(n), word_n)])
+        ids = np.concatenate([shape_ids, word_ids + base])[np.argsort(of_row, kind="stable")]
+        width = base + (int(word_ids.max()) + 1 if len(word_ids) else 0)
+        targets = {x: t[x].cast(pa.float64()).to_numpy(zero_copy_only=False) for x in TARGETS}
+        return cls(Rows(ids, shape_n + word_n, width), Rows(meta_ids, meta_n, META), targets, t["free"].to_numpy(zero_copy_only=False).astype(bool))
+
+
+def co_train(vocab: dict[int, int], sample: Sample, rounds: int = ROUNDS) -> Model:
+    """Fits both views of both targets. Every fifth labelled row (in order of hash) calibrates only."""
     model = Model(vocab)
-    width = _SHAPE * BINS + len(vocab)
-    views = [Rows.of([model.text_ids(r["shape"], r["words"]) for r in lab + pool], width), Rows.of([np.array(r["meta"], np.int64) for r in lab + pool], META)]
-    nl, n = len(lab), len(lab) + len(pool)
+    views = [sample.text, sample.meta]
+    width, n = _SHAPE * BINS + len(vocab), len(sample.pool)
+    views[0].width = width
     for target in TARGETS:
-        known = np.array([r[target] is not None for r in lab] + [False] * len(pool), bool)
-        truth = np.array([float(r[target] or 0) for r in lab] + [0.0] * len(pool))
-        held = known & (np.arange(n) % 5 == 4) & (np.arange(n) < nl)
-        if not known.any() or truth[known & ~held].min(initial=1) == truth[known & ~held].max(initial=0):
-            rest = truth[known & ~held]
-            flat = float(rest[0]) if len(rest) else 0.0
+        truth = np.nan_to_num(sample.targets[target])
+        known = ~np.isnan(sample.targets[target]) & ~sample.pool
+        held = known & (np.arange(n) % 5 == 4)
+        fitted = truth[known & ~held]
+        if not len(fitted) or fitted.min() == fitted.max():  # nothing to tell apart
+            flat = bool(len(fitted) and fitted[0])
             model.text[target], model.meta[target] = (np.zeros(width), 0.0), (np.zeros(META), 0.0)
             model.both[target] = np.array([4.0 if flat else -4.0, 0.0, 0.0])
             continue
@@ -217,13 +237,14 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, max_labelled: in
         .mapInArrow(_features, "id long, low int, toxic int, shape array<int>, words array<long>, meta array<int>")
     )
     top = feats.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {MIN_DOCS}").orderBy(F.desc("n"), "w").limit(MAX_WORDS)
-    vocab = {r.w: i for i, r in enumerate(top.select("w").collect())}
-    known = top.select(F.col("w"))
-    kept = feats.select("id", F.explode_outer("words").alias("w")).join(known, "w", "left_semi").groupBy("id").agg(F.collect_list("w").alias("words"))
-    rows = feats.drop("words").join(kept, "id", "left").join(pool.select("id", F.lit(1).alias("free")), "id", "left").orderBy(F.xxhash64("id"), "id")
-    have = rows.toPandas()
-    records = [{"low": None if r.low != r.low else r.low, "toxic": None if r.toxic != r.toxic else r.toxic, "shape": r.shape_, "meta": r.meta, "words": r.words if r.words is not None else [], "free": r.free == 1} for r in have.rename(columns={"shape": "shape_"}).itertuples(index=False)]
-    model = co_train(vocab, [r for r in records if not r["free"]], [r for r in records if r["free"]])
+    known = top.select("w").toArrow()["w"].to_pylist()
+    vocab = {w: i for i, w in enumerate(known)}
+    numbers = scratch.spark.createDataFrame(pa.table({"w": pa.array(known, pa.int64()), "i": pa.array(range(len(known)), pa.int32())}))
+    kept = feats.select("id", F.explode("words").alias("w")).join(numbers, "w").groupBy("id").agg(F.collect_list("i").alias("words"))
+    rows = feats.drop("words").join(kept, "id", "left").join(pool.select("id", F.lit(True).alias("free")), "id", "left")
+    rows = rows.select("low", "toxic", "shape", "meta", F.coalesce("words", F.lit([]).cast("array<int>")).alias("words"), F.coalesce("free", F.lit(False)).alias("free"), F.xxhash64("id").alias("at"), "id")
+    have = rows.toArrow().sort_by([("at", "ascending"), ("id", "ascending")]).combine_chunks()
+    model = co_train(vocab, Sample.of(have))
     scratch.drop(lab, pool, feats)
     return model
 
