@@ -49,13 +49,12 @@ def parse_bodies(responses: DataFrame, body: str = "body", article: str = "artic
 def item_drift(raw: Column) -> Column:
     """How an item departs from the contract, or null."""
     keys = F.json_object_keys(raw)
-    missing = F.array_except(F.lit(sorted(schema.FIELDS)), keys)
-    v = F.try_parse_json(raw)
-    get = lambda name: F.try_variant_get(v, f"$.{name}", "variant")
-    out = F.when(keys.isNull(), F.concat(F.lit("an item is "), F.coalesce(_kind(v), F.lit("NoneType")), F.lit(", not an object")))
-    out = out.when(F.size(missing) > 0, F.concat(F.lit("an item has no ['"), F.array_join(missing, "', '"), F.lit("']")))
+    missing = F.array_join(F.array_except(F.lit(sorted(schema.FIELDS)), keys), "', '")
+    out = F.when(keys.isNull(), F.concat(F.lit("an item is "), F.coalesce(_kind(F.try_parse_json(raw)), F.lit("NoneType")), F.lit(", not an object")))
+    out = out.when(missing != "", F.concat(F.lit("an item has no ['"), missing, F.lit("']")))
     for name, value in schema.DESCRIPTORS:
-        text = F.get_json_object(raw, f"$.{name}")
-        right = (F.schema_of_variant(get(name)) == "STRING") & (text == value)
-        out = out.when(~F.coalesce(right, F.lit(False)), F.concat(F.lit(f"{name} is "), F.coalesce(text, F.lit("None")), F.lit(f", not '{value}': this answers another question")))
-    return out.when(F.coalesce(F.schema_of_variant(get("timestamp")), F.lit("VOID")) != "STRING", F.concat(F.lit("timestamp is "), _kind(get("timestamp")), F.lit(", not a string")))
+        # no value but this string is spelled so
+        text = F.coalesce(F.get_json_object(raw, f"$.{name}"), F.lit("None"))
+        out = out.when(text != value, F.concat(F.lit(f"{name} is "), text, F.lit(f", not '{value}': this answers another question")))
+    stamp = F.try_variant_get(F.try_parse_json(raw), "$.timestamp", "variant")
+    return out.when(F.coalesce(F.schema_of_variant(stamp), F.lit("VOID")) != "STRING", F.concat(F.lit("timestamp is "), _kind(stamp), F.lit(", not a string")))
