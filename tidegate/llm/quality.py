@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.common import Scratch, table
@@ -28,8 +28,10 @@ from tidegate.llm.decontam import words
 
 #: Bounds of the samples that the classifiers are fitted on.
 MAX_LABELLED, MAX_POOL = 12_000, 4_000
-#: Words that the text view knows: those in MIN_DOCS documents of the sample, the most frequent first.
-MAX_WORDS, MIN_DOCS = 60_000, 4
+#: The text view knows words and beginnings of longer words that tell a target's
+#: documents apart by MIN_Z standard errors in the sample; the best first.
+MAX_WORDS, MIN_DOCS, MIN_Z = 30_000, 4, 3.5
+BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 ROUNDS = 3
 #: A view hands on what it is so sure of; at this weight.
 SURE, PSEUDO_WEIGHT = 0.98, 0.3
@@ -66,8 +68,13 @@ def metadata(lang: str | None, source: str | None, n_chars: int | None) -> list[
     return [xxhash.xxh32_intdigest(f"{k}={v}") % META for k, v in (("lang", lang), ("source", source), ("length", length))]
 
 
+def forms(word: bytes) -> list[int]:
+    """Hashes of a word and of its beginnings: words are built from others, also those that the sample lacks."""
+    return [xxhash.xxh3_64_intdigest(word) - 2**63, *[xxhash.xxh3_64_intdigest(word[:k] + b"*") - 2**63 for k in BEGINNINGS if k < len(word)]]
+
+
 def word_hashes(toks: list[bytes]) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(w) - 2**63 for w in set(toks)]
+    return list({h for w in set(toks) for h in forms(w)})
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,6 +171,7 @@ class Sample:
     meta: Rows
     targets: dict[str, np.ndarray]
     pool: np.ndarray
+    held: np.ndarray
 
     @classmethod
     def of(cls, t: pa.Table) -> Sample:
@@ -177,11 +185,11 @@ class Sample:
         ids = np.concatenate([shape_ids, word_ids + base])[np.argsort(of_row, kind="stable")]
         width = base + (int(word_ids.max()) + 1 if len(word_ids) else 0)
         targets = {x: t[x].cast(pa.float64()).to_numpy(zero_copy_only=False) for x in TARGETS}
-        return cls(Rows(ids, shape_n + word_n, width), Rows(meta_ids, meta_n, META), targets, t["free"].to_numpy(zero_copy_only=False).astype(bool))
+        return cls(Rows(ids, shape_n + word_n, width), Rows(meta_ids, meta_n, META), targets, *(t[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("free", "held")))
 
 
 def co_train(vocab: dict[int, int], sample: Sample, rounds: int = ROUNDS) -> Model:
-    """Fits both views of both targets. Every fifth labelled row (in order of hash) calibrates only."""
+    """Fits both views of both targets. Held rows, a fifth, calibrate only."""
     model = Model(vocab)
     views = [sample.text, sample.meta]
     width, n = _SHAPE * BINS + len(vocab), len(sample.pool)
@@ -189,7 +197,7 @@ def co_train(vocab: dict[int, int], sample: Sample, rounds: int = ROUNDS) -> Mod
     for target in TARGETS:
         truth = np.nan_to_num(sample.targets[target])
         known = ~np.isnan(sample.targets[target]) & ~sample.pool
-        held = known & (np.arange(n) % 5 == 4)
+        held = known & sample.held
         fitted = truth[known & ~held]
         if not len(fitted) or fitted.min() == fitted.max():  # nothing to tell apart
             flat = bool(len(fitted) and fitted[0])
@@ -236,16 +244,29 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, max_labelled: in
         src.join(want.select("id", "low", "toxic"), "id").dropDuplicates(["id"]).select("id", "text", "lang", "source", "n_chars", "low", "toxic")
         .mapInArrow(_features, "id long, low int, toxic int, shape array<int>, words array<long>, meta array<int>")
     )
-    top = feats.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {MIN_DOCS}").orderBy(F.desc("n"), "w").limit(MAX_WORDS)
+    feats = scratch.keep(feats.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "id"), F.lit(5)) == 0))
+    fitted = feats.where("not held")
+    size = fitted.agg(*[f(F.lit(1) if t is None else F.col(t)).alias(n) for t, f, n in ((None, F.count, "n"), ("low", F.count, "low_n"), ("low", F.sum, "low_1"), ("toxic", F.count, "toxic_n"), ("toxic", F.sum, "toxic_1"))]).first()
+    per = fitted.select("low", "toxic", F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), *[f(t).alias(f"{t}_{k}") for t in TARGETS for f, k in ((F.count, "n"), (F.sum, "1"))]).where(f"n >= {MIN_DOCS}")
+
+    def z(t: str) -> Column:
+        """How far a word's shares of both classes lie apart, in standard errors."""
+        n, one = size[f"{t}_n"] or 0, size[f"{t}_1"] or 0
+        if not 0 < one < n:
+            return F.lit(0.0)
+        p = F.col(f"{t}_n") / n
+        return F.abs(F.col(f"{t}_1") / one - (F.col(f"{t}_n") - F.col(f"{t}_1")) / (n - one)) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / one + 1 / (n - one)))
+
+    top = per.select("w", F.greatest(z("low"), z("toxic")).alias("z")).where(f"z >= {MIN_Z}").orderBy(F.desc("z"), "w").limit(MAX_WORDS)
     known = top.select("w").toArrow()["w"].to_pylist()
     vocab = {w: i for i, w in enumerate(known)}
     numbers = scratch.spark.createDataFrame(pa.table({"w": pa.array(known, pa.int64()), "i": pa.array(range(len(known)), pa.int32())}))
     kept = feats.select("id", F.explode("words").alias("w")).join(numbers, "w").groupBy("id").agg(F.collect_list("i").alias("words"))
     rows = feats.drop("words").join(kept, "id", "left").join(pool.select("id", F.lit(True).alias("free")), "id", "left")
-    rows = rows.select("low", "toxic", "shape", "meta", F.coalesce("words", F.lit([]).cast("array<int>")).alias("words"), F.coalesce("free", F.lit(False)).alias("free"), F.xxhash64("id").alias("at"), "id")
+    rows = rows.select("held", "low", "toxic", "shape", "meta", F.coalesce("words", F.lit([]).cast("array<int>")).alias("words"), F.coalesce("free", F.lit(False)).alias("free"), F.xxhash64("id").alias("at"), "id")
     have = rows.toArrow().sort_by([("at", "ascending"), ("id", "ascending")]).combine_chunks()
     model = co_train(vocab, Sample.of(have))
-    scratch.drop(lab, pool, feats)
+    scratch.drop(lab, pool)
     return model
 
 
@@ -254,7 +275,7 @@ def _scorer(shared):
         model: Model = shared.value
         known = {t: (model.text[t][0], model.meta[t][0]) for t in TARGETS}
         # words as bytes are met far more often than they are new
-        memo: dict[bytes, int | None] = {}
+        memo: dict[bytes, tuple[int, ...]] = {}
         base = _SHAPE * BINS
         for batch in batches:
             out: dict[str, list[float]] = {f"{v}_{t}": [] for t in TARGETS for v in ("text", "meta", "p")}
@@ -262,15 +283,16 @@ def _scorer(shared):
             for i in range(batch.num_rows):
                 text, lang, source, n_chars = (c[i].as_py() for c in cols)
                 toks = words(text)
-                ids = shape(text or "", toks)
+                ids, mine = shape(text or "", toks), set()
                 for w in set(toks):
-                    k = memo.get(w, -1)
-                    if k == -1:
-                        if len(memo) > 300_000:
+                    k = memo.get(w)
+                    if k is None:
+                        if len(memo) > 200_000:
                             memo.clear()
-                        k = memo[w] = model.vocab.get(xxhash.xxh3_64_intdigest(w) - 2**63)
-                    if k is not None:
-                        ids.append(base + k)
+                        k = memo[w] = tuple(base + i for i in map(model.vocab.get, forms(w)) if i is not None)
+                    if k:
+                        mine.update(k)
+                ids += mine
                 meta = metadata(lang, source, n_chars)
                 for t in TARGETS:
                     a = float(known[t][0][ids].sum() + model.text[t][1]) if ids else model.text[t][1]
