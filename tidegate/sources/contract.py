@@ -47,7 +47,11 @@ def parse_bodies(responses: DataFrame, body: str = "body", article: str = "artic
 
 
 def item_drift(raw: Column) -> Column:
-    """How an item departs from the contract, or null."""
+    """How an item departs from the contract, or null. The text is bound once, whatever expression it is."""
+    return F.get(F.transform(F.array(raw), _item_drift), F.lit(0))
+
+
+def _item_drift(raw: Column) -> Column:
     keys = F.json_object_keys(raw)
     missing = F.array_join(F.array_except(F.lit(sorted(schema.FIELDS)), keys), "', '")
     out = F.when(keys.isNull(), F.concat(F.lit("an item is "), F.coalesce(_kind(F.try_parse_json(raw)), F.lit("NoneType")), F.lit(", not an object")))
