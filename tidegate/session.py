@@ -12,3 +12,27 @@ def get_spark(app: str = "tidegate", **settings: str) -> SparkSession:
     for k, v in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python, unless they find it as the driver does.
+
+    They do if its folder is on PYTHONPATH or the working folder, or if it came
+    by --py-files. Done once a context.
+    """
+    import os
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    sc = spark.sparkContext
+    known = {os.path.realpath(p) for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()] if p}
+    if not root.is_dir() or str(root) in known or getattr(sc, "_tidegate_shipped", False):
+        return
+    name = Path(tempfile.mkdtemp(prefix="tidegate-code-")) / "tidegate.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted(root.glob("tidegate/**/*.py")):
+            z.write(p, p.relative_to(root))
+    sc.addPyFile(str(name))
+    sc._tidegate_shipped = True
