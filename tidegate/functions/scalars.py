@@ -25,13 +25,20 @@ def is_ascii(c: Column) -> Column:
     return F.regexp_like(c, F.lit(r"\A\p{ASCII}*\z"))
 
 
-def same_title(got: Column, asked: Column) -> Column:
-    """Equality up to NFC. Spark has no normalize(), and its collations equate too much.
+def looks_alike(got: Column, asked: Column) -> Column:
+    """Titles that differ and aren't plain ASCII: only these may still be equal up to NFC."""
+    return F.coalesce((got != asked) & ~(is_ascii(got) & is_ascii(asked)), F.lit(False))
 
-    Python sees only titles that differ and aren't plain ASCII.
-    """
-    hard = (got != asked) & ~(is_ascii(got) & is_ascii(asked))
-    return (got == asked) | F.coalesce(_nfc(F.when(hard, got)) == _nfc(F.when(hard, asked)), F.lit(False))
+
+def same_nfc(got: Column, asked: Column) -> Column:
+    """Equality up to NFC, in Python: Spark has no normalize(), and its collations equate too much."""
+    return _nfc(got) == _nfc(asked)
+
+
+def same_title(got: Column, asked: Column) -> Column:
+    """Equality up to NFC in one expression; Python sees titles only where they look alike."""
+    hard = looks_alike(got, asked)
+    return (got == asked) | F.coalesce(same_nfc(F.when(hard, got), F.when(hard, asked)), F.lit(False))
 
 
 def parse_stamp(stamp: Column) -> Column:
