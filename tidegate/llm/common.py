@@ -70,6 +70,12 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of fewer files than there are cores, dealt over all cores: one small file is one task, however much its rows cost."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores // 2 else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, fresh, table
+from tidegate.llm.common import Scratch, spread, table
 
 WINDOW = 10
 #: Words of items in one automaton (about 0.5 kB a word). Larger benchmarks are
@@ -202,6 +202,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, carry: li
     spark = docs.sparkSession
     kind = docs.select(F.struct(*carry).alias("row")).schema["row"].dataType.simpleString()
     out = docs.select(F.struct(*carry).alias("row"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.lit([]).cast("array<int>").alias("spans"), F.lit([]).cast("array<string>").alias("items"))
+    out = spread(out)
     kept = None
     for k, auto in enumerate(automata(benchmark, window, max_words)):
         if k:
@@ -251,7 +252,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, cover
     Rows without hits, null and empty texts among them, stay as they are, with
     all their columns; n_chars, where there is one, follows a cut text.
     """
-    spark, out, kept = docs.sparkSession, docs.select(F.struct(*docs.columns).alias("row"), "text"), None
+    spark, out, kept = docs.sparkSession, spread(docs.select(F.struct(*docs.columns).alias("row"), "text")), None
     kind = out.schema["row"].dataType.simpleString()
     for k, auto in enumerate(automata(benchmark, window, max_words)):
         if k:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import table
+from tidegate.llm.common import spread, table
 
 SIGMA = 1.0
 #: Content lines lie above this share of the smoothed ratios' standard deviation.
@@ -189,7 +189,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     an empty one. Pages are handled one at a time, whole.
     """
     kinds = pages.schema
-    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(
+    src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return spread(src).mapInArrow(
         _extract, f"page_id {kinds[id_col].dataType.simpleString()}, url {kinds[url_col].dataType.simpleString()}, text string, n_chars long"
     )
 

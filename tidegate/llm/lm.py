@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, table
+from tidegate.llm.common import Scratch, spread, table
 
 #: Bytes of context; a trie key holds these and the symbol.
 ORDER = 5
@@ -353,7 +353,7 @@ def lm_scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_co
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), held_out(id_col).alias("held_out"))
-    parts = src.where("not held_out").select("text").mapInArrow(_count, "kind int, key long, n long")
+    parts = spread(src.where("not held_out").select("text")).mapInArrow(_count, "kind int, key long, n long")
     counts = scratch.keep(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     grams, word_counts = counts.where("kind = 0"), counts.where("kind = 1")
     v, n = word_counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -382,7 +382,7 @@ def lm_scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_co
             h, c = h[order], c[order]
             yield Words(a, b - 1, h[c == 1], h[c > 1], c[c > 1].astype(np.uint32))
 
-    rows = src.select(F.struct("id", "held_out", F.xxhash64("text").alias("h")).alias("row"), "text")
+    rows = spread(src.select(F.struct("id", "held_out", F.xxhash64("text").alias("h")).alias("row"), "text"))
     kind = rows.schema["row"].dataType.simpleString()
     trie_parts, word_parts = tries(), vocabularies()
     out, first, parts = None, True, []

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, likely_in, table
+from tidegate.llm.common import Scratch, likely_in, spread, table
 from tidegate.llm.components import connected_components
 
 SHINGLE = 5
@@ -270,14 +270,15 @@ def minhash_components(
     Other columns aren't read. An empty table gives an empty one.
     """
     src = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sketches = scratch.keep(src.mapInArrow(_sketcher(shingle, bands, rows, seed), "node long, n_shingles long, hi long, lo long, sig binary, bands array<long>").withColumn("row", F.monotonically_increasing_id()))
+    sketches = scratch.keep(spread(src).mapInArrow(_sketcher(shingle, bands, rows, seed), "node long, n_shingles long, hi long, lo long, sig binary, bands array<long>").withColumn("row", F.monotonically_increasing_id()))
 
     # texts with the same set are one class; the row with the smallest id stands for it
     classes = sketches.where("n_shingles > 0 and node is not null").groupBy("hi", "lo").agg(F.min(F.struct("node", "row")).alias("rep"), F.max("n_shingles").alias("n"))
     classes = scratch.keep(classes.select("hi", "lo", F.col("rep.node").alias("rep"), F.col("rep.row").alias("row"), "n"))
     held = scratch.keep(sketches.select("row", "sig", "bands").join(classes.select("row", F.col("rep").alias("node"), "n"), "row").drop("row"))
     keys = held.select(F.posexplode("bands").alias("band", "key"), "node", "n")
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # kept before they are joined back: then both sides are dealt anew, and a hot bucket can be split
+    sizes = scratch.keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     shared = scratch.keep(keys.join(sizes, "key"))
     popular = shared.groupBy("node").agg(F.sum("size").alias("pop"))
     buckets = scratch.keep(shared.join(popular, "node").select("band", "key", "node", "n", "pop"))
@@ -300,7 +301,7 @@ def minhash_components(
 
     # each bucket's centre with its other members
     top = buckets.groupBy("key").agg(F.max(F.struct("pop", (-F.col("node")).alias("node"), "n")).alias("top"))
-    centre = top.select("key", (-F.col("top.node")).alias("a"), F.col("top.n").alias("an"))
+    centre = scratch.keep(top.select("key", (-F.col("top.node")).alias("a"), F.col("top.n").alias("an")))
     pairs = buckets.join(centre, "key").where(f"node <> a and 100 * least(n, an) >= {percent} * greatest(n, an)").select("a", F.col("node").alias("b"))
     pairs = scratch.keep(pairs.distinct())
     x = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("node").alias("b"), F.col("sig").alias("y")), "b")
@@ -315,6 +316,7 @@ def minhash_components(
     at = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     at = scratch.keep(at.select("band", "key", "node", "n", "comp"))
     mixed = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    mixed = scratch.keep(mixed)
     at2 = at.join(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key")
     at2 = at2.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = at2.select("band", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "comp")
@@ -326,7 +328,7 @@ def minhash_components(
     edges.append(scratch.keep(full.mapInArrow(_block_links(least, percent, rows, shingle), "a long, b long")))
     first = comps
     comps = connected_components(edges[0].union(edges[1]).union(edges[2]), scratch)
-    scratch.drop(first, shared, buckets, held, at, maybe, ends, *edges)
+    scratch.drop(first, sizes, shared, centre, mixed, buckets, held, at, maybe, ends, *edges)
 
     out = sketches.select("node", "n_shingles", "hi", "lo").join(classes.select("hi", "lo", "rep"), ["hi", "lo"], "left")
     out = out.withColumn("vertex", F.coalesce("rep", "node"))

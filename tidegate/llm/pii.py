@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, table
+from tidegate.llm.common import Scratch, spread, table
 
 _EMAIL = r"[\p{L}0-9][\p{L}0-9._%+\-]*+@(?:[\p{L}0-9](?:[\p{L}0-9\-]*[\p{L}0-9])?\.)+\p{L}{2,}"
 _URLUSER = r"(?<=://)[^\s/:@]+:[^\s/@]+(?=@)"
@@ -229,10 +229,10 @@ def pseudonymise(docs: DataFrame, scratch: Scratch, key: str, id_col: str = "doc
     there already is replaced.
     """
     # one entity of many documents is combined before the shuffle
-    found = docs.select(F.explode(entities(F.col(text_col))).alias("entity")).groupBy("entity").count().select("entity")
+    found = spread(docs.select(text_col)).select(F.explode(entities(F.col(text_col))).alias("entity")).groupBy("entity").count().select("entity")
     again = scratch.keep(_retries(found, key, scratch))
     name = "again__"
-    rows = docs
+    rows = spread(docs)
     if again.isEmpty():
         rows = rows.withColumn(name, F.lit(None).cast("map<string,string>"))
     else:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, table
+from tidegate.llm.common import Scratch, spread, table
 from tidegate.llm.decontam import words
 
 #: Bounds of the samples that the classifiers are fitted on.
@@ -315,7 +315,7 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_WORDS weights a target
     src = docs.select(F.struct(*carry).alias("row"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     kind = src.schema["row"].dataType.simpleString()
-    return src.mapInArrow(_scorer(shared), f"row {kind}, " + ", ".join(f"{v}_{t} double" for t in TARGETS for v in ("text", "meta", "p")))
+    return spread(src).mapInArrow(_scorer(shared), f"row {kind}, " + ", ".join(f"{v}_{t} double" for t in TARGETS for v in ("text", "meta", "p")))
 
 
 KEPT = "p_low < 0.5 and p_toxic < 0.5"
