@@ -276,7 +276,7 @@ def q_json_type_check(spark, d):
     return _raw(spark, d).select("seq", scalars.json_kind(F.col("raw"), "views").alias("kind"))
 
 
-def q_contract_drift(spark, d):
+def q_contract_missing_fields(spark, d):
     return _raw(spark, d).select("seq", contract.item_drift(F.col("raw")).alias("drift")).where("drift is not null")
 
 
@@ -304,7 +304,7 @@ def q_recent_runs_topk(spark, d):
 
 
 def q_stuck_venues(spark, d):
-    return reports.stuck_venues(_watermarks(spark, d).where("new is not null").select("venue_id", F.col("new").alias("last_date"))).limit(20)
+    return reports.stuck_venues(_watermarks(spark, d).where("new is not null").select("venue_id", F.col("new").alias("last_date")))
 
 
 def q_synthetic_weekend(spark, d):
@@ -398,13 +398,13 @@ ORACLES |= {
     "merge_sources": f"""{_W}{_SHAPED}, one AS (SELECT stamp, seq AS pos FROM shaped WHERE venue_id = '1' AND stamp[1:8] BETWEEN '20240105' AND '20240120'),
       w AS (SELECT stamp, pos, 0 AS src FROM one WHERE pos % 3 = 0) SELECT * FROM w UNION ALL SELECT stamp, pos, 1 FROM one WHERE pos % 3 <> 0 AND stamp NOT IN (SELECT stamp FROM w)""",
     "json_type_check": f"{_W}{_SHAPED}, {_RAW} SELECT seq, CASE json_type(raw::JSON, '$.views') WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'bool' WHEN 'VARCHAR' THEN 'str' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'dict' WHEN 'DOUBLE' THEN 'float' ELSE 'int' END AS kind FROM raws",
-    "contract_drift": f"{_W}{_SHAPED}, {_RAW} SELECT seq, CASE WHEN NOT list_contains(json_keys(raw::JSON), 'agent') THEN 'an item has no [''agent'']' ELSE 'project is de.wikipedia, not ''en.wikipedia'': this answers another question' END AS drift FROM raws WHERE NOT list_contains(json_keys(raw::JSON), 'agent') OR raw::JSON->>'$.project' <> 'en.wikipedia'",
+    "contract_missing_fields": f"{_W}{_SHAPED}, {_RAW} SELECT seq, CASE WHEN NOT list_contains(json_keys(raw::JSON), 'agent') THEN 'an item has no [''agent'']' ELSE 'project is de.wikipedia, not ''en.wikipedia'': this answers another question' END AS drift FROM raws WHERE NOT list_contains(json_keys(raw::JSON), 'agent') OR raw::JSON->>'$.project' <> 'en.wikipedia'",
     "url_build": "SELECT p_partkey, 'https://wikimedia.org/api/rest_v1/metrics/pageviews/per-article/en.wikipedia/all-access/user/' || url_encode(p_name || ' (é)*~/' || p_partkey) || '/daily/20240101/20240126' AS url FROM part",
     "venue_profile": f"{_W}{_JUDGED} SELECT venue_id, count(*) AS days, round(avg(views)) AS mean_views, min(view_date) AS first_day, max(view_date) AS last_day FROM clean GROUP BY venue_id",
     "duplicate_pairs": f"{_W}{_SHAPED} SELECT count(*) AS duplicates FROM (SELECT venue_id, d FROM base GROUP BY 1, 2 HAVING count(*) > 1)",
     "totals_scalar": "SELECT (SELECT count(*) FROM events) AS total, (SELECT count(*) FROM (SELECT user_id, CAST(ts AS DATE) FROM events GROUP BY 1, 2 HAVING count(*) > 1)) AS duplicates",
     "recent_runs_topk": "SELECT o_orderkey, o_orderdate::VARCHAR AS o_orderdate FROM orders ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 10",
-    "stuck_venues": f"{_W}{_JUDGED}, {_FAR} SELECT venue_id, new AS last_date FROM wm2 WHERE new IS NOT NULL ORDER BY new, venue_id LIMIT 20",
+    "stuck_venues": f"{_W}{_JUDGED}, {_FAR} SELECT venue_id, new AS last_date FROM wm2 WHERE new IS NOT NULL ORDER BY new, venue_id",
     "synthetic_weekend": "SELECT n_name AS article, CAST(DATE '2024-01-01' + i::INT AS DATE) AS day, CASE WHEN isodow(DATE '2024-01-01' + i::INT) >= 6 THEN 1.4::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM nation, range(14) r(i)",
     "backoff_clamp": "SELECT event_id, CASE WHEN event_id % 5 < 3 THEN least(pow(2.0::DOUBLE, (event_id % 9)::DOUBLE), 120.0::DOUBLE) ELSE greatest(least((event_id - 500)::DOUBLE, 120.0::DOUBLE), 0.0::DOUBLE) END AS seconds FROM events",
     "run_summary": f"""{_W}{_JUDGED}, {_HELD}, r AS (SELECT min(d) AS s, max(d) AS e FROM base GROUP BY venue_id)
