@@ -221,7 +221,7 @@ def test_cotraining_lends_labels_to_the_other_view():
     pool = np.arange(n) >= 300
     t = np.where(pool, np.nan, y)
     s = quality.Sample(text, meta, {"low": t, "toxic": t}, pool, (np.arange(n) % 3 == 0) & ~pool)
-    m = quality.co_train({i: i for i in range(6)}, s)
+    m = quality.co_train({i: i for i in range(6)}, s, {t: np.ones(6, bool) for t in quality.TARGETS})
     w = m.text["toxic"][0][base : base + 6]
     assert w[:3].min() > w[3:].max()
 

@@ -29,8 +29,13 @@ from tidegate.llm.decontam import words
 #: Bounds of the samples that the classifiers are fitted on.
 MAX_LABELLED, MAX_POOL = 12_000, 4_000
 #: The text view knows words and beginnings of longer words that tell a target's
-#: documents apart by MIN_Z standard errors in the sample; the best first.
-MAX_WORDS, MIN_DOCS, MIN_Z = 30_000, 4, 3.5
+#: documents apart by so many standard errors in the sample; the best first. Words
+#: that are toxic are few and rare, while low quality shows in a text's shape.
+MAX_WORDS, MIN_DOCS = 30_000, 3
+MIN_Z = {"low": 5.0, "toxic": 3.5}
+L2 = {"low": 2e-4, "toxic": 2e-5}
+#: Documents below both probabilities are kept.
+MOST = {"low": 0.5, "toxic": 0.2}
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 ROUNDS = 3
 #: A view hands on what it is so sure of; at this weight.
@@ -107,6 +112,12 @@ class Rows:
     def of(cls, lists: list[np.ndarray], width: int) -> Rows:
         return cls(np.concatenate([*lists, np.empty(0, np.int64)]).astype(np.int64), np.array([len(x) for x in lists], np.int64), width)
 
+    def only(self, used: np.ndarray) -> Rows:
+        """Without the features that aren't used."""
+        keep = used[self.ids]
+        of = np.repeat(np.arange(len(self.lens)), self.lens)[keep]
+        return Rows(self.ids[keep], np.bincount(of, minlength=len(self.lens)).astype(np.int64), len(used))
+
     def dot(self, w: np.ndarray) -> np.ndarray:
         out = np.bincount(np.repeat(np.arange(len(self.lens)), self.lens), w[self.ids], len(self.lens))
         return out.astype(float)
@@ -119,7 +130,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(x: Rows, y: np.ndarray, weight: np.ndarray, start: tuple[np.ndarray, float] | None = None, steps: int = 90, l2: float = 2e-5, rate: float = 0.15) -> tuple[np.ndarray, float]:
+def fit(x: Rows, y: np.ndarray, weight: np.ndarray, start: tuple[np.ndarray, float] | None = None, steps: int = 150, l2: float = 2e-5, rate: float = 0.15) -> tuple[np.ndarray, float]:
     """Logistic regression by Adam on the whole sample, from ``start``."""
     w, b = (start[0].copy(), start[1]) if start else (np.zeros(x.width), 0.0)
     total = weight.sum()
@@ -188,13 +199,13 @@ class Sample:
         return cls(Rows(ids, shape_n + word_n, width), Rows(meta_ids, meta_n, META), targets, *(t[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("free", "held")))
 
 
-def co_train(vocab: dict[int, int], sample: Sample, rounds: int = ROUNDS) -> Model:
-    """Fits both views of both targets. Held rows, a fifth, calibrate only."""
+def co_train(vocab: dict[int, int], sample: Sample, tells: dict[str, np.ndarray], rounds: int = ROUNDS) -> Model:
+    """Fits both views of both targets, each target with the words that tell it. Held rows, a fifth, calibrate only."""
     model = Model(vocab)
-    views = [sample.text, sample.meta]
     width, n = _SHAPE * BINS + len(vocab), len(sample.pool)
-    views[0].width = width
     for target in TARGETS:
+        used = np.concatenate([np.ones(_SHAPE * BINS, bool), tells[target]])
+        views = [sample.text.only(used), sample.meta]
         truth = np.nan_to_num(sample.targets[target])
         known = ~np.isnan(sample.targets[target]) & ~sample.pool
         held = known & sample.held
@@ -210,7 +221,7 @@ def co_train(vocab: dict[int, int], sample: Sample, rounds: int = ROUNDS) -> Mod
         for r in range(rounds):
             sure = []
             for k, x in enumerate(views):
-                fits[k] = fit(x, y[k], weight[k], fits[k], steps=90 if r == 0 else 30)
+                fits[k] = fit(x, y[k], weight[k], fits[k], steps=150 if r == 0 else 40, l2=L2[target])
                 z = x.dot(fits[k][0]) + fits[k][1]
                 at = held if held.any() else known
                 c = calibrate(z[at, None], truth[at])
@@ -222,7 +233,7 @@ def co_train(vocab: dict[int, int], sample: Sample, rounds: int = ROUNDS) -> Mod
                     y[1 - k][at] = value
                     weight[1 - k][at] = PSEUDO_WEIGHT
         for k, x in enumerate(views):
-            fits[k] = fit(x, y[k], weight[k], fits[k], steps=30)
+            fits[k] = fit(x, y[k], weight[k], fits[k], steps=40, l2=L2[target])
         z = np.column_stack([x.dot(f[0]) + f[1] for x, f in zip(views, fits, strict=True)])
         at = held if held.any() else known
         model.text[target], model.meta[target] = fits
@@ -257,15 +268,17 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, max_labelled: in
         p = F.col(f"{t}_n") / n
         return F.abs(F.col(f"{t}_1") / one - (F.col(f"{t}_n") - F.col(f"{t}_1")) / (n - one)) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / one + 1 / (n - one)))
 
-    top = per.select("w", F.greatest(z("low"), z("toxic")).alias("z")).where(f"z >= {MIN_Z}").orderBy(F.desc("z"), "w").limit(MAX_WORDS)
-    known = top.select("w").toArrow()["w"].to_pylist()
+    told = per.select("w", *[(z(t) / MIN_Z[t]).alias(t) for t in TARGETS])
+    top = told.where("low >= 1 or toxic >= 1").orderBy(F.greatest(*TARGETS).desc(), "w").limit(MAX_WORDS).toArrow()
+    known = top["w"].to_pylist()
+    tells = {t: top[t].to_numpy() >= 1 for t in TARGETS}
     vocab = {w: i for i, w in enumerate(known)}
     numbers = scratch.spark.createDataFrame(pa.table({"w": pa.array(known, pa.int64()), "i": pa.array(range(len(known)), pa.int32())}))
     kept = feats.select("id", F.explode("words").alias("w")).join(numbers, "w").groupBy("id").agg(F.collect_list("i").alias("words"))
     rows = feats.drop("words").join(kept, "id", "left").join(pool.select("id", F.lit(True).alias("free")), "id", "left")
     rows = rows.select("held", "low", "toxic", "shape", "meta", F.coalesce("words", F.lit([]).cast("array<int>")).alias("words"), F.coalesce("free", F.lit(False)).alias("free"), F.xxhash64("id").alias("at"), "id")
     have = rows.toArrow().sort_by([("at", "ascending"), ("id", "ascending")]).combine_chunks()
-    model = co_train(vocab, Sample.of(have))
+    model = co_train(vocab, Sample.of(have), tells)
     scratch.drop(lab, pool)
     return model
 
@@ -318,7 +331,7 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     return spread(src).mapInArrow(_scorer(shared), f"row {kind}, " + ", ".join(f"{v}_{t} double" for t in TARGETS for v in ("text", "meta", "p")))
 
 
-KEPT = "p_low < 0.5 and p_toxic < 0.5"
+KEPT = f"p_low < {MOST['low']} and p_toxic < {MOST['toxic']}"
 
 
 def accepted(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
