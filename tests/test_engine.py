@@ -272,3 +272,72 @@ def test_stream_judges_what_has_landed(spark, tmp_path):
     q = judge_stream(item_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp"), lambda df, n: got.extend(df.select("rule", F.col("view_date")).collect()), TODAY)
     q.awaitTermination(60)
     assert [tuple(r) for r in got] == [("views_non_negative", date(2026, 1, 5))]
+
+
+def test_commit_is_all_or_nothing(spark, w, monkeypatch):
+    night(w, TWO, backfill_days=5)
+    before = {t: sorted(map(str, rows(w, t))) for t in ("pageviews", "quarantine", "watermark", "run_log")}
+    real = Warehouse._write
+
+    def write(self, df, table):
+        if table == "watermark":
+            raise OSError("disk full")
+        return real(self, df, table)
+
+    monkeypatch.setattr(Warehouse, "_write", write)
+    with pytest.raises(OSError, match="disk full"):
+        night(w, TWO, today=TODAY + timedelta(days=3))
+    monkeypatch.undo()
+    assert {t: sorted(map(str, rows(w, t))) for t in ("pageviews", "quarantine", "watermark")} == {t: before[t] for t in ("pageviews", "quarantine", "watermark")}
+    log = {r.status: r for r in rows(w, "run_log")}
+    assert log["failed"].note == "OSError: disk full" and log["failed"].rows_loaded == 0 and log["ok"].rows_loaded == 10
+
+
+def test_log_of_a_refused_run_survives_a_failing_reject_table(spark, w, monkeypatch):
+    real = Warehouse._write
+
+    def write(self, df, table):
+        if table == "quarantine":
+            raise OSError("disk full")
+        return real(self, df, table)
+
+    monkeypatch.setattr(Warehouse, "_write", write)
+    with pytest.raises(OSError):
+        night(w, TWO, lambda a, s, e: daily(a, s, e, -1), backfill_days=5)
+    log = rows(w, "run_log")
+    assert len(log) == 1 and "QualityGateFailed" in log[0].note and rows(w, "quarantine") == []
+
+
+def test_upsert_rewrites_only_touched_months(spark, w):
+    night(w, TWO[:1], backfill_days=60)
+    old = w.manifest()["pageviews"]
+    night(w, TWO[:1], today=TODAY + timedelta(days=4))
+    new = w.manifest()["pageviews"]
+    assert sorted(old) == ["2025-12", "2026-01", "2026-02"] and new["2025-12"] == old["2025-12"] and new["2026-01"] == old["2026-01"]
+    assert new["2026-02"] != old["2026-02"] and w.read("pageviews").count() == 64
+
+
+def test_neighbouring_window_day_is_rejected_and_holds(spark, w):
+    # a row of the second window's days in the first window's answer
+    def stray(article, start, end):
+        more = [item(article, end + timedelta(days=1))] if end < date(2026, 2, 1) else []
+        return daily(article, start, end) + more
+
+    s = night(w, TWO[:1], stray, backfill_days=60, max_reject_rate=0.5)
+    q = rows(w, "quarantine")
+    assert s.rows_quarantined == 1 and q[0].rule == "date_in_requested_window"
+    assert rows(w, "watermark")[0].last_date == q[0].view_date - timedelta(days=1)
+
+
+def test_strays_outside_the_range_do_not_hold(spark, w):
+    night(w, TWO[:1], lambda a, s, e: [item(a, s - timedelta(days=365)), *daily(a, s, e)], backfill_days=30, max_reject_rate=0.5)
+    assert rows(w, "watermark")[0].last_date == date(2026, 2, 27)
+
+
+def test_absent_days_are_asked_for_until_settled(spark, w):
+    hole = {date(2026, 2, 24), date(2026, 2, 25), date(2026, 2, 26), date(2026, 2, 27)}
+    night(w, TWO[:1], lambda a, s, e: [x for x in daily(a, s, e) if date(int(x["timestamp"][:4]), int(x["timestamp"][4:6]), int(x["timestamp"][6:8])) not in hole], backfill_days=10)
+    assert rows(w, "watermark")[0].last_date == date(2026, 2, 23)
+    asked = Asked()
+    night(w, TWO[:1], asked, today=TODAY + timedelta(days=1))
+    assert asked.calls == [("Sky_Tower", date(2026, 2, 24), date(2026, 2, 28))] and w.read("pageviews").count() == 11
