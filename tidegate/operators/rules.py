@@ -81,12 +81,17 @@ def first_broken_rule(j: DataFrame, same: Column, stamp: Column, kind: Column, c
 
 def one_row_per_date(j: DataFrame, by_day: str = "window_start") -> DataFrame:
     """Of clean rows (rule null) of one venue, window and day the first by seq stays clean."""
-    # rows already rejected stand in partitions of their own, spread by seq
-    other = F.when(F.col("rule").isNotNull(), F.col("seq"))
-    w = Window.partitionBy("venue_id", by_day, "view_date", other).orderBy("seq")
-    late = F.col("rule").isNull() & (F.row_number().over(w) > 1)
-    first = F.first("views").over(w)
-    j = j.withColumn("late__", late).withColumn("first__", first)
-    j = j.withColumn("detail", F.when(F.col("late__"), F.concat(F.col("view_date").cast("string"), F.lit(" already seen with "), F.col("first__").cast("string"), F.lit(" views"))).otherwise(F.col("detail")))
-    j = j.withColumn("views", F.when(~F.col("late__"), F.col("views")))
-    return j.withColumn("rule", F.when(F.col("late__"), schema.RULES[7]).otherwise(F.col("rule"))).drop("late__", "first__")
+    # rows already rejected stand in partitions of their own, spread by seq; a
+    # column, so that both functions share one window and one exchange
+    j = j.withColumn("other__", F.when(F.col("rule").isNotNull(), F.col("seq")))
+    w = Window.partitionBy("venue_id", by_day, "view_date", "other__").orderBy("seq")
+    j = j.select("*", F.row_number().over(w).alias("nth__"), F.first("views").over(w).alias("first__"))
+    late = F.col("rule").isNull() & (F.col("nth__") > 1)
+    j = j.withColumns(
+        {
+            "detail": F.when(late, F.concat(F.col("view_date").cast("string"), F.lit(" already seen with "), F.col("first__").cast("string"), F.lit(" views"))).otherwise(F.col("detail")),
+            "views": F.when(~late, F.col("views")),
+            "rule": F.when(late, schema.RULES[7]).otherwise(F.col("rule")),
+        }
+    )
+    return j.drop("other__", "nth__", "first__")
