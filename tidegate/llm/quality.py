@@ -251,8 +251,9 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, max_labelled: in
     free = ids.join(of, "id", "left_anti").orderBy(F.xxhash64("id"), "id").limit(max_pool)
     pool = scratch.keep(free.select("id", F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("toxic")))
     want = lab.withColumn("pool", F.lit(False)).union(pool.withColumn("pool", F.lit(True)))
+    # at most max_labelled + max_pool rows of three numbers
     feats = scratch.keep(
-        src.join(want.select("id", "low", "toxic"), "id").dropDuplicates(["id"]).select("id", "text", "lang", "source", "n_chars", "low", "toxic")
+        src.join(F.broadcast(want.select("id", "low", "toxic")), "id").dropDuplicates(["id"]).select("id", "text", "lang", "source", "n_chars", "low", "toxic")
         .mapInArrow(_features, "id long, low int, toxic int, shape array<int>, words array<long>, meta array<int>")
     )
     feats = scratch.keep(feats.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "id"), F.lit(5)) == 0))
