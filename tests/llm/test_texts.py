@@ -84,6 +84,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head>
         ("<main><p>A first paragraph of text.</p><div>Loose <i>text</i>\n here<p>and a block</p></div></main>", "A first paragraph of text.\n\nLoose text here\n\nand a block"),
         ("<div id=content><p>Text without an article element, a whole sentence of it.</p><p>And a second sentence.</p></div>", "Text without an article element, a whole sentence of it.\n\nAnd a second sentence."),
         ("", ""),
+        ('<div class="layout no-ads main-with-sidebar"><article class="post"><header class="entry-header"><h1>Head</h1></header><div class="article-ad-box">Buy now</div><p>Text.</p><ol class="commentlist"><li>Nice</ol></article></div>', "Head\n\nText."),
+        ("<article><table><tr><td>a<td>b</tr><tr><td>c</table><pre>x\n  y</pre>tail &nbsp; &copy; 1 &lt; 2</article>", "a b\n\nc\n\nx y\n\ntail © 1 < 2"),
     ],
 )
 def test_html(body, want):

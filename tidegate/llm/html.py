@@ -47,15 +47,22 @@ _OUT_WORDS = frozenset(
     " newsletter subscribe subscription signup login comment comments disqus replies respond discussion share sharing social related recommended toolbar"
     " widget pagination pager copyright skip hidden".split()
 )
+#: Words that tell wherever they stand in a name; the others do so first or last.
+_OUT_ANYWHERE = frozenset("ad ads advert adverts advertisement advertising sponsored cookie cookies comments commentlist newsletter popup breadcrumb breadcrumbs".split())
+#: Within an article these name its own head.
+_HEADS = frozenset("header masthead".split())
 _NOT = frozenset("has with no without is".split())
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 
 
-def _named_out(names: str) -> bool:
+def _named_out(names: str, inside: bool) -> bool:
+    """Do an element's class and id names say that it is no part of an article? inside: it lies in one."""
     for name in names.split():
         parts = _PARTS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
-        if parts[0] not in _NOT and (parts[0] in _OUT_WORDS or parts[-1] in _OUT_WORDS):
-            return True
+        if _NOT.isdisjoint(parts):
+            told = {p for p in (parts[0], parts[-1]) if p in _OUT_WORDS} | _OUT_ANYWHERE.intersection(parts)
+            if told - _HEADS if inside else told:
+                return True
     return False
 
 
@@ -114,7 +121,7 @@ class _Lines(HTMLParser):
         if not out:
             out = (tag in _OUT) or (tag == "header" and not region) or given.get("role", "").lower() in _OUT_ROLES or "hidden" in given or bool(re.search(r"display\s*:\s*none", given.get("style", "")))
             if not out and tag not in ("html", "body") and ("class" in given or "id" in given):
-                out = _named_out(f"{given.get('class', '')} {given.get('id', '')}")
+                out = _named_out(f"{given.get('class', '')} {given.get('id', '')}", bool(region))
         if not out and not region and (tag in ("article", "main") or given.get("role") in ("main", "article")):
             self.regions += 1
             region = self.regions
