@@ -369,7 +369,11 @@ def lm_scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_co
         while lo < 65536:
             hi = max(lo + 1, int(np.searchsorted(np.cumsum(sizes[lo:]), max_trie, "right")) + lo)
             got = grams.where(F.expr(f"(shiftright(key, 8) & 65535) >= {lo} and (shiftright(key, 8) & 65535) < {hi}")).select("key", "n").toArrow()
-            yield Trie.build(lo, hi, got["key"].to_numpy(), got["n"].to_numpy(), pairs)
+            key, count = got["key"].to_numpy(), got["n"].to_numpy()
+            del got
+            yield Trie.build(lo, hi, key, count, pairs)
+            del key, count
+            pa.default_memory_pool().release_unused()
             lo = hi
 
     def vocabularies() -> Iterator[Words]:
@@ -378,8 +382,11 @@ def lm_scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_co
         for a, b in zip(edges[:-1], edges[1:], strict=True):
             got = word_counts.where(F.col("key").between(a, b - 1)).select("key", F.col("n")).toArrow()
             h, c = got["key"].to_numpy(), got["n"].to_numpy()
+            del got
             order = np.argsort(h)
             h, c = h[order], c[order]
+            del order
+            pa.default_memory_pool().release_unused()
             yield Words(a, b - 1, h[c == 1], h[c > 1], c[c > 1].astype(np.uint32))
 
     rows = spread(src.select(F.struct("id", "held_out", F.xxhash64("text").alias("h")).alias("row"), "text"))
