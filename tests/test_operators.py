@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidegate import schema
 from tidegate.functions import scalars
 from tidegate.operators import frontier, gate, merge, planning, rules
+from tidegate.plans import queries
 from tidegate.schema import QualityGateFailed
 from tidegate.sources import contract, items
 
@@ -136,6 +137,23 @@ def test_merge(spark):
     assert [(r.stamp, r.src, r.pos) for r in got] == [("2026010300", 0, 0), ("2026010300", 0, 1), ("2026010400", 1, 1), ("soon", 1, 2)]
 
 
+def test_merge_keeps_requests_apart(spark):
+    s = "venue_id string, stamp string, pos int"
+    wide = spark.createDataFrame([("a", "2026010300", 0)], s)
+    cut = spark.createDataFrame([("a", "2026010300", 1), ("b", "2026010300", 2), ("b", "2026010300", 3)], s)
+    got = merge.merge_sources(wide, cut, F.lit(START), F.lit(END), ["venue_id"]).orderBy("pos").collect()
+    assert [(r.venue_id, r.src, r.pos) for r in got] == [("a", 0, 0), ("b", 1, 2), ("b", 1, 3)]
+
+
+def test_merge_query_takes_every_venue(spark):
+    d = "/root/testdata/sf0.001"
+    rows = [r for r in queries.shaped(spark, d).select("venue_id", "stamp", "seq").collect() if "20240105" <= r.stamp[:8] <= "20240120"]
+    wide = {(r.venue_id, r.stamp) for r in rows if r.seq % 3 == 0}
+    want = sorted((r.stamp, r.seq, int(r.seq % 3 > 0)) for r in rows if r.seq % 3 == 0 or (r.venue_id, r.stamp) not in wide)
+    got = sorted((r.stamp, r.pos, r.src) for r in queries.q_merge_sources(spark, d).collect())
+    assert got == want and len({r.venue_id for r in rows}) > 1
+
+
 def test_scalars(spark):
     r = spark.range(1).select(
         scalars.reject_rate(F.lit(0), F.lit(0)).alias("a"), scalars.reject_rate(F.lit(1), F.lit(4)).alias("b"), scalars.url_quote(F.lit("é *~/(a)")).alias("c"),

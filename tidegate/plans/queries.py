@@ -254,8 +254,7 @@ def q_drop_held(spark, d):
 
 def q_merge_sources(spark, d):
     s = shaped(spark, d).select("venue_id", "stamp", F.col("seq").alias("pos"))
-    one = s.where("venue_id = '1'").drop("venue_id")
-    return merge.merge_sources(one.where("pos % 3 = 0"), one.where("pos % 3 <> 0"), F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 20)))
+    return merge.merge_sources(s.where("pos % 3 = 0"), s.where("pos % 3 <> 0"), F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 20)), ["venue_id"]).drop("venue_id")
 
 
 def _raw(spark, d):
