@@ -154,6 +154,15 @@ def test_merge_query_takes_every_venue(spark):
     assert got == want and len({r.venue_id for r in rows}) > 1
 
 
+def test_titles_are_compared_whole(spark, tmp_path, monkeypatch):
+    rows = [(1, "plain\nr\u00e9sum\u00e9"), (2, "plain\nplain"), (3, "\u00fcber\nplain"), (4, None), (5, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    ask = lambda: [tuple(r) for r in queries.q_title_nfc_match(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert ask() == [(1, True, False), (2, True, False), (3, True, False), (4, None, None), (5, True, False)]
+    monkeypatch.setattr(scalars, "same_title", lambda got, asked: got == asked)
+    assert [r[1] for r in ask()] == [False, True, False, None, True]  # what lies after line 1 is seen
+
+
 def test_scalars(spark):
     r = spark.range(1).select(
         scalars.reject_rate(F.lit(0), F.lit(0)).alias("a"), scalars.reject_rate(F.lit(1), F.lit(4)).alias("b"), scalars.url_quote(F.lit("é *~/(a)")).alias("c"),

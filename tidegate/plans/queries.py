@@ -327,8 +327,8 @@ def q_run_summary(spark, d):
 
 
 def q_title_nfc_match(spark, d):
-    docs = _read(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("t"))
-    # the same title with its accents as marks of their own
+    docs = _read(spark, d, "documents").select("doc_id", F.col("text").alias("t"))
+    # the same text with its accents as marks of their own
     apart = F.replace(F.replace(F.col("t"), F.lit("é"), F.lit("é")), F.lit("ü"), F.lit("ü"))
     return docs.select("doc_id", scalars.same_title(apart, F.col("t")).alias("same"), scalars.same_title(F.concat(apart, F.lit("​")), F.col("t")).alias("odd"))
 
