@@ -270,6 +270,31 @@ def test_surrogates_stay_distinct(spark):
     assert len({a for a, _ in new.values()}) == len(set(names)) and not {a for a, _ in new.values()} & set(names)
 
 
+SECRETS = [
+    'TOKEN = "9233A8EC77"', "Password: hunter22", 'secret: "xyzzy9"', "Authorization: Bearer abc.def-123", 'API_KEY="QWERTY77"', '{"client_secret": "s3cr3t99"}', "pwd : letmein",
+    "secret_access_key = wJalrXUtnFEMI", 'password = "correct horse battery"', "token => tok55555", "passphrase := opensesame", "password: '****'",
+]
+
+
+def test_secrets_in_all_forms(spark):
+    df = spark.createDataFrame([*enumerate(SECRETS), (99, "The ring bearer arrived. A token of thanks; no secret, and the passwords: none")], DOCS)
+    got = {r.doc_id: r for r in pii.pseudonymise(df, Scratch(spark, "t"), "key").collect()}
+    for i, (text, value) in enumerate(zip(SECRETS, ["9233A8EC77", "hunter22", "xyzzy9", "abc.def-123", "QWERTY77", "s3cr3t99", "letmein", "wJalrXUtnFEMI", "correct horse battery", "tok55555", "opensesame", "'****'"], strict=True)):
+        assert got[i].n_entities == 1 and value not in got[i].text and got[i].text.startswith(text[: text.index(value)]), got[i]
+    assert got[99].n_entities == 0
+
+
+def test_gender_is_a_persons(spark):
+    df = spark.createDataFrame([(1, "Dr Ann Lee saw Mrs Ann Lee and Prof. John Smith."), (2, "Mr John Smith, Dr Ann Lee; Mx Max Fox, Mr Sam Orr, Ms Sam Orr, Dr Sam Orr.")], DOCS)
+    a, b = (r.text for r in pii.pseudonymise(df, Scratch(spark, "t"), "key").orderBy("doc_id").collect())
+    m = re.fullmatch(r"Dr (\w+ \w+) saw Mrs (\w+ \w+) and Prof\. (\w+ \w+)\.", a)
+    n = re.fullmatch(r"Mr (\w+ \w+), Dr (\w+ \w+); Mx (\w+) \w+, Mr (\w+) \w+, Ms (\w+) \w+, Dr (\w+) \w+\.", b)
+    assert m[1] == m[2] == n[2] and m[1].split()[0] in pii.GIVEN["latin", "f"]
+    assert m[3] == n[1] and n[1].split()[0] in pii.GIVEN["latin", "m"]
+    # names of both genders may be two people's
+    assert n[3] in pii.GIVEN["latin", "n"] and n[4] in pii.GIVEN["latin", "m"] and n[5] in pii.GIVEN["latin", "f"] and n[6] in pii.GIVEN["latin", "n"]
+
+
 def test_pii_runs_no_python(spark):
     plan = pii.pseudonymise(spark.createDataFrame(MIXED, DOCS), Scratch(spark, "t"), "key")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

@@ -29,7 +29,15 @@ _SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 _PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _CLOUD = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z2-7]{16}(?![A-Za-z0-9])"
-_SECRET = r"(?<=password=|passwd=|pwd=|token=|secret=|api_key=|apikey=|token = \"|secret = \"|password = \"|api_key = \"|token: \"|token=\")[^\s\"'&;,]{4,}"
+#: What a secret is given to, in any case: `password=x`, `TOKEN = "x"`, `"api_key": 'x'`, `secret: x`.
+_KEYS = r"(?i:passw(?:or)?d|pwd|passphrase|token|secret|(?:api|secret|access|private)[_\-]?(?:access[_\-]?)?key)"
+_GIVEN = r"(?::=|=>|[=:])[ \t]{0,8}\\?"
+_KEYED = rf"{_KEYS}\\?[\"']?[ \t]{{0,8}}{_GIVEN}"
+#: Cheap tests come first: the look behind for keys is slow.
+_QUOTED = "|".join(rf"(?<={q})(?<={_GIVEN}{q})(?<={_KEYED}{q})[^{q}\r\n]{{4,}}(?={q})" for q in "\"'")
+_PLAIN = rf"(?<=[=:>\"' \t\\])(?=[^\s\"'&;,])(?<={_GIVEN}[\"']?)(?<={_KEYED}[\"']?)[^\s\"'&;,]{{4,}}"
+_BEARER = r"(?<=[rR][ \t])(?<=(?i:bearer)[ \t])(?=[\w.~+/\-]*[0-9]|[\w.~+/\-]{20})[\w.~+/\-]{4,}=*"
+_SECRET = f"{_QUOTED}|{_PLAIN}|{_BEARER}"
 #: Titles, by gender.
 FEMALE = "Mrs|Ms|Miss|Madame|Mme|Frau|Señora|Sra|Signora|Lady|г-жа|госпожа|κυρία"
 MALE = "Mr|Mister|Sir|Monsieur|Herr|Señor|Sr|Signor|Lord|г-н|господин|κύριος"
@@ -41,7 +49,7 @@ KINDS = (("email", _EMAIL), ("login", _URLUSER), ("cloud", _CLOUD), ("secret", _
 _TITLED = rf"(?<!\p{{L}})(?:{FEMALE}|{MALE}|{NEUTRAL})\.? \p{{Lu}}\p{{Ll}}+(?:[ \-]\p{{Lu}}\p{{Ll}}+){{0,2}}"
 PATTERN = "|".join(f"(?:{p})" for _, p in (*KINDS, ("name", _TITLED)))
 #: What every entity has somewhere: found fast, it spares most texts the pattern.
-HINTS = ("@", "=", ': "', "AKIA", "ASIA", *(f"{t}{end}" for t in f"{FEMALE}|{MALE}|{NEUTRAL}".split("|") for end in (" ", ". ")))
+HINTS = ("@", "=", ":", "AKIA", "ASIA", *(f"{t}{end}" for t in f"{FEMALE}|{MALE}|{NEUTRAL}".split("|") for end in (" ", ". ")))
 
 #: Names by script and gender; the family name follows.
 GIVEN = {
@@ -145,12 +153,21 @@ def _email(e: Column, hexes: Column, attempt: Column) -> Column:
     return F.concat(local, more, F.lit("@"), host)
 
 
-def _name(e: Column, hexes: Column) -> Column:
+def _who(name: Column) -> Column:
+    """The name without its title."""
+    return F.regexp_replace(name, r"^[^ ]+ ", "")
+
+
+def _gender(name: Column) -> Column:
+    """The gender that a name's title gives: f, m, or n for none."""
+    bare = F.regexp_extract(name, r"^([^ ]+?)\.? ", 1)
+    return F.when(F.regexp_like(bare, F.lit(f"^(?:{FEMALE})$")), "f").when(F.regexp_like(bare, F.lit(f"^(?:{MALE})$")), "m").otherwise("n")
+
+
+def _name(e: Column, hexes: Column, gender: Column) -> Column:
     """Title as it was; given name by gender and script; a family name if there was one."""
     title = F.regexp_extract(e, r"^[^ ]+ ", 0)
-    rest = F.substr(e, F.length(title) + 1)
-    bare = F.regexp_replace(F.trim(title), r"\.$", "")
-    gender = F.when(F.regexp_like(bare, F.lit(f"^(?:{FEMALE})$")), "f").when(F.regexp_like(bare, F.lit(f"^(?:{MALE})$")), "m").otherwise("n")
+    rest = _who(e)
     script = F.when(F.regexp_like(rest, F.lit(r"\p{IsCyrillic}")), "cyrillic").when(F.regexp_like(rest, F.lit(r"\p{IsGreek}")), "greek").otherwise("latin")
     out = F.lit(None).cast("string")
     for s, syl in SYLLABLES.items():
@@ -163,11 +180,11 @@ def _name(e: Column, hexes: Column) -> Column:
     return F.concat(title, out)
 
 
-def surrogate(e: Column, key: str, attempt: Column) -> Column:
-    """The keyed surrogate of an entity at an attempt."""
+def surrogate(e: Column, key: str, attempt: Column, gender: Column | None = None) -> Column:
+    """The keyed surrogate of an entity at an attempt; ``gender`` is the person's, where the title doesn't tell."""
     kind = kind_of(e)
     # names of one person with another title are the same person
-    who = F.when(kind == "name", F.regexp_replace(e, r"^[^ ]+ ", "")).otherwise(e)
+    who = F.when(kind == "name", _who(e)).otherwise(e)
     hexes = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, who, attempt.cast("string")), 512)
     # a second round of hashing with the key in front: lengths of the first can't be extended
     hexes = F.sha2(F.concat(F.lit(key), hexes), 512)
@@ -176,24 +193,45 @@ def surrogate(e: Column, key: str, attempt: Column) -> Column:
         .when(kind == "card", _card(e, hexes))
         .when(kind == "phone", _phone(e, hexes, attempt))
         .when(kind == "ip", _ip(hexes))
-        .when(kind == "name", _name(e, hexes))
+        .when(kind == "name", _name(e, hexes, _gender(e) if gender is None else F.coalesce(gender, _gender(e))))
         .when(kind == "cloud", F.concat(F.substr(e, F.lit(1), F.lit(4)), F.translate(F.upper(_reshaped(F.substr(e, F.lit(5)), hexes, False)), "0189", "2345")))
         .when(F.regexp_like(e, F.lit("^[0-9a-f]+$")), _reshaped(e, hexes, True))
-        .otherwise(_reshaped(e, hexes, False))
+        # a secret of few letters and digits grows if that is too narrow
+        .otherwise(F.concat(_reshaped(e, hexes, False), F.when((kind == "secret") & (attempt >= 3), F.substr(hexes, F.lit(100), F.lit(6))).otherwise("")))
     )
 
 
 def entities(text: Column) -> Column:
     """All entities of a text, in order."""
-    hint = F.regexp_like(text, F.lit("[0-9]"))
+    hint = F.regexp_like(text, F.lit("[0-9]|(?i:bearer)[ \\t]"))
     for h in HINTS:
         hint = hint | F.contains(text, F.lit(h))
     return F.when(hint, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.lit([]).cast("array<string>"))
 
 
+def _led(found: DataFrame) -> DataFrame:
+    """(entity, gender) of names whose title has no gender, where other titles of the same name agree on one."""
+    e = F.col("entity")
+    people = found.where(F.regexp_like(e, F.lit(rf"^(?:{_TITLED})$"))).select("entity", _who(e).alias("who"), _gender(e).alias("g"))
+    told = F.when(F.col("g") != "n", F.col("g"))
+    known = people.groupBy("who").agg(F.min(told).alias("gender"), F.max(told).alias("other")).where("gender = other")
+    return people.where("g = 'n'").join(known, "who").select("entity", "gender")
+
+
 def _retries(found: DataFrame, key: str, scratch: Scratch, most: int = 50) -> DataFrame:
     """(entity, surrogate) of those entities whose first surrogate won't do; found: distinct entities."""
     tried = scratch.keep(found.select("entity", surrogate(F.col("entity"), key, F.lit(0)).alias("s")))
+    led = scratch.keep(_led(tried))
+    some = not led.isEmpty()
+
+    def tries(frame: DataFrame, attempt: int) -> DataFrame:
+        """(entity, s) of frame's entities at an attempt, a person's gender being one."""
+        if not some:
+            return frame.select("entity", surrogate(F.col("entity"), key, F.lit(attempt)).alias("s"))
+        return frame.join(led, "entity", "left").select("entity", surrogate(F.col("entity"), key, F.lit(attempt), F.col("gender")).alias("s"))
+
+    if some:
+        tried = scratch.keep(tried.join(led, "entity", "left_anti").union(tries(led.select("entity"), 0)))
     real = tried.select(F.col("entity").alias("s"))
 
     def clashing(new: DataFrame, taken: DataFrame | None) -> DataFrame:
@@ -207,11 +245,11 @@ def _retries(found: DataFrame, key: str, scratch: Scratch, most: int = 50) -> Da
 
     bad = scratch.keep(clashing(tried, None))
     taken = tried.join(bad, "entity", "left_anti").select("s")
-    good = None
+    good = tried.join(bad, "entity", "left_anti").join(led, "entity", "left_semi") if some else None
     for attempt in range(1, most + 1):
         if bad.isEmpty():
             break
-        new = scratch.keep(bad.select("entity", surrogate(F.col("entity"), key, F.lit(attempt)).alias("s")))
+        new = scratch.keep(tries(bad, attempt))
         bad = scratch.keep(clashing(new, taken))
         ok = new.join(bad, "entity", "left_anti")
         good = ok if good is None else good.union(ok)
