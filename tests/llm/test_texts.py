@@ -92,6 +92,26 @@ def test_html(body, want):
     assert html.main_text(PAGE.format(body)) == want
 
 
+LONG = [f"Paragraph {i}: " + "words of an article " * 15 for i in range(10)]
+PLAIN = "".join(f"<p>{x}</p>" for x in LONG)
+MENU = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a></li>" for i in range(6)) + "</ul>"
+LIST = [f"short item {i:03d}" for i in range(8)]
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        (f"<h1>A title</h1>{PLAIN}<ul>{''.join(f'<li>{x}</li>' for x in LIST)}</ul>", ["A title", *LONG, *LIST]),
+        (f"{MENU}<div><h1>A title</h1>{PLAIN}<ul>{''.join(f'<li>{x}' for x in LIST[:4])}</ul></div>{MENU}", ["A title", *LONG, *LIST[:4]]),
+        (f"{MENU}<h1>A title</h1>{PLAIN}<p>The end.</p>{MENU}", ["A title", *LONG, "The end."]),
+        (f"<div>{PLAIN}<p>One.</p></div>{MENU}<div><p>Two.</p>{PLAIN}</div>", [*LONG, "One.", "Two.", *LONG]),
+        (f"<div>{PLAIN}</div><div>Part two</div><div>{PLAIN}</div>", [*LONG, "Part two", *LONG]),
+    ],
+)
+def test_html_without_article(body, want):
+    assert html.main_text(f"<html><body>{body}</body></html>").split("\n\n") == [" ".join(x.split()) for x in want]
+
+
 def test_html_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "plain &amp; bare", "x"), (3, "u", "plain &amp; bare", "x"), (4, "u", "<p>" + "word " * 200_000, "x")], "page_id long, url string, html string, text string")
     got = sorted(map(tuple, html.extract(df).collect()), key=str)

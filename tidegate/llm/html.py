@@ -9,8 +9,10 @@ The ratio alone confuses a long notice with an article and an article's short
 lines with menus, so regions that the markup itself names (nav, footer, forms,
 adverts, comments and the like) are left out first. Within what is left, the
 clusters choose the region: the outermost article or main elements that hold
-content lines, all of their lines; without such elements, the lines from the
-first to the last content line of each cluster.
+content lines, all of their lines. Without such elements, content lines that no
+line of links parts are one cluster, and each cluster extends over the lines of
+the element that holds it, but for lines of links before the first content line
+or after the last.
 """
 
 from __future__ import annotations
@@ -69,9 +71,14 @@ def _named_out(names: str, inside: bool) -> bool:
 class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        #: (text, tags, out, region): region 0 is none, else the number of an article or main
-        self.lines: list[tuple[str, int, bool, int]] = []
+        #: (text, tags, out, region, block, linked): region 0 is none, else the number of an article or main; linked: most of it is links
+        self.lines: list[tuple[str, int, bool, int, int, bool]] = []
         self.stack: list[tuple[str, bool, int]] = []
+        #: for each of the stack: the innermost block, as its number in order of start tags, and whether it lies in a link
+        self.places: list[tuple[int, bool]] = []
+        #: each block's parent; block 0 is the page
+        self.parents = [0]
+        self.linked = 0
         self.regions = 0
         self.parts: list[str] = []
         self.tags = 0
@@ -80,13 +87,17 @@ class _Lines(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.out, self.region))
+            self.lines.append((text, self.tags, self.out, self.region, self._place()[0], 2 * self.linked > len(text)))
             self.tags = 0
         self.parts.clear()
+        self.linked = 0
+
+    def _place(self) -> tuple[int, bool]:
+        return self.places[-1] if self.places else (0, False)
 
     def _pop(self, n: int) -> None:
         self._flush()
-        del self.stack[n:]
+        del self.stack[n:], self.places[n:]
         self.out, self.region = self.stack[-1][1:] if self.stack else (False, 0)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -127,7 +138,12 @@ class _Lines(HTMLParser):
             region = self.regions
         if (out, region) != (self.out, self.region):
             self._flush()
+        block, link = self._place()
+        if tag in _BLOCK:
+            self.parents.append(block)
+            block = len(self.parents) - 1
         self.stack.append((tag, out, region))
+        self.places.append((block, link or (tag == "a" and "href" in given)))
         self.out, self.region = out, region
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -145,12 +161,14 @@ class _Lines(HTMLParser):
                     inner = self.stack[i - 1][1:] if i else (False, 0)
                     if inner != (self.out, self.region):
                         self._flush()
-                    del self.stack[i:]
+                    del self.stack[i:], self.places[i:]
                     self.out, self.region = inner
                 break
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
+        if self._place()[1]:
+            self.linked += len(" ".join(data.split()))
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -160,6 +178,38 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(ratios, k, "full")[r:-r] / np.convolve(np.ones_like(ratios), k, "full")[r:-r]
 
 
+def _extended(blocks: list[int], linked: list[bool], content: np.ndarray, parents: list[int]) -> list[int]:
+    """The lines of all clusters and of the elements that hold them.
+
+    A cluster's element is the innermost one with all its lines; that of a single
+    block is its parent, so that a paragraph comes with those beside it.
+    """
+    last = list(range(len(parents)))
+    for b in range(len(parents) - 1, 0, -1):
+        last[parents[b]] = max(last[parents[b]], last[b])
+    holders: set[int] = set()
+    holder, single = -1, True
+    for b, is_link, is_content in zip([*blocks, -1], [*linked, True], [*content, False], strict=True):
+        if is_content and holder < 0:
+            holder, single = b, True
+        elif is_content:
+            single = single and b == holder
+            while not holder <= b <= last[holder]:
+                holder = parents[holder]
+        elif is_link and holder >= 0:
+            holders.add(parents[holder] if single else holder)
+            holder = -1
+    owner = [-1] * len(parents)  # the outermost of the holders
+    for b in range(len(parents)):
+        above = owner[parents[b]] if b else -1
+        owner[b] = above if above >= 0 else b if b in holders else -1
+    ends: dict[int, tuple[int, int]] = {}
+    for i in np.flatnonzero(content).tolist():
+        o = owner[blocks[i]]
+        ends[o] = (ends.get(o, (i, i))[0], i)
+    return [i for i, b in enumerate(blocks) if (o := owner[b]) >= 0 and (not linked[i] or ends[o][0] <= i <= ends[o][1])]
+
+
 def main_text(html: str | None) -> str:
     """The page's main text, its blocks joined by an empty line; "" if it has none."""
     if not html:
@@ -171,15 +221,14 @@ def main_text(html: str | None) -> str:
     lines = [x for x in p.lines if not x[2]]
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(t) / max(n, 1) for t, n, _, _ in lines], float))
+    ratios = smoothed(np.array([len(t) / max(n, 1) for t, n, *_ in lines], float))
     content = ratios >= min(LAMBDA * ratios.std(), ratios.max())
-    regions = {r for (_, _, _, r), c in zip(lines, content, strict=True) if c and r}
+    regions = {x[3] for x, c in zip(lines, content, strict=True) if c and x[3]}
     if not regions:
-        regions = {r for _, _, _, r in lines if r}
+        regions = {x[3] for x in lines if x[3]}
     if regions:
-        return "\n\n".join(t for t, _, _, r in lines if r in regions)
-    at = np.flatnonzero(content)
-    return "\n\n".join(t for t, *_ in lines[at[0] : at[-1] + 1])
+        return "\n\n".join(x[0] for x in lines if x[3] in regions)
+    return "\n\n".join(lines[i][0] for i in _extended([x[4] for x in lines], [x[5] for x in lines], content, p.parents))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
