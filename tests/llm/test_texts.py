@@ -64,6 +64,17 @@ def test_decontamination(spark, max_words):
     assert empty.where("size(spans) > 0").isEmpty() and empty.count() == len(docs)
 
 
+@pytest.mark.parametrize("max_words", [100_000, 15])
+def test_cuts_do_not_depend_on_automata(spark, max_words):
+    a, b, x = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 15), ("b", 3), ("x", 30)))
+    halves = [" ".join(a.split()[:7]), " ".join(a.split()[7:])]
+    items = spark.createDataFrame([(1, a), (2, b)], "item_id long, text string").coalesce(1)
+    # 15 and 3 of 20 words; an item that comes together when the other is cut from it
+    docs = spark.createDataFrame([(1, f"{a} y1 {b} y2"), (2, f"{x} {halves[0]} {b} {halves[1]} {x}"), (3, x), (4, None), (5, "")], DOCS)
+    got = decontam.decontaminate(docs, items, Scratch(spark, "t"), max_words=max_words).collect()
+    assert sorted(map(tuple, got)) == [(2, f"{x} {x}"), (3, x), (4, None), (5, "")]
+
+
 def test_automaton_tracks_longest_matches():
     a = decontam.Automaton([("1", list("abcdef")), ("2", list("xabcy")), ("3", list("abc"))], window=4)
     spans, found = a.matches(list("zzabcdq"))

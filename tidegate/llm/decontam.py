@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -215,24 +215,28 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, carry: li
     return out
 
 
-def _cut(coverage: float, window: int, shared):
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    at = [m.span() for m in _WORD.finditer(text)]
+    parts, done = [], 0
+    for a, b in spans:
+        parts.append(text[done : at[a][0]])
+        done = at[b][1]
+    parts.append(text[done:])
+    return " ".join(p for p in (x.strip() for x in parts) if p)
+
+
+def _cut(coverage: float, shared):
     """Texts without their hit stretches, scanned anew until nothing is left to cut."""
 
     def clean(text: str | None) -> str | None:
         while text:
-            at = [m.span() for m in _WORD.finditer(text)]
             toks = words(text)
             spans = covered(shared.value.matches(toks)[0])
             if not spans:
                 break
             if sum(b - a + 1 for a, b in spans) > coverage * len(toks):
                 return None
-            parts, done = [], 0
-            for a, b in spans:
-                parts.append(text[done : at[a][0]])
-                done = at[b][1]
-            parts.append(text[done:])
-            text = " ".join(p for p in (x.strip() for x in parts) if p)
+            text = _without(text, spans)
         return text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,22 +250,50 @@ def _cut(coverage: float, window: int, shared):
     return run
 
 
+def _cut_found(coverage: float):
+    """Rows (row, text, n_words, spans) with their spans cut, and whether any was; those covered too far go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, again, stays = [], [], []
+            for text, n, flat in zip(*(batch.column(c) for c in ("text", "n_words", "spans")), strict=True):
+                text, flat = text.as_py(), flat.as_py()
+                spans = [*zip(flat[::2], flat[1::2], strict=True)]
+                stays.append(sum(b - a + 1 for a, b in spans) <= coverage * n.as_py())
+                again.append(bool(spans))
+                texts.append(_without(text, spans) if spans and stays[-1] else text)
+            arrays = [batch.column("row"), pa.array(texts, pa.string()), pa.array(again, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "text", "again"]).filter(pa.array(stays, pa.bool_()))
+
+    return run
+
+
+def _cut_by_rounds(todo: DataFrame, benchmark: DataFrame, scratch: Scratch, coverage: float, window: int, max_words: int) -> DataFrame:
+    """What _cut does, with several automata: each round takes the spans of all, then scans anew what was cut."""
+    kind = todo.schema["row"].dataType.simpleString()
+    done = None
+    while True:
+        hits = find_hits(todo, benchmark, scratch, ["row"], window, max_words)
+        cut = scratch.keep(hits.select("row.row", "text", "n_words", "spans").mapInArrow(_cut_found(coverage), f"row {kind}, text string, again boolean"))
+        whole, todo = cut.where("not again").drop("again"), cut.where("again").drop("again")
+        done = whole if done is None else done.union(whole)
+        if todo.isEmpty():
+            return done
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, coverage: float = COVERAGE, window: int = WINDOW, max_words: int = MAX_WORDS) -> DataFrame:
     """``docs`` with hit stretches cut from ``text``; documents hit on more than ``coverage`` of their words go.
 
     Rows without hits, null and empty texts among them, stay as they are, with
     all their columns; n_chars, where there is one, follows a cut text.
     """
-    spark, out, kept = docs.sparkSession, spread(docs.select(F.struct(*docs.columns).alias("row"), "text")), None
-    kind = out.schema["row"].dataType.simpleString()
-    for k, auto in enumerate(automata(benchmark, window, max_words)):
-        if k:
-            last, kept = kept, scratch.keep(out)
-            out = kept
-            if last is not None:
-                scratch.drop(last)
-        shared = spark.sparkContext.broadcast(auto)
-        out = out.mapInArrow(_cut(coverage, window, shared), f"row {kind}, text string")
+    out = spread(docs.select(F.struct(*docs.columns).alias("row"), "text"))
+    built = [*islice(automata(benchmark, window, max_words), 2)]
+    if len(built) == 1:
+        out = out.mapInArrow(_cut(coverage, docs.sparkSession.sparkContext.broadcast(built[0])), f"row {out.schema['row'].dataType.simpleString()}, text string")
+    else:
+        built.clear()
+        out = _cut_by_rounds(out, benchmark, scratch, coverage, window, max_words)
     changed = ~F.col("row.text").eqNullSafe(F.col("text"))
     n_chars = lambda c: F.when(changed, F.char_length("text")).otherwise(F.col(f"row.{c}")).cast(docs.schema[c].dataType)
     return out.select(*[F.col("text") if c == "text" else n_chars(c).alias(c) if c == "n_chars" else F.col(f"row.{c}").alias(c) for c in docs.columns])
