@@ -81,12 +81,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that the frame doesn't have, whatever its case."""
-    names, name = {c.lower() for c in df.columns}, stem
-    while name.lower() in names:
-        name = "_" + name
-    return name
+def packed(df: DataFrame) -> Column:
+    """A row's columns as one struct, out of the way of an operator's own names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def ascii_lower(c: Column) -> Column:
