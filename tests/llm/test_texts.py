@@ -123,6 +123,72 @@ def test_html_without_article(body, want):
     assert html.main_text(f"<html><body>{body}</body></html>").split("\n\n") == [" ".join(x.split()) for x in want]
 
 
+def page(article):
+    return html.main_text(f"<html><body><nav><a href=/>x</a></nav><article>{article}</article><footer>f</footer></body></html>").split("\n\n")
+
+
+def test_sections_of_an_article_stay():
+    """Names that may be a section's: a cluster in it keeps it, a list of links does not."""
+    text = "".join(f"<p>{x}</p>" for x in LONG[:3])
+    clean = [" ".join(x.split()) for x in LONG[:3]]
+    for name in ("discussion", "related-work", "notice", "banner", "promo"):
+        assert page(f'<p>{LONG[4]}</p><section id="{name}"><h2>Heading</h2>{text}<p>End.</p></section>') == [" ".join(LONG[4].split()), "Heading", *clean, "End."]
+    assert page(f'{text}<div class="related"><h2>More</h2>{MENU}</div><p>End.</p>') == [*clean, "End."]
+    assert page(f'{text}<div class="newsletter"><p>{LONG[5]}</p></div>') == clean
+
+
+def test_ratios_decide(monkeypatch):
+    """Teasers are articles too: only ratios tell them from the one that is read."""
+    teaser = "<article><h3><a href=/a>Other</a></h3><p>A short teaser.</p></article>"
+    pages = [f"<html><body>{MENU}{teaser}{MENU}<article><h1>Head</h1>{PLAIN}</article>{MENU}{teaser * 3}</body></html>", f"<html><body><div>{PLAIN}<p>One.</p></div>{MENU}<p>Loose.</p>{MENU}</body></html>", PAGE.format(f"<article>{PLAIN}</article>")]
+    got = [html.main_text(x) for x in pages]
+    clean = [" ".join(x.split()) for x in LONG]
+    assert [x.split("\n\n") for x in got] == [["Head", *clean], [*clean, "One."], clean]
+    monkeypatch.setattr(html, "smoothed", lambda r, sigma=1.0: np.zeros_like(r))
+    assert all(html.main_text(x) != y for x, y in zip(pages, got, strict=True))
+    monkeypatch.setattr(html, "smoothed", lambda r, sigma=1.0: np.linspace(1, 0, len(r)))
+    assert html.main_text(pages[0]) != got[0]
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        ("<article><p>hi</p><![foo[x]]></article>", "hi"), ("<article><p>hi</p></article><![ ", "hi"), ("<article><p>hi</p><!-- <p>raw</p></article>", "hi"),
+        ("<article><p>hi<!-->there</p><!--->!</article>", "hithere\n\n!"), ("<article><p>hi</p><a href='x", "hi"), ("<article><p>hi</p></artic", "hi"), ("<article><p>hi &#99999999999; &#x110000; &#00000065; &bogus; &", "hi \ufffd \ufffd A &bogus; &"),
+        ("<article><p>hi</p><?php x", "hi"), ("<article><p>hi</p><!DOCTYPE", "hi"), ("<article><p>1 < 2 <3</p></article>", "1 < 2 <3"), ("<article><p>&#" + "9" * 5000 + ";</p></article>", "\ufffd"),
+    ],
+)
+def test_broken_markup(body, want):
+    assert html.main_text(f"<html><body>{body}") == want
+
+
+def test_any_bytes_are_a_page():
+    rng = np.random.default_rng(1)
+    bits = ["<", ">", "</", "<!", "<!--", "-->", "<![", "]]>", "<?", "&#", "&", ";", "=", '"', "'", "/", "\x00", "<p>", "<li>", "</ul>", "<script>", "</script", "<title>", "<article>", "</article>", "<table>", "<tr>", "x" * 40, "é", " "]
+    for n in range(10_000):
+        text = list(pages_seed[n % len(pages_seed)])
+        for _ in range(int(rng.integers(1, 6))):
+            a = int(rng.integers(0, len(text)))
+            text[a : a + int(rng.integers(0, 4))] = bits[rng.integers(len(bits))]
+        html.main_text("".join(text))
+
+
+pages_seed = [PAGE.format(f"<article><p>One &amp; two</p>{MENU}</article>"), f"<html><body>{MENU}<p>{LONG[0]}</p><dl><dt>a<dd>b</dl><table><tr><td>1<tr><td>2</table></body></html>"]
+
+
+@pytest.mark.parametrize("piece", ["</b>", "</p>", "<b>", "<div>", "<p><b>", "<li>", "<a ", "<!--", "<![", "</", "<", "&", "&#", "<b><hr>", "<button><b><hr>", "<dd><li>", "<x='", "<!", "<table><tr>"])
+def test_pages_take_linear_time(piece):
+    import time
+
+    def took(n):
+        began = time.perf_counter()
+        html.main_text("<article><p>text</p>" + piece * n)
+        return time.perf_counter() - began
+
+    took(100)
+    assert took(40_000) < 40 * max(took(4_000), 0.01)
+
+
 def test_html_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "plain &amp; bare", "x"), (3, "u", "plain &amp; bare", "x"), (4, "u", "<p>" + "word " * 200_000, "x")], "page_id long, url string, html string, text string")
     got = sorted(map(tuple, html.extract(df).collect()), key=str)

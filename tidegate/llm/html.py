@@ -1,26 +1,29 @@
 """Main text of web pages: parser events, text-to-tag ratios, clustering.
 
 The standard library's streaming parser deals a page into lines, one per block,
-each with its text, its number of tags and the regions it lies in. Ratios of
-text to tags are smoothed with a Gaussian over neighbouring lines; lines above
-the threshold, a share of the ratios' deviation, cluster into content.
-
-The ratio alone confuses a long notice with an article and an article's short
-lines with menus, so regions that the markup itself names (nav, footer, forms,
-adverts, comments and the like) are left out first. Within what is left, the
-clusters choose the region: the outermost article or main elements that hold
-content lines, all of their lines. Without such elements, content lines that no
-line of links parts are one cluster, and each cluster extends over the lines of
-the element that holds it, but for lines of links before the first content line
-or after the last.
+each with its text, its number of tags and the elements it lies in. A line's
+ratio is its text, links aside, to its tags; markup is a feature of it: lines of
+regions that the markup names (nav, footer, forms, adverts, comments and the
+like) have none. Ratios are smoothed with a Gaussian over neighbouring lines, and
+lines above the threshold, a share of the smoothed ratios' deviation, are
+content if a line of their cluster is above it by itself.
+
+Clusters then choose regions. An article or main element that holds a cluster is
+taken with all its lines, others are not. Without such elements, each cluster
+extends over the lines of the element that holds it, but for lines of links
+before the first content line or after the last. Within an article, names that
+may as well be a section's (discussion, related, notice) are doubtful: a cluster
+in it, and not a list of links, keeps the element.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -49,56 +52,130 @@ _OUT_WORDS = frozenset(
     " newsletter subscribe subscription signup login comment comments disqus replies respond discussion share sharing social related recommended toolbar"
     " widget pagination pager copyright skip hidden".split()
 )
-#: Words that tell wherever they stand in a name; the others do so first or last.
-_OUT_ANYWHERE = frozenset("ad ads advert adverts advertisement advertising sponsored cookie cookies comments commentlist newsletter popup breadcrumb breadcrumbs".split())
+#: Words that tell wherever they stand in a name, and in an article too; the others do so first or last.
+_OUT_ANYWHERE = frozenset("ad ads advert adverts advertisement advertising sponsored cookie cookies comment comments commentlist newsletter popup breadcrumb breadcrumbs".split())
 #: Within an article these name its own head.
 _HEADS = frozenset("header masthead".split())
 _NOT = frozenset("has with no without is".split())
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
-
-
-def _named_out(names: str, inside: bool) -> bool:
-    """Do an element's class and id names say that it is no part of an article? inside: it lies in one."""
+#: Elements whose end tags may be left out, by what ends them; and what these items lie in.
+_ITEMS = {"li": "li", "dt": "d", "dd": "d", "tr": "tr", "option": "option"}
+_SCOPES = frozenset({*_ITEMS, "ul", "ol", "menu", "dl", "table", "select", "article", "main"})
+_UNSEEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+_COMMENT_END, _COMMENT_CLOSE = re.compile("-?>"), re.compile("--!?>")
+#: References to numbers that no character has.
+_NO_CHARACTER = re.compile("&#(?:0*+[0-9]{8,}|[xX]0*+[0-9A-Fa-f]{7,});?")
+
+
+def _named(names: str, inside: bool) -> int:
+    """What an element's class and id names say: 0 nothing, 1 perhaps no part of an article, 2 none. inside: it lies in one."""
+    told = 0
     for name in names.split():
         parts = _PARTS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
         if _NOT.isdisjoint(parts):
-            told = {p for p in (parts[0], parts[-1]) if p in _OUT_WORDS} | _OUT_ANYWHERE.intersection(parts)
-            if told - _HEADS if inside else told:
-                return True
-    return False
+            if not _OUT_ANYWHERE.isdisjoint(parts):
+                return 2
+            ends = {p for p in (parts[0], parts[-1]) if p in _OUT_WORDS}
+            if ends - _HEADS if inside else ends:
+                told = 1 if inside else 2
+    return told
+
+
+class _Open(NamedTuple):
+    """An open element, with what holds inside of it."""
+
+    tag: str
+    out: bool
+    doubt: int
+    region: int
+    block: int
+    link: bool
+    #: where the innermost open block stands, and the innermost element of _SCOPES
+    last_block: int
+    last_scope: int
+
+
+class _Line(NamedTuple):
+    text: str
+    tags: int
+    linked: int
+    out: bool
+    #: numbers of the doubtful element and of the article or main that hold the line; 0 is none
+    doubt: int
+    region: int
+    block: int
+
+
+_PAGE = _Open("", False, 0, 0, 0, False, -1, -1)
 
 
 class _Lines(HTMLParser):
+    """Gets a whole page at once: what is left open at its end ends there, and is no text.
+
+    Elements know the innermost block and list item around them, and open
+    elements are counted by tag, so that no tag looks through all the others.
+    """
+
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "title", "textarea", "iframe", "xmp", "noembed", "noframes")
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        #: (text, tags, out, region, block, linked): region 0 is none, else the number of an article or main; linked: most of it is links
-        self.lines: list[tuple[str, int, bool, int, int, bool]] = []
-        self.stack: list[tuple[str, bool, int]] = []
-        #: for each of the stack: the innermost block, as its number in order of start tags, and whether it lies in a link
-        self.places: list[tuple[int, bool]] = []
-        #: each block's parent; block 0 is the page
+        self.lines: list[_Line] = []
+        self.stack: list[_Open] = []
+        self.open: Counter = Counter()
+        self.top = _PAGE
+        #: each block's parent, blocks in order of their start tags; block 0 is the page
         self.parents = [0]
-        self.linked = 0
-        self.regions = 0
+        self.linked = self.regions = self.doubts = self.tags = 0
         self.parts: list[str] = []
-        self.tags = 0
-        self.out, self.region = False, 0
+
+    def _whole(self, k: int) -> int:
+        return k if k >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i: int) -> int:
+        return self._whole(super().parse_starttag(i))
+
+    def parse_endtag(self, i: int) -> int:
+        return self._whole(super().parse_endtag(i))
+
+    def parse_pi(self, i: int) -> int:
+        return self._whole(super().parse_pi(i))
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self._whole(self.rawdata.find(">", i + 2) + 1 or -1)
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        m = _COMMENT_END.match(self.rawdata, i + 4) or _COMMENT_CLOSE.search(self.rawdata, i + 4)
+        return m.end() if m else len(self.rawdata)
 
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.out, self.region, self._place()[0], 2 * self.linked > len(text)))
+            t = self.top
+            self.lines.append(_Line(text, self.tags, min(self.linked, len(text)), t.out, t.doubt, t.region, t.block))
             self.tags = 0
         self.parts.clear()
         self.linked = 0
 
-    def _place(self) -> tuple[int, bool]:
-        return self.places[-1] if self.places else (0, False)
-
     def _pop(self, n: int) -> None:
         self._flush()
-        del self.stack[n:], self.places[n:]
-        self.out, self.region = self.stack[-1][1:] if self.stack else (False, 0)
+        for e in self.stack[n:]:
+            self.open[e.tag] -= 1
+        del self.stack[n:]
+        self.top = self.stack[-1] if self.stack else _PAGE
+
+    def _end_open(self, tag: str) -> None:
+        """Ends what a start tag ends without an end tag: a paragraph, or an item of the same list."""
+        t = self.top
+        if tag in _CLOSES_P and t.last_block >= 0 and self.stack[t.last_block].tag == "p":
+            self._pop(t.last_block)
+        if tag in _ITEMS:
+            at = self.top.last_scope
+            while at >= 0 and (other := self.stack[at].tag) in _ITEMS:
+                if _ITEMS[other] == _ITEMS[tag]:
+                    self._pop(at)
+                    break
+                at = self.stack[at - 1].last_scope if at else -1
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -107,44 +184,36 @@ class _Lines(HTMLParser):
             return
         if tag == "body":  # a head left open ends here
             self._pop(0)
-        elif tag in _CLOSES_P:
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == "p":
-                    self._pop(i)
-                    break
-                if self.stack[i][0] in _BLOCK:
-                    break
+        else:
+            self._end_open(tag)
         if tag in _BLOCK:
             self._flush()
         elif tag in ("td", "th", "img", "input"):
             self.parts.append(" ")
         if tag in _VOID:
             return
-        if tag == "li" or tag in ("dd", "dt", "tr", "option"):  # end tags of these may be left out
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i][0] == tag:
-                    self._pop(i)
-                    break
-                if self.stack[i][0] in ("ul", "ol", "dl", "table", "select", "article", "main"):
-                    break
-        out, region = self.out, self.region
-        given = {k: v or "" for k, v in attrs}
+        t, given = self.top, {k: v or "" for k, v in attrs}
+        out, doubt, region = t.out, t.doubt, t.region
         if not out:
-            out = (tag in _OUT) or (tag == "header" and not region) or given.get("role", "").lower() in _OUT_ROLES or "hidden" in given or bool(re.search(r"display\s*:\s*none", given.get("style", "")))
+            out = (tag in _OUT) or (tag == "header" and not region) or given.get("role", "").lower() in _OUT_ROLES or "hidden" in given or bool(_UNSEEN.search(given.get("style", "")))
             if not out and tag not in ("html", "body") and ("class" in given or "id" in given):
-                out = _named_out(f"{given.get('class', '')} {given.get('id', '')}", bool(region))
+                told = _named(f"{given.get('class', '')} {given.get('id', '')}", bool(region))
+                out = told == 2
+                if told == 1 and not doubt:
+                    self.doubts += 1
+                    doubt = self.doubts
         if not out and not region and (tag in ("article", "main") or given.get("role") in ("main", "article")):
             self.regions += 1
             region = self.regions
-        if (out, region) != (self.out, self.region):
+        if (out, doubt, region) != t[1:4]:
             self._flush()
-        block, link = self._place()
+        at, block = len(self.stack), t.block
         if tag in _BLOCK:
             self.parents.append(block)
             block = len(self.parents) - 1
-        self.stack.append((tag, out, region))
-        self.places.append((block, link or (tag == "a" and "href" in given)))
-        self.out, self.region = out, region
+        self.top = _Open(tag, out, doubt, region, block, t.link or (tag == "a" and "href" in given), at if tag in _BLOCK else t.last_block, at if tag in _SCOPES else t.last_scope)
+        self.stack.append(self.top)
+        self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML knows no self-closing elements
@@ -153,21 +222,23 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in _BLOCK:
             self._flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                if self.stack[i][1:] != (self.out, self.region) or tag in _BLOCK:
-                    self._pop(i)
-                else:
-                    inner = self.stack[i - 1][1:] if i else (False, 0)
-                    if inner != (self.out, self.region):
-                        self._flush()
-                    del self.stack[i:], self.places[i:]
-                    self.out, self.region = inner
-                break
+        if not self.open[tag]:
+            return
+        # all that is looked through is popped
+        i = len(self.stack) - 1
+        while self.stack[i].tag != tag:
+            i -= 1
+        below = self.stack[i - 1] if i else _PAGE
+        if tag in _BLOCK or self.top[1:5] != below[1:5]:
+            self._flush()
+        for e in self.stack[i:]:
+            self.open[e.tag] -= 1
+        del self.stack[i:]
+        self.top = below
 
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
-        if self._place()[1]:
+        if self.top.link:
             self.linked += len(" ".join(data.split()))
 
 
@@ -210,25 +281,47 @@ def _extended(blocks: list[int], linked: list[bool], content: np.ndarray, parent
     return [i for i, b in enumerate(blocks) if (o := owner[b]) >= 0 and (not linked[i] or ends[o][0] <= i <= ends[o][1])]
 
 
+def content_of(lines: list[_Line]) -> np.ndarray:
+    """Which lines belong to clusters of content."""
+    ratios = np.array([0.0 if x.out else (len(x.text) - x.linked) / max(x.tags, 1) for x in lines])
+    smooth = smoothed(ratios)
+    least = LAMBDA * smooth.std()
+    above = (smooth > least) & np.array([not x.out for x in lines])
+    # a cluster: lines above in one region without one below; it needs one that is above unaided
+    region = np.array([x.region for x in lines])
+    cluster = np.cumsum(np.concatenate(([True], ~above[1:] | ~above[:-1] | (region[1:] != region[:-1]))))
+    return above & np.isin(cluster, cluster[above & (ratios > least)])
+
+
 def main_text(html: str | None) -> str:
-    """The page's main text, its blocks joined by an empty line; "" if it has none."""
+    """The page's main text, its blocks joined by an empty line; "" if it has none.
+
+    Any string is a page: broken markup, and what the page's end cuts off, is
+    skipped as browsers do. Time is linear in the page's length.
+    """
     if not html:
         return ""
     p = _Lines()
-    p.feed(html)
+    p.feed(_NO_CHARACTER.sub("\ufffd", html))
     p.close()
     p._flush()
-    lines = [x for x in p.lines if not x[2]]
-    if not lines:
+    if not p.lines:
         return ""
-    ratios = smoothed(np.array([len(t) / max(n, 1) for t, n, *_ in lines], float))
-    content = ratios >= min(LAMBDA * ratios.std(), ratios.max())
-    regions = {x[3] for x, c in zip(lines, content, strict=True) if c and x[3]}
-    if not regions:
-        regions = {x[3] for x in lines if x[3]}
+    content = content_of(p.lines)
+    linked, size = Counter(), Counter()
+    for x in p.lines:
+        linked[x.doubt] += x.linked
+        size[x.doubt] += len(x.text)
+    sure = {0} | {x.doubt for x, c in zip(p.lines, content, strict=True) if c and 2 * linked[x.doubt] <= size[x.doubt]}
+    here = [i for i, x in enumerate(p.lines) if not x.out and x.doubt in sure]
+    lines = [p.lines[i] for i in here]
+    content = content[here]
+    regions = {x.region for x, c in zip(lines, content, strict=True) if c and x.region}
     if regions:
-        return "\n\n".join(x[0] for x in lines if x[3] in regions)
-    return "\n\n".join(lines[i][0] for i in _extended([x[4] for x in lines], [x[5] for x in lines], content, p.parents))
+        return "\n\n".join(x.text for x in lines if x.region in regions)
+    if not content.any():
+        return ""
+    return "\n\n".join(lines[i].text for i in _extended([x.block for x in lines], [2 * x.linked > len(x.text) for x in lines], content, p.parents))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
