@@ -3,6 +3,7 @@
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,13 +63,44 @@ def brute_targets(totals):
         full |= over
 
 
-def test_targets():
-    for totals in ({"a": 10, "b": 1000, None: 50, "c": 0}, {"x": 5}, {}, {"b": 1, "a": 1, "é": 100, "z": 7}):
-        got = mixing.targets(totals)
+def test_targets(spark):
+    for totals in ({"a": 10, "b": 1000, None: 50, "c": 0}, {"x": 5}, {}, {"b": 1, "a": 1, "é": 100, "z": 7}, {f"s{i}": i * i * 37 % 1000 + (i == 7) * 10**6 for i in range(60)}):
+        df = spark.createDataFrame([*totals.items()], "source string, total long").select(mixing.source_key(F.col("source")).alias("key"), "total", "source")
+        got = {r.source: r.target for r in mixing.targets(df, Scratch(spark, "t")).collect()}
         assert got == pytest.approx(brute_targets(totals)) if totals else got == {}
         assert sum(got.values()) == pytest.approx(1.5 * sum(totals.values()))
 
 
+def dense_rates(sizes, target, cap=2.0):
+    """Entropy balancing of one source by bisection on every document's own rate."""
+    x = np.array(sizes, float)
+    at = lambda lam: np.minimum(cap, np.exp(np.minimum(lam * x, 50)))
+    lo, hi = -1e6, 1e6
+    for _ in range(300):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if (at(mid) * x).sum() < target else (lo, mid)
+    return at((lo + hi) / 2)
+
+
+def test_rates_are_entropy_balanced(spark):
+    """Against a dense solver; the rates differ within a source and meet its target, and no other such rates are nearer to 1."""
+    rng = np.random.default_rng(3)
+    sizes = {s: rng.integers(1, top, n).tolist() for s, top, n in (("a", 50, 40), ("b", 2000, 300), ("c", 20_000, 500), ("d", 5, 30), ("e", 400, 2))}
+    rows = [(s, x) for s, xs in sizes.items() for x in xs]
+    df = spark.createDataFrame([(i, " ".join(["w"] * x), s) for i, (s, x) in enumerate(rows)], "doc_id long, text string, source string")
+    got = mixing.mix(df, Scratch(spark, "t")).select("row.source", "size", "target", "rate", "copies").collect()
+    for s, xs in sizes.items():
+        mine = sorted((r.size, r.rate) for r in got if r.source == s)
+        target = next(r.target for r in got if r.source == s)
+        want = dense_rates([x for x, _ in mine], target)
+        assert [r for _, r in mine] == pytest.approx(want, rel=1e-6)
+        assert sum(x * r for x, r in mine) == pytest.approx(target, rel=1e-8)
+        assert len({r for _, r in mine}) > 1 or target == 2 * sum(xs)
+        x, r = (np.array(c, float) for c in zip(*mine, strict=True))
+        cost = lambda r: (r * np.log(np.maximum(r, 1e-300)) - r).sum()
+        assert cost(r) <= cost(np.full(len(r), target / x.sum())) + 1e-9
+
+
 def test_mixing(spark):
     rows = [(i, " ".join(["w"] * (1 + i * 7 % 90)), [None, "a", "b", "c", "d"][i % 5 if i % 3 else 1]) for i in range(900)]
     rows += [(1000, None, "a"), (1001, "", None), (1002, "\t\n ", "b"), (3, rows[3][1], rows[3][2]), (None, "x y", "a")]

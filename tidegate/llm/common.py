@@ -81,9 +81,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def packed(df: DataFrame) -> Column:
-    """A row's columns as one struct, out of the way of an operator's own names."""
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+def packed(df: DataFrame, *but: str) -> Column:
+    """A row's columns, ``but`` some, as one struct, out of the way of an operator's own names."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in but] or [F.lit(True).alias("none")])
 
 
 def ascii_lower(c: Column) -> Column:

@@ -1,11 +1,17 @@
 """Mixing sources to target weights by entropy balancing.
 
-Entropy balancing keeps document rates as near as it can to 1, by relative
-entropy, while each source's expected tokens meet its target. Entropy is taken
-per token, so a document weighs its size and long documents gain nothing over
-short ones. The convex dual has one multiplier per source; Newton's method
-solves it with distributed sums of tilted tokens over cells (source, size), and
-rates are exp(multiplier).
+Entropy balancing keeps document rates as near as it can to 1: it minimises the
+sum of r log r - r over documents such that each source's expected tokens meet
+its target and no rate is above the cap. The convex dual has one multiplier per
+source, and its solution tilts documents exponentially: r = min(cap,
+exp(multiplier * size)), sizes taken relative to their source's mean. A source
+that must grow repeats long documents first, one that must shrink parts with
+them first, which moves the fewest documents away from rate 1. The dual has no
+closed form; Newton's method, kept within a bracket of the root, solves all
+sources at once. Each step is one distributed sum over cells (source, size) of
+the tilted tokens (gradient) and their slopes (Hessian, diagonal as constraints
+are of single sources). Multipliers live in a table; nothing of a source passes
+through the driver.
 
 Rates become whole copies size by size, largest first: each cell takes the
 whole number of copies nearest to its tokens plus what larger sizes left over,
@@ -19,10 +25,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, salted_rank, table
+from tidegate.llm.common import Scratch, packed, salted_rank, table
 
 #: Weights by rank of source, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -36,45 +42,87 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.size(F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")) - F.when(F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]")), 0).otherwise(1), F.lit(0)).cast("long")
 
 
-def targets(totals: dict[str | None, int], weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> dict[str | None, float]:
-    """Target tokens by source: ``share`` of all, by weight, none above ``cap`` times its own.
+def source_key(source: Column) -> Column:
+    """Keys in code point order of sources, null last."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("t"))
 
-    Sources stand in code point order, null last. What a full source can't take
-    is shared among the others by weight, until none is above.
-    """
-    names = sorted((s for s in totals if s is not None), key=lambda s: s.encode("utf-8", "surrogatepass")) + [None] * (None in totals)
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    out: dict[str | None, float] = {}
-    everything = share * sum(totals.values())
-    while left := [s for s in names if s not in out]:
-        rest, w = everything - sum(out.values()), sum(weight[s] for s in left)
-        over = [s for s in left if rest * weight[s] / w > cap * totals[s]]
-        for s in over or left:
-            out[s] = cap * totals[s] if over else rest * weight[s] / w
-    return out
-
-
-def solve_rates(cells: DataFrame, goal: dict[str, float], most: int = 50) -> dict[str, float]:
-    """Rates by source key: Newton's method on the dual, one multiplier per source.
-
-    Each step is one distributed sum over cells: the tilted tokens of each source,
-    the gradient's moving part and, constraints being of single sources, the
-    diagonal of the Hessian too. Steps solve log(tilted tokens) = log(target),
-    which is linear in the multiplier, so few are needed whatever the target. A
-    target of 0, or a source without tokens, has rate 0.
+
+def targets(totals: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """totals (key, total, ...) with target: ``share`` of all, by weight, none above ``cap`` times its own.
+
+    Weights follow the order of keys. What a full source can't take is shared
+    among the others by weight, until none is above: sources are full below one
+    level of cap * total / weight, which rises to its place in a few sums.
     """
-    lam = {k: 0.0 for k, t in goal.items() if t > 0}
-    for _ in range(most if lam else 0):
-        now = F.map_from_arrays(F.lit(list(lam)), F.lit(list(lam.values())))
-        tilted = cells.select("key", (F.col("n") * F.col("size") * F.exp(now[F.col("key")])).alias("t"))
-        worst = 0.0
-        for key, tokens in tilted.groupBy("key").agg(F.sum("t")).collect():  # one row per source
-            if key in lam:
-                worst = max(worst, abs(tokens / goal[key] - 1))
-                lam[key] -= math.log(tokens / goal[key])
-        if worst < TOLERANCE:
+    # ranks: within ranges of keys, then over the ranges, which are few
+    parted = scratch.keep(totals.repartitionByRange("key").withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parted.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    rank = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy("key")) - 1
+    named = parted.join(F.broadcast(starts), "part").withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))).drop("part", "start")
+    named = scratch.keep(named)
+    scratch.drop(parted)
+    full = F.col("total") * cap
+    level, everything = None, None
+    while True:
+        over = F.lit(False) if level is None else full < F.col("weight") * level
+        capped, free, total = named.agg(F.sum(F.when(over, full)), F.sum(F.when(~over, F.col("weight"))), F.sum("total")).first()
+        everything = share * (total or 0)
+        now = (everything - (capped or 0.0)) / free if free else math.inf
+        if now == level or not free:
+            break
+        if level is not None and now < level:  # rounding; the level only rises
             break
-    return {k: math.exp(lam[k]) if k in lam else 0.0 for k in goal}
+        level = now
+    return named.withColumn("target", F.least(full, F.col("weight") * F.lit(math.inf if level is None else now)))
+
+
+def solve_rates(cells: DataFrame, goals: DataFrame, scratch: Scratch, cap: float = CAP, most: int = 200) -> DataFrame:
+    """goals (key, total, docs, target, ...) with lam, the multiplier of each source's relative size.
+
+    cells: (key, size, n). Newton's steps on all sources that aren't solved yet;
+    a step that leaves the bracket of the root is replaced by bisection, or by
+    doubling while one side is open. A source whose target is its cap, or that
+    has no tokens, needs no multiplier: infinity stands for the cap.
+    """
+    mean = F.col("total") / F.greatest("docs", F.lit(1))
+    easy = (F.col("total") == 0) | (F.col("target") >= F.col("total") * cap * (1 - 1e-12))
+    state = goals.withColumn("mean", F.greatest(mean, F.lit(1e-300))).withColumn("lam", F.when(easy, math.inf).otherwise(0.0))
+    state = scratch.keep(state.withColumn("lo", F.lit(-math.inf)).withColumn("hi", F.lit(math.inf)).withColumn("done", easy))
+    lam, x = F.col("lam"), F.col("size") / F.col("mean")
+    for _ in range(most):
+        if state.where("not done").isEmpty():
+            return state
+        tilt = F.exp(F.least(lam * x, F.lit(math.log(cap))))
+        at = cells.where("size > 0").join(state.where("not done").select("key", "lam", "mean"), "key")
+        sums = at.groupBy("key").agg(F.sum(F.col("n") * x * tilt).alias("tokens"), F.sum(F.when(lam * x < math.log(cap), F.col("n") * x * x * tilt).otherwise(0.0)).alias("slope"))
+        f = F.col("tokens") - F.col("target") / F.col("mean")
+        lo, hi = F.when(f < 0, lam).otherwise(F.col("lo")), F.when(f > 0, lam).otherwise(F.col("hi"))
+        newton = lam - f / F.nullif("slope", F.lit(0.0))
+        step = F.abs(lam) + 1
+        otherwise = F.when(lo == -math.inf, lam - step).when(hi == math.inf, lam + step).otherwise((lo + hi) / 2)
+        # from afar a flat slope leads too far: no step is longer than doubling
+        good = newton.isNotNull() & (newton > lo) & (newton < hi) & (F.abs(newton - lam) <= 8 * step)
+        solved = F.abs(f) <= TOLERANCE * F.col("target") / F.col("mean")
+        stuck = (lo != -math.inf) & (hi != math.inf) & (hi - lo <= 1e-15 * step)
+        old = ["key", *[c for c in state.columns if c not in ("key", "lam", "lo", "hi", "done")]]
+        go = state.join(sums, "key", "left")
+        open_ = ~F.col("done") & F.col("tokens").isNotNull()
+        new = go.select(
+            *old,
+            F.when(open_ & ~solved & ~stuck, F.when(good, newton).otherwise(otherwise)).otherwise(lam).alias("lam"),
+            F.when(open_, lo).otherwise(F.col("lo")).alias("lo"),
+            F.when(open_, hi).otherwise(F.col("hi")).alias("hi"),
+            (~open_ | solved | stuck).alias("done"),
+        )
+        last, state = state, scratch.keep(new)
+        scratch.drop(last)
+    raise RuntimeError(f"the dual was not solved in {most} steps")
+
+
+def rate_of(size: Column, cap: float = CAP) -> Column:
+    """A document's rate by its size and its source's lam and mean."""
+    return F.when(F.col("lam") == math.inf, F.lit(cap)).otherwise(F.exp(F.least(F.col("lam") * size / F.col("mean"), F.lit(math.log(cap)))))
 
 
 def _round_source(cells: pd.DataFrame) -> pd.DataFrame:
@@ -89,32 +137,28 @@ def _round_source(cells: pd.DataFrame) -> pd.DataFrame:
         m = int(min(max(math.floor(want / size + 0.5), 0), most * n))
         copies.append(m)
         carry = want - m * size
-    return pd.DataFrame({"key": cells["key"], "size": cells["size"], "n": cells["n"], "m": copies})
+    return pd.DataFrame({"key": cells["key"], "size": cells["size"], "n": cells["n"], "rate": cells["rate"], "m": copies})
 
 
 def mix(df: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", sized: DataFrame | None = None) -> DataFrame:
-    """Rows as struct ``row``, with size, source_size, target and copies (0 to ``cap``).
+    """Rows as struct ``row``, with size, source_size, target, rate and copies (0 to ``cap``).
 
     Null and empty texts have size 0 and no copies. A null source is a source of
     its own, last in order. Repeated rows are rounded each on its own. An empty
     table gives an empty one. Other columns are carried along untouched,
     whatever their names. ``cap`` must be a whole number.
     """
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("n"))
-    rows = sized if sized is not None else df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id_col).alias("id"), key.alias("key"), size_of(F.col(text_col)).alias("size"))
+    rows = sized if sized is not None else df.select(packed(df).alias("row"), F.col(f"`{id_col}`").alias("id"), source_key(F.col(f"`{source_col}`")).alias("key"), size_of(F.col(f"`{text_col}`")).alias("size"))
     cells = scratch.keep(rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")))
-    # one row per source: weights and targets are set per source by the caller
-    totals = {k: int(v) for k, v in cells.groupBy("key").agg(F.sum(F.col("n") * F.col("size"))).collect()}
-    by_name = targets({None if k == "n" else k[1:]: v for k, v in totals.items()}, weights, share, cap)
-    goal = {k: by_name[None if k == "n" else k[1:]] for k in totals}
-    rates = solve_rates(cells, goal)
-    of_source = scratch.spark.createDataFrame([(k, totals[k], goal[k], rates[k], int(cap)) for k in totals], "key string, source_size long, target double, rate double, most int")
-    of_source = scratch.keep(of_source)
-    m = cells.join(of_source, "key").groupBy("key").applyInPandas(_round_source, "key string, size long, n long, m long")
-    m = scratch.keep(m.join(of_source.select("key", "source_size", "target"), "key"))
+    totals = cells.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("total"), F.coalesce(F.sum(F.when(F.col("size") > 0, F.col("n"))), F.lit(0)).alias("docs"))
+    of_source = solve_rates(cells, targets(totals, scratch, weights, share, cap), scratch, cap)
+    # one row per source and distinct size, however many documents
+    m = cells.join(of_source.select("key", "mean", "lam"), "key").select("key", "size", "n", rate_of(F.col("size"), cap).alias("rate"), F.lit(int(cap)).alias("most"))
+    m = m.groupBy("key").applyInPandas(_round_source, "key string, size long, n long, rate double, m long")
+    m = scratch.keep(m.join(of_source.select("key", F.col("total").alias("source_size"), "target"), "key"))
     ranked = salted_rank(rows, ["key", "size"], [F.xxhash64("id"), F.col("id")], F.xxhash64("id", F.lit("salt")), "rank", 64, m)
     copies = (F.expr("m div n") + F.when(F.col("rank") < F.expr("m % n"), 1).otherwise(0)).cast("int")
-    return ranked.select("row", "size", "source_size", "target", copies.alias("copies"))
+    return ranked.select("row", "size", "source_size", "target", "rate", copies.alias("copies"))
 
 
 def mixed_rows(df: DataFrame, scratch: Scratch, **how) -> DataFrame:
@@ -126,10 +170,9 @@ def mixed_rows(df: DataFrame, scratch: Scratch, **how) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "mixing")
     docs = table(spark, sf_dir, "documents")
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
-    sized = scratch.keep(docs.select(F.struct("doc_id").alias("row"), F.col("doc_id").alias("id"), key.alias("key"), size_of(F.col("text")).alias("size")))
+    sized = scratch.keep(docs.select(F.struct("doc_id").alias("row"), F.col("doc_id").alias("id"), source_key(F.col("source")).alias("key"), size_of(F.col("text")).alias("size")))
     out = mix(docs, scratch, sized=sized)
-    return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate")
 
 
 ORACLE = None
