@@ -4,8 +4,9 @@ import math
 import random
 from collections import defaultdict
 
-import pytest
+import numpy as np
 
+from tidegate.llm import embedding
 from tidegate.llm.common import Scratch, likely_in, salted_rank
 from tidegate.llm.components import connected_components
 from tidegate.llm.embedding import embedding_links
@@ -122,6 +123,49 @@ def test_embedding(spark):
     assert embedding_links(df.where("1 = 0"), Scratch(spark, "t")).isEmpty()
 
 
+def test_embedding_labels_and_repeats(spark):
+    v = [1.0, 0.0, 0.5]
+    df = spark.createDataFrame([(1, v, 1.2), (2, v, 1.7), (3, v, 1.2), (4, [0.0, 1.0, 0.0], 1.2), (4, v, 1.2), (None, v, 1.2)], "vec_id long, embedding array<float>, label double")
+    want = [(1, 2, 1, True), (2, 0, 2, True), (3, 2, 1, False), (4, 0, 4, True), (4, 2, 1, False), (None, 0, None, None)]
+    assert sorted(map(tuple, embedding_links(df, Scratch(spark, "t")).collect()), key=str) == sorted(want, key=str)
+    words = df.selectExpr("vec_id", "embedding", "concat('l', label) label")
+    assert sorted(map(tuple, embedding_links(words, Scratch(spark, "t")).collect()), key=str) == sorted(want, key=str)
+
+
+def test_embedding_blocks_of_any_size(spark, monkeypatch):
+    """Small and large buckets, one or many blocks: the same links."""
+    rng = np.random.default_rng(2)
+    hub = rng.normal(size=12)
+    rows = [(i, (hub + rng.normal(size=12) * (0.05 if i % 2 else 0.3)).tolist(), 0) for i in range(260)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    n = ((x @ x.T) >= 0.93).sum(axis=1) - 1
+    for small, block in ((64, 2048), (2, 2048), (2, 40), (500, 40)):
+        monkeypatch.setattr(embedding, "SMALL", small)
+        got = {r.vec_id: r.n_links for r in embedding_links(df, Scratch(spark, "t"), block=block).collect()}
+        assert sum(got.values()) >= 0.999 * n.sum() and all(got[i] <= n[i] for i in got)
+
+
+def test_tables_and_work_follow_the_count(spark):
+    """Twenty times the vectors: a vector meets less than three times as many strangers, in all tables; and near ones are found still."""
+    rng = np.random.default_rng(7)
+    work = {}
+    for count in (2_000, 40_000):
+        bits = count.bit_length() + 1
+        tables = embedding.tables_for(bits, 0.93)
+        x = rng.normal(size=(count, 64))
+        met = 0
+        for _ in range(3):
+            code = ((x @ rng.normal(size=(64, bits)) > 0) * (1 << np.arange(bits))).sum(axis=1)
+            n = np.unique(code, return_counts=True)[1]
+            met += (n * (n - 1)).sum()
+        work[count] = met / 3 * tables / count
+    assert work[40_000] < 3 * work[2_000]
+    agree = 1 - math.acos(0.93) / math.pi
+    assert all((1 - agree**b) ** embedding.tables_for(b, 0.93) <= 1e-4 for b in range(8, 31))
+
+
 def test_bitmap_loses_nothing(spark):
     df = spark.createDataFrame([(i,) for i in range(-500, 500)] + [(None,)], "x long")
     ids = df.where("x % 7 = 0")
@@ -139,8 +183,7 @@ def test_rank_has_no_gaps(spark):
         assert r == list(range(len(r)))
 
 
-@pytest.mark.parametrize("setting", [None])
-def test_scratch_follows_the_session(spark, setting):
+def test_scratch_follows_the_session(spark):
     s = Scratch(spark, "t")
     assert s.root.startswith(spark.conf.get("spark.checkpoint.dir"))
     t = s.keep(spark.range(3))

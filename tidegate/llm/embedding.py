@@ -1,43 +1,68 @@
 """Embedding near-duplicates: random-hyperplane sign hashing in several tables,
 exact cosine, connected components.
 
-Vectors meet where all sign bits of one table agree. Within a bucket, blocks of
-bounded size are multiplied with each other; a block pair returns only a count
-and one link a vector, never its pairs. A pair that meets in several tables is
-counted in the first.
+Vectors meet where all sign bits of one table agree. The number of bits follows
+the counted vectors of the largest label, so that strangers meet about once in a
+table however many they are; the number of tables follows from the bits and the
+wanted recall, growing with the count's power of 0.18. Only keys and ids are
+dealt at first; vectors follow to buckets that more than one of them has. Small
+buckets are compared many at a time, large ones in blocks of bounded size; what
+comes back is a count and one link a vector, never its pairs. A pair that meets
+in several tables is counted in the first.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, table
-from tidegate.llm.components import connected_components
+from tidegate.llm.common import Scratch, spread, table
+from tidegate.llm.components import SALTS, connected_components
 
-#: At cosine 0.93 two vectors agree in a bit with probability 0.880, in all BITS
-#: of a table with 0.28, in none of TABLES tables with 1e-4; at 0.97 with 1e-7.
-BITS, TABLES = 10, 28
-BLOCK = 512
+#: A pair at the threshold is missed with this probability, closer ones with less.
+MISS = 1e-4
+LEAST_BITS, MOST_BITS = 8, 30
+#: Members of a bucket compared at once; two blocks meet in one group.
+BLOCK = 2048
+#: Buckets of so few members are compared together.
+SMALL = 64
+
+
+def tables_for(bits: int, least: float, miss: float = MISS) -> int:
+    """So many tables that a pair of cosine ``least`` shares no bucket with probability ``miss``.
+
+    Such vectors agree in a bit with probability 1 - angle / pi: 0.880 at 0.93.
+    """
+    agree = 1 - math.acos(max(-1.0, min(1.0, least))) / math.pi
+    return max(1, math.ceil(math.log(miss) / math.log1p(-min(agree**bits, 1 - 1e-12))))
 
 
 def _signer(bits: int, tables: int, seed: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds each vector's bytes, as doubles, and its code in every table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            for dim, part in batch.groupby("dim", sort=False):
-                dim = int(dim)
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                part = batch.filter(pa.array(dims == dim))
                 if dim not in planes:
                     planes.clear()
                     planes[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
-                x = np.frombuffer(b"".join(np.asarray(v, np.float64).tobytes() for v in part["v"]), np.float64).reshape(len(part), dim)
-                signs = (x @ planes[dim] > 0).reshape(len(part), tables, bits)
-                codes = (signs * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
-                yield pd.DataFrame({"node": part["node"].to_numpy(), "codes": list(codes)})
+                x = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, dim)
+                codes = np.empty((len(x), tables), np.int32)
+                for at in range(0, len(x), 1024):
+                    signs = (x[at : at + 1024] @ planes[dim] > 0).reshape(-1, tables, bits)
+                    codes[at : at + 1024] = (signs * (1 << np.arange(bits, dtype=np.int32))).sum(axis=2)
+                raw = pa.array([r.tobytes() for r in x], pa.binary())
+                ends = pa.array(np.arange(0, codes.size + 1, tables, dtype=np.int32))
+                kept = ["row", "label", "dim", "copies"]
+                yield pa.RecordBatch.from_arrays([*map(part.column, kept), raw, pa.ListArray.from_arrays(ends, pa.array(codes.ravel()))], names=[*kept, "v", "codes"])
 
     return run
 
@@ -56,91 +81,172 @@ def _components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         low = new
 
 
-def _pair_up(least: float):
-    """Block pairs, sorted by group, to (node, links, low): links found here, and a node to link to."""
+_GROUP = ["dim", "label", "t", "code", "p", "q"]
 
-    def one(g: pd.DataFrame) -> pd.DataFrame | None:
-        t = int(g["t"].iloc[0])
-        left, right = g[g["side"] == 0], g[g["side"] == 1]
-        same = g["p"].iloc[0] == g["q"].iloc[0]
-        if same:
-            right = left
-        if not len(left) or not len(right):
-            return None
-        x, y = (np.stack(p["v"].to_numpy()).astype(np.float64) for p in (left, right))
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        y /= np.linalg.norm(y, axis=1, keepdims=True)
-        near = x @ y.T >= least
-        if same:
-            near &= np.triu(np.ones_like(near), 1)
-        if not near.any():
-            return None
-        if t:
-            cx, cy = (np.stack(p["codes"].to_numpy())[:, :t] for p in (left, right))
-            i, j = np.nonzero(near)
-            for k in range(0, len(i), 65536):
-                a, b = i[k : k + 65536], j[k : k + 65536]
-                near[a, b] = ~(cx[a] == cy[b]).any(axis=1)
-        i, j = np.nonzero(near)
-        if not len(i):
+
+def _matrix(col: pa.Array, width: int, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), kind).reshape(len(col), width)
+
+
+class _Found:
+    """Links of one run of rows: counted by row, and joined to the smallest row they reach."""
+
+    def __init__(self, row: np.ndarray, copies: np.ndarray):
+        self.row, self.copies = row, copies
+        self.links = np.zeros(len(row))
+        self.i: list[np.ndarray] = []
+        self.j: list[np.ndarray] = []
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        n = len(self.row)
+        self.links += np.bincount(i, self.copies[j], n) + np.bincount(j, self.copies[i], n)
+        self.i.append(i)
+        self.j.append(j)
+
+    def batch(self) -> pa.RecordBatch | None:
+        if not self.i:
             return None
-        ids = left["node"].to_numpy() if same else np.concatenate([left["node"].to_numpy(), right["node"].to_numpy()])
-        w = left["copies"].to_numpy() if same else np.concatenate([left["copies"].to_numpy(), right["copies"].to_numpy()])
-        j = j if same else j + len(left)
-        links = np.bincount(i, w[j], len(ids)) + np.bincount(j, w[i], len(ids))
-        low = _components(len(ids), i, j)
-        out = pd.DataFrame({"node": ids, "links": links.astype(np.int64), "low": ids[low]})
-        return out[out["links"] > 0]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: pd.DataFrame | None = None
-        keys = ["t", "label", "dim", "code", "p", "q"]
+        low = _components(len(self.row), np.concatenate(self.i), np.concatenate(self.j))
+        at = np.flatnonzero(self.links)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (self.row[at], self.links[at].astype(np.int64), self.row[low[at]])], names=["row", "links", "low"])
+
+
+def _small_pairs(found: _Found, x: np.ndarray, norm: np.ndarray, codes: np.ndarray, t: np.ndarray, at: np.ndarray, group: np.ndarray, least: float) -> None:
+    """All pairs of rows ``at`` that stand in one group, at once: neighbours first, then those two apart, and so on."""
+    own = group[at]
+    for d in range(1, SMALL):
+        k = np.flatnonzero(own[d:] == own[: len(own) - d])
+        if not len(k):
+            return
+        i, j = at[k], at[k + d]
+        for a in range(0, len(i), 100_000):
+            y, z = i[a : a + 100_000], j[a : a + 100_000]
+            near = np.einsum("ij,ij->i", x[y], x[z]) / (norm[y] * norm[z]) >= least
+            y, z = y[near], z[near]
+            if len(y):  # only where no earlier table has brought them together
+                earlier = (codes[y] == codes[z]) & (np.arange(codes.shape[1]) < t[y][:, None])
+                new = ~earlier.any(axis=1)
+                found.add(y[new], z[new])
+
+
+def _block_pairs(found: _Found, x: np.ndarray, norm: np.ndarray, codes: np.ndarray, t: int, left: np.ndarray, right: np.ndarray, least: float) -> None:
+    """Pairs of rows ``left`` and ``right``, which are the same or have none in common."""
+    first = codes[left[0], 0]
+    if t and (codes[left, 0] == first).all() and (codes[right, 0] == first).all():
+        return  # all met in the first table
+    near = (x[left] @ x[right].T) / (norm[left][:, None] * norm[right][None, :]) >= least
+    if left is right:
+        near = np.triu(near, 1)
+    for s in range(t):
+        n = np.count_nonzero(near)
+        if n * (t - s) < near.size:
+            break
+        near &= codes[left, s][:, None] != codes[right, s][None, :]
+    else:
+        s = t
+    i, j = np.nonzero(near)
+    for a in range(0, len(i), 65536):
+        y, z = left[i[a : a + 65536]], right[j[a : a + 65536]]
+        new = ~(codes[y, s:t] == codes[z, s:t]).any(axis=1)
+        if new.any():
+            found.add(y[new], z[new])
+
+
+def _pair_up(least: float, tables: int):
+    """Rows sorted by group, then side, to (row, links, low): links found here, and a row to link to."""
+
+    def whole(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Links of whole groups."""
+        dims = rows["dim"].to_numpy()
+        for dim in np.unique(dims).tolist():
+            part = rows.filter(pa.array(dims == dim)).combine_chunks()
+            key = np.stack([part[c].to_numpy().astype(np.int64) for c in _GROUP[1:]], axis=1)
+            starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1))))
+            sizes = np.diff(np.append(starts, len(key)))
+            t, side = key[:, 1], part["side"].to_numpy()
+            one = key[:, 3] == key[:, 4]
+            x = _matrix(part["v"].chunk(0), dim, np.float64)
+            norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+            codes = part["codes"].chunk(0).flatten().to_numpy().reshape(len(key), tables)
+            found = _Found(*(part[c].to_numpy() for c in ("row", "copies")))
+            small = (sizes <= SMALL) & one[starts] & (sizes > 1)
+            group = np.repeat(np.arange(len(starts)), sizes)
+            at = np.flatnonzero(small[group])
+            if len(at):
+                _small_pairs(found, x, norm, codes, t, at, group, least)
+            for g in np.flatnonzero(~small & (sizes > 1)).tolist():
+                mine = np.arange(starts[g], starts[g] + sizes[g])
+                left = mine if one[mine[0]] else mine[side[mine] == 0]
+                right = left if one[mine[0]] else mine[side[mine] == 1]
+                if len(left) and len(right):
+                    _block_pairs(found, x, norm, codes, int(t[mine[0]]), left, right, least)
+            if (b := found.batch()) is not None:
+                yield b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
         for batch in batches:
+            rows = pa.Table.from_batches([batch])
             if rest is not None:
-                batch = pd.concat([rest, batch], ignore_index=True)
-            # row numbers where a group begins; the last may go on in the next batch
-            k = batch[keys].to_numpy(np.int64)
-            starts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(axis=1))))
-            rest = batch.iloc[starts[-1] :]
-            found = [one(batch.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
-            if found := [f for f in found if f is not None]:
-                yield pd.concat(found)
-        if rest is not None and (f := one(rest)) is not None:
-            yield f
+                rows = pa.concat_tables([rest, rows])
+            if not rows.num_rows:
+                continue
+            # the last group may go on in the next batch
+            last = np.ones(rows.num_rows, bool)
+            for c in _GROUP:
+                k = rows[c].to_numpy()
+                last &= k == k[-1]
+            n = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+            if n:
+                yield from whole(rows.slice(0, n))
+            rest = rows.slice(n).combine_chunks()
+        if rest is not None and rest.num_rows:
+            yield from whole(rest)
 
     return run
 
 
-def embedding_links(vectors: DataFrame, scratch: Scratch, least: float = 0.93, bits: int = BITS, tables: int = TABLES, block: int = BLOCK, seed: int = 7, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def embedding_links(vectors: DataFrame, scratch: Scratch, least: float = 0.93, block: int = BLOCK, seed: int = 7, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
     Vectors link if their labels are equal, their lengths too, and their cosine,
-    in doubles, is ``least`` or more. Null vectors, zero vectors, vectors with
-    null or non-finite components, and null labels link with nothing. Exact
-    copies are hashed once and count as often as they stand. Rows that repeat an
-    id with the same vector are copies that link with each other; a null id has
-    null component_id and kept. Extra columns aren't read.
+    in doubles, is ``least`` or more. Labels of any type are compared as they
+    are. Null vectors, zero vectors, vectors with null or non-finite components,
+    and null labels link with nothing. Exact copies are hashed once and count as
+    often as they stand. Rows that repeat an id with the same vector are copies
+    that link with each other; with different vectors each has links of its own.
+    A null id has null component_id and kept. Extra columns aren't read; an
+    empty table gives an empty one.
     """
-    v = F.col(vector_col).cast("array<double>")
-    ok = F.col(label_col).isNotNull() & v.isNotNull() & F.coalesce(F.expr(f"forall({vector_col}, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"), F.lit(False)) & F.coalesce(F.expr(f"exists({vector_col}, x -> x <> 0)"), F.lit(False))
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(ok, v).alias("v"), F.when(ok, F.col(label_col).cast("long")).alias("label"))
+    v = F.col(f"`{vector_col}`").cast("array<double>")
+    ok = F.col(f"`{label_col}`").isNotNull() & v.isNotNull() & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.when(ok, v).alias("v"), F.when(ok, F.col(f"`{label_col}`")).alias("label"))
     good = rows.where("v is not null and vec_id is not null")
-    reps = scratch.keep(good.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("v")))
-    codes = scratch.keep(reps.select("node", "v", "dim").mapInPandas(_signer(bits, tables, seed), "node long, codes array<int>"))
-    keys = reps.select("node", "label", "dim").join(codes, "node").select("node", "label", "dim", F.posexplode("codes").alias("t", "code"))
-    at = ["t", "label", "dim", "code"]
+    reps = scratch.keep(good.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")).withColumn("dim", F.size("v")).withColumn("row", F.monotonically_increasing_id()))
+    most = reps.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0
+    bits = max(LEAST_BITS, min(MOST_BITS, most.bit_length() + 1))
+    tables = tables_for(bits, least)
+    # labels by 64 bits, whatever their type
+    named = spread(reps.select("row", F.xxhash64("label").alias("label"), "dim", "copies", "v"))
+    signed = scratch.keep(named.mapInArrow(_signer(bits, tables, seed), "row long, label long, dim int, copies long, v binary, codes array<int>"))
+    at = ["dim", "label", "t", "code"]
+    keys = signed.select("row", "label", "dim", F.posexplode("codes").alias("t", "code"))
     sizes = keys.groupBy(*at).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = keys.join(sizes, at).withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = keys.join(sizes, at).withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     # own block against each block; q = p within one block
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("node", *at, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    full = met.join(reps.select("node", "copies", "v"), "node").join(codes, "node")
-    group = [*at, "p", "q"]
-    full = full.repartition(*group).sortWithinPartitions(*group, "side", "node").select("node", "copies", "v", "codes", *group, "side")
-    found = scratch.keep(full.mapInPandas(_pair_up(least), "node long, links long, low long"))
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    comps = connected_components(found.select("node", "low"), scratch)
-    per = reps.select("label", "v", "node", "copies").join(links, "node", "left").join(comps, "node", "left")
+    met = met.select("row", *at, F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    full = met.join(signed.select("row", "copies", "v", "codes"), "row")
+    full = full.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "side").select("row", "copies", "v", "codes", *_GROUP, "side")
+    found = scratch.keep(full.mapInArrow(_pair_up(least, tables), "row long, links long, low long"))
+    links = found.groupBy("row").agg(F.sum("links").alias("links"))
+    comps = connected_components(found.select("row", "low"), scratch).withColumnRenamed("node", "row")
+    # the smallest id of a component, which may hold most rows: salted
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("s")
+    ids = scratch.keep(comps.join(reps.select("row", "node"), "row").withColumn("s", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")))
+    low = ids.groupBy("comp").agg(F.min("node").alias("low")).select("comp", "low", salts)
+    named = ids.join(low, ["comp", "s"]).select("row", F.col("low").alias("comp"))
+    per = reps.select("row", "label", "v", "node", "copies").join(links, "row", "left").join(named, "row", "left")
     per = scratch.keep(per.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("comp", "node").alias("comp")))
     a, b = rows.alias("a"), per.alias("b")
     out = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.v") == F.col("b.v")) & F.col("a.vec_id").isNotNull(), "left")
