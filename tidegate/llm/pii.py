@@ -419,7 +419,7 @@ def pseudonymise(docs: DataFrame, scratch: Scratch, key: str, text_col: str = "t
     """
     _hide_keys(docs.sparkSession)
     text = F.col("text")
-    rows = spread(docs).select(packed(docs).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    rows = spread(docs).select(packed(docs, text_col).alias("row"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.select("row", "text", entities(text).alias("found")).select("row", "text", "found.named", "found.e", F.monotonically_increasing_id().alias("rid"))
     found = scratch.keep(rows)
     dirty = found.where("size(e) > 0")
