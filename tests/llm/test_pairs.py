@@ -5,8 +5,9 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
-from tidegate.llm import embedding
+from tidegate.llm import embedding, minhash
 from tidegate.llm.common import Scratch, likely_in, salted_rank
 from tidegate.llm.components import connected_components
 from tidegate.llm.embedding import embedding_links
@@ -90,6 +91,38 @@ def test_minhash_odd_rows(spark):
     assert minhash_components(df.where("1 = 0"), Scratch(spark, "t")).isEmpty()
 
 
+def test_minhash_links_rows_not_ids(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    near = b.replace("b30", "x")
+    want = [(1, 56, 1, True), (1, 56, 1, True), (2, 56, 1, False)]
+    for rows in ([(1, a), (1, b), (2, near)], [(1, b), (1, a), (2, near)], [(2, near), (1, a), (1, b)]):
+        df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, th string").coalesce(1)
+        assert sorted(map(tuple, minhash_components(df, Scratch(spark, "t")).collect())) == want
+        kept = minhash_dedup(df, Scratch(spark, "t"))
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (1, b)] and kept.columns == df.columns
+    # an id apart from its other text's component
+    df = spark.createDataFrame([(3, a), (3, b), (2, near)], "doc_id long, text string")
+    assert sorted(map(tuple, minhash_components(df, Scratch(spark, "t")).collect())) == [(2, 56, 2, True), (3, 56, 2, False), (3, 56, 3, True)]
+    assert sorted((r.doc_id, r.text) for r in minhash_dedup(df, Scratch(spark, "t")).collect()) == [(2, near), (3, a)]
+
+
+def test_first_band_is_by_the_buckets_keys():
+    """Minima that agree in 16 bits only share no bucket: a pair must not wait for one there."""
+    sig = np.arange(160, dtype=np.uint32).reshape(1, -1).repeat(2, axis=0)
+    sig[1, :5] += 1 << 16
+    keys = [minhash.band_keys(x, 32, 5) for x in sig]
+    low = [(x & 0xFFFF).astype(np.uint16).tobytes() for x in sig]
+    cols = {"band": [1, 1], "key": [int(keys[0][1])] * 2, "p": [0, 0], "q": [0, 0], "side": [0, 0], "node": [1, 2], "n": [9, 9], "comp": [1, 2], "sig": low, "bands": keys}
+    i, j = minhash._near_pairs(pa.table(cols), 0.5, 80, 1)
+    assert (i.tolist(), j.tolist()) == ([0], [1])
+
+
+def test_minhash_of_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(300_000))
+    df = spark.createDataFrame([(1, long), (2, long + " more"), (3, "a" * 2_000_000), (4, "other words of a short text here")], "doc_id long, text string")
+    assert sorted(map(tuple, minhash_components(df, Scratch(spark, "t")).collect())) == [(1, 299_996, 1, True), (2, 299_997, 1, False), (3, 1, 3, True), (4, 3, 4, True)]
+
+
 def cosine(a, b):
     return sum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in b))
 

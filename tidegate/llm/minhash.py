@@ -6,7 +6,10 @@ bucket, the member found in the largest buckets, is compared with the other
 members; buckets whose members have come to one component need no more. The
 rest is compared in blocks of bounded size, across components only, first by
 signature, then by full sets; a block returns one link a member, not its
-pairs. So no link between different texts is lost.
+pairs. A pair that shares several bands is taken in the first, by the buckets'
+own keys, so that bands and signatures alone decide what is missed.
+
+Rows are what is linked, by the class of their shingle set; ids only name them.
 """
 
 from __future__ import annotations
@@ -19,12 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import Scratch, likely_in, spread, table
-from tidegate.llm.components import connected_components
+from tidegate.llm.common import Scratch, likely_in, packed, spread, table
+from tidegate.llm.components import SALTS, connected_components
 
 SHINGLE = 5
-#: 32 bands of 5 minima: a pair at similarity 0.80 is missed with probability
-#: 3e-6, at 0.85 with 7e-9.
+#: 32 bands of 5 minima: a pair at similarity 0.80 shares none with probability
+#: 3e-6, at 0.85 with 7e-9; SIGMAS refuses fewer than 1e-6 of those that do.
 BANDS, ROWS = 32, 5
 #: Members of a bucket compared at once; two blocks meet in one group.
 BLOCK = 256
@@ -100,7 +103,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return acc.view(np.int64)
 
 
-_SKETCH = pa.schema([("node", pa.int64()), ("n_shingles", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SKETCH = pa.schema([("node", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def _sketcher(shingle: int, bands: int, rows: int, seed: int):
@@ -109,15 +112,14 @@ def _sketcher(shingle: int, bands: int, rows: int, seed: int):
         words = _WordHashes()
         for batch in batches:
             out: list[tuple] = []
-            ids = batch.column(0).to_pylist()
-            for i, text in zip(ids, batch.column(1), strict=True):
+            for i, th, text in zip(*(batch.column(c).to_pylist() for c in ("node", "th")), batch.column("text"), strict=True):
                 s = shingle_set(text.as_py(), words, shingle)
                 if not len(s):
-                    out.append((i, 0, None, None, None, None))
+                    out.append((i, th, 0, None, None, None, None))
                     continue
                 d = xxhash.xxh3_128_digest(s.tobytes())
                 sig = minima(s, a, b)
-                out.append((i, len(s), int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), (sig & 0xFFFF).astype(np.uint16).tobytes(), band_keys(sig, bands, rows)))
+                out.append((i, th, len(s), int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), (sig & 0xFFFF).astype(np.uint16).tobytes(), band_keys(sig, bands, rows)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), _SKETCH.types, strict=True)], schema=_SKETCH)
 
@@ -136,12 +138,13 @@ def _like_signatures(least: float):
     return run
 
 
-def _near_pairs(g: pa.Table, least: float, percent: int, rows: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+def _near_pairs(g: pa.Table, least: float, percent: int, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of a group's pairs, across its two blocks and components, that the signatures bear out.
 
     A pair is taken in the first band that it shares.
     """
     sig = np.frombuffer(b"".join(g["sig"].to_pylist()), np.uint16).reshape(g.num_rows, -1)
+    keys = g["bands"].combine_chunks().flatten().to_numpy().reshape(g.num_rows, -1)
     n, comp, side = (g[c].to_numpy() for c in ("n", "comp", "side"))
     within = g["p"][0] == g["q"][0]
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -152,11 +155,9 @@ def _near_pairs(g: pa.Table, least: float, percent: int, rows: int, band: int) -
         js = js[(comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
         if not len(js):
             continue
-        same = sig[js] == sig[i]
-        ok = same.mean(axis=1) >= least
-        if ok.any():
-            first = same[ok].reshape(int(ok.sum()), -1, rows).all(axis=2).argmax(axis=1)
-            js = js[ok][first == band]
+        js = js[(sig[js] == sig[i]).mean(axis=1) >= least]
+        if len(js):
+            js = js[(keys[js] == keys[i]).argmax(axis=1) == band]
             found.append((np.full(len(js), i), js))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -181,22 +182,22 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
-_MET = ["band", "key", "p", "q", "side", "node", "n", "comp", "sig"]
+_MET = ["band", "key", "p", "q", "side", "node", "n", "comp", "sig", "bands"]
 
 
-def _block_likely(least: float, percent: int, rows: int):
+def _block_likely(least: float, percent: int):
     """Of each group, the members that the signatures give a partner."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _by_group(batches):
-            i, j = _near_pairs(g, least, percent, rows, g["band"][0].as_py())
+            i, j = _near_pairs(g, least, percent, g["band"][0].as_py())
             if len(i):
                 yield from g.take(pa.array(np.union1d(i, j))).combine_chunks().to_batches()
 
     return run
 
 
-def _block_links(least: float, percent: int, rows: int, shingle: int):
+def _block_links(least: float, percent: int, shingle: int):
     """Of each group with texts, links that the full sets bear out and that join its members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +213,7 @@ def _block_links(least: float, percent: int, rows: int, shingle: int):
                 return x
 
             out: list[tuple[int, int]] = []
-            for i, j in zip(*(x.tolist() for x in _near_pairs(g, least, percent, rows, g["band"][0].as_py())), strict=True):
+            for i, j in zip(*(x.tolist() for x in _near_pairs(g, least, percent, g["band"][0].as_py())), strict=True):
                 if find(i) == find(j):
                     continue
                 for x in (i, j):
@@ -247,35 +248,29 @@ def _like_sets(percent: int, shingle: int):
     return run
 
 
-def minhash_components(
+def _rows(
     docs: DataFrame,
     scratch: Scratch,
-    percent: int = 80,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+    percent: int,
+    id_col: str,
+    text_col: str,
     shingle: int = SHINGLE,
     bands: int = BANDS,
     rows: int = ROWS,
     seed: int = 20,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
-
-    Two texts link if their shingle sets' Jaccard similarity is ``percent``
-    hundredths or more, confirmed on the full sets. component_id is the
-    smallest id reachable by links; kept is true where it is the id itself.
-
-    Null and empty texts, and texts of white space, have no shingles and link
-    with nothing. Ids are integers; rows that repeat an id are one vertex, and
-    rows with a null id aren't linked and have null component_id and kept.
-    Other columns aren't read. An empty table gives an empty one.
-    """
-    src = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sketches = scratch.keep(spread(src).mapInArrow(_sketcher(shingle, bands, rows, seed), "node long, n_shingles long, hi long, lo long, sig binary, bands array<long>").withColumn("row", F.monotonically_increasing_id()))
-
-    # texts with the same set are one class; the row with the smallest id stands for it
-    classes = sketches.where("n_shingles > 0 and node is not null").groupBy("hi", "lo").agg(F.min(F.struct("node", "row")).alias("rep"), F.max("n_shingles").alias("n"))
-    classes = scratch.keep(classes.select("hi", "lo", F.col("rep.node").alias("rep"), F.col("rep.row").alias("row"), "n"))
-    held = scratch.keep(sketches.select("row", "sig", "bands").join(classes.select("row", F.col("rep").alias("node"), "n"), "row").drop("row"))
+    """One row per row of ``docs``: node (its id), th (its text's hash), n_shingles, low and low_th: those of its component's first row."""
+    # th: an id and its text's hash find the text again
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("node"), F.col(f"`{text_col}`").alias("text"))
+    src = src.withColumn("th", F.xxhash64("text"))
+    sketches = spread(src).mapInArrow(_sketcher(shingle, bands, rows, seed), "node long, th long, n_shingles long, hi long, lo long, sig binary, bands array<long>")
+    sketches = scratch.keep(sketches.withColumn("row", F.monotonically_increasing_id()))
+
+    # texts with the same set are one class; the row with the smallest id, then text hash, stands for it
+    classes = sketches.where("n_shingles > 0 and node is not null").groupBy("hi", "lo").agg(F.min(F.struct("node", "th", "row")).alias("rep"), F.max("n_shingles").alias("n"))
+    classes = scratch.keep(classes.select("hi", "lo", F.col("rep.node").alias("id"), F.col("rep.th").alias("th"), F.col("rep.row").alias("node"), "n"))
+    # from here on a node is a class, by the row that stands for it
+    held = scratch.keep(sketches.select(F.col("row").alias("node"), "sig", "bands").join(classes.select("node", "n"), "node"))
     keys = held.select(F.posexplode("bands").alias("band", "key"), "node", "n")
     # kept before they are joined back: then both sides are dealt anew, and a hot bucket can be split
     sizes = scratch.keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
@@ -283,21 +278,15 @@ def minhash_components(
     popular = shared.groupBy("node").agg(F.sum("size").alias("pop"))
     buckets = scratch.keep(shared.join(popular, "node").select("band", "key", "node", "n", "pop"))
 
-    # ids that stand in several classes are one vertex
-    twice = sketches.where("n_shingles > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("node")
-    member = sketches.where("n_shingles > 0").join(twice, "node", "left_semi").join(classes, ["hi", "lo"]).select("node", "rep")
-    lowest = member.groupBy("node").agg(F.min("rep").alias("low"))
-    edges = [scratch.keep(member.join(lowest, "node").where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct())]
-
     least = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / (bands * rows)) ** 0.5
 
-
     def texts_of(nodes: DataFrame) -> DataFrame:
         """A text for each node; most others aren't shuffled."""
-        nodes = scratch.keep(nodes.distinct())
-        return likely_in(src.where("text is not null"), "node", nodes).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        named = scratch.keep(nodes.distinct().join(classes.select("node", "id", "th"), "node"))
+        of_ids = likely_in(src.where("text is not null").withColumnRenamed("node", "id"), "id", named.select("id"))
+        return of_ids.join(named, ["id", "th"]).dropDuplicates(["node"]).select("node", "text")
 
-    sig = held.select("node", "sig")
+    sig = held.select("node", "sig", "bands")
 
     # each bucket's centre with its other members
     top = buckets.groupBy("key").agg(F.max(F.struct("pop", (-F.col("node")).alias("node"), "n")).alias("top"))
@@ -308,9 +297,9 @@ def minhash_components(
     likely = scratch.keep(x.select("a", "b", "x", "y").mapInArrow(_like_signatures(least), "a long, b long"))
     ends = scratch.keep(texts_of(likely.select(F.explode(F.array("a", "b")).alias("node"))))
     y = likely.join(ends.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(ends.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-    edges.append(scratch.keep(y.select("a", "b", "x", "y").mapInArrow(_like_sets(percent, shingle), "a long, b long")))
+    edges = [scratch.keep(y.select("a", "b", "x", "y").mapInArrow(_like_sets(percent, shingle), "a long, b long"))]
     scratch.drop(pairs, likely, ends)
-    comps = connected_components(edges[0].union(edges[1]), scratch)
+    comps = connected_components(edges[0], scratch)
 
     # what isn't one component yet, in blocks
     at = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -321,32 +310,56 @@ def minhash_components(
     at2 = at2.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = at2.select("band", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "comp")
     met = met.join(sig, "node").select(*_MET).repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
-    kind = "band int, key long, p int, q int, side int, node long, n long, comp long, sig binary"
-    maybe = scratch.keep(met.mapInArrow(_block_likely(least, percent, rows), kind))
+    kind = "band int, key long, p int, q int, side int, node long, n long, comp long, sig binary, bands array<long>"
+    maybe = scratch.keep(met.mapInArrow(_block_likely(least, percent), kind))
     ends = scratch.keep(texts_of(maybe.select("node")))
     full = maybe.join(ends, "node").select(*_MET, "text").repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
-    edges.append(scratch.keep(full.mapInArrow(_block_links(least, percent, rows, shingle), "a long, b long")))
+    edges.append(scratch.keep(full.mapInArrow(_block_links(least, percent, shingle), "a long, b long")))
     first = comps
-    comps = connected_components(edges[0].union(edges[1]).union(edges[2]), scratch)
+    comps = connected_components(edges[0].union(edges[1]), scratch)
     scratch.drop(first, sizes, shared, centre, mixed, buckets, held, at, maybe, ends, *edges)
 
-    out = sketches.select("node", "n_shingles", "hi", "lo").join(classes.select("hi", "lo", "rep"), ["hi", "lo"], "left")
-    out = out.withColumn("vertex", F.coalesce("rep", "node"))
-    out = out.join(comps.select(F.col("node").alias("vertex"), "comp"), "vertex", "left")
-    # a repeated id takes the component of all its rows, also of one without shingles
-    comp = F.when(F.col("node").isNotNull(), F.coalesce("comp", "vertex"))
-    return out.select(F.col("node").alias("doc_id"), "n_shingles", comp.alias("component_id"), (F.col("node") == comp).alias("kept"))
+    # the first row of a component, which may hold most classes: salted
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("s")
+    linked = scratch.keep(comps.join(classes.select("node", "id", "th"), "node").withColumn("s", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")))
+    low = linked.groupBy("comp").agg(F.min(F.struct("id", "th")).alias("low")).select("comp", F.col("low.id").alias("low"), F.col("low.th").alias("low_th"), salts)
+    named = linked.join(low, ["comp", "s"]).select("node", "low", "low_th")
+    named = classes.join(named, "node", "left").select("hi", "lo", F.coalesce("low", "id").alias("low"), F.coalesce("low_th", "th").alias("low_th"))
+    out = sketches.select("node", "th", "n_shingles", "hi", "lo").join(scratch.keep(named), ["hi", "lo"], "left")
+    none = F.col("node").isNull() | (F.col("n_shingles") == 0)
+    return out.select("node", "th", "n_shingles", F.when(none, F.col("node")).otherwise(F.col("low")).alias("low"), F.when(none, F.col("th")).otherwise(F.col("low_th")).alias("low_th"))
+
+
+def minhash_components(docs: DataFrame, scratch: Scratch, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    Two rows link if their shingle sets' Jaccard similarity is ``percent``
+    hundredths or more, confirmed on the full sets. component_id is the
+    smallest id of a row reachable by links; kept is true where it is the id
+    itself.
+
+    Null and empty texts, and texts of white space, have no shingles and link
+    with nothing. Ids are integers. Rows may repeat an id: with equal texts they
+    link, with others each goes its own way; the order of rows plays no part.
+    Rows with a null id aren't linked and have null component_id and kept. Texts
+    may be of any length. Other columns aren't read, whatever their names. An
+    empty table gives an empty one.
+    """
+    out = _rows(docs, scratch, percent, id_col, text_col, **how)
+    return out.select(F.col("node").alias("doc_id"), "n_shingles", F.col("low").alias("component_id"), (F.col("node") == F.col("low")).alias("kept"))
 
 
 def minhash_dedup(docs: DataFrame, scratch: Scratch, percent: int = 80) -> DataFrame:
-    """``docs`` without near duplicates: the row with the smallest doc_id of each component stays.
+    """``docs`` without near duplicates: of each component the row with the smallest doc_id stays, and of its texts there the first by hash.
 
-    Of rows that repeat that id one with the same text stays; rows with a null
-    doc_id stay, as do empty texts of different ids.
+    So each distinct text of a repeated id stays, unless it has a near copy that
+    does; equal rows are one. Rows with a null doc_id all stay, as do null and
+    empty texts, one of an id.
     """
-    kept = minhash_components(docs, scratch, percent).where("kept").select("doc_id").distinct()
-    some = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return some.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = _rows(docs, scratch, percent, "doc_id", "text").where("node = low and th = low_th").select("node", "th").distinct()
+    rows = docs.select(packed(docs).alias("row"), F.col("doc_id").cast("long").alias("node"), F.xxhash64("text").alias("th"))
+    some = rows.where("node is not null").join(kept, ["node", "th"], "left_semi").dropDuplicates(["node", "th"])
+    return some.select("row").union(rows.where("node is null").select("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
