@@ -156,6 +156,27 @@ def test_embedding(spark):
     assert embedding_links(df.where("1 = 0"), Scratch(spark, "t")).isEmpty()
 
 
+def test_dense_blocks_are_the_same_links(monkeypatch):
+    monkeypatch.setattr(embedding, "DENSE", 1000)
+    rng = np.random.default_rng(3)
+    for same in (True, False):
+        x = np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(400, 8)) * 0.1 for _ in range(2)])
+        norm = np.sqrt((x * x).sum(axis=1))
+        codes = rng.integers(0, 2, (800, 3)).astype(np.int32)
+        left = np.arange(800) if same else np.arange(0, 800, 2)
+        right = left if same else np.arange(1, 800, 2)
+        for t in (0, 2):
+            found = embedding._Found(np.arange(800), np.arange(800) % 3 + 1)
+            embedding._block_pairs(found, x, norm, codes, t, left, right, 0.93)
+            near = ((x @ x.T) / norm[:, None] / norm[None, :] >= 0.93) & ~(codes[:, None, :t] == codes[None, :, :t]).any(axis=2)
+            near = np.triu(near, 1) if same else near & (np.arange(800) % 2 == 0)[:, None] & (np.arange(800) % 2 == 1)[None, :]
+            i, j = np.nonzero(near)
+            assert len(i) > 1000 and (found.links == np.bincount(i, found.copies[j], 800) + np.bincount(j, found.copies[i], 800)).all()
+            want = embedding._components(800, i, j)
+            got = embedding._components(800, np.concatenate(found.i), np.concatenate(found.j))
+            assert (want == got).all()
+
+
 def test_embedding_labels_and_repeats(spark):
     v = [1.0, 0.0, 0.5]
     df = spark.createDataFrame([(1, v, 1.2), (2, v, 1.7), (3, v, 1.2), (4, [0.0, 1.0, 0.0], 1.2), (4, v, 1.2), (None, v, 1.2)], "vec_id long, embedding array<float>, label double")

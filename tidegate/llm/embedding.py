@@ -28,9 +28,11 @@ from tidegate.llm.components import SALTS, connected_components
 MISS = 1e-4
 LEAST_BITS, MOST_BITS = 8, 30
 #: Members of a bucket compared at once; two blocks meet in one group.
-BLOCK = 2048
+BLOCK = 1024
 #: Buckets of so few members are compared together.
 SMALL = 64
+#: So many pairs of two blocks are counted by sums, and not listed.
+DENSE = 65536
 
 
 def tables_for(bits: int, least: float, miss: float = MISS) -> int:
@@ -103,6 +105,26 @@ class _Found:
         self.i.append(i)
         self.j.append(j)
 
+    def add_dense(self, near: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        """The pairs of a matrix, counted by sums; to join them a link a row is enough."""
+        self.links[left] += near @ self.copies[right].astype(float)
+        self.links[right] += self.copies[left].astype(float) @ near
+        nodes = np.concatenate([left, right])
+        a, b = np.arange(len(left), dtype=np.int32), np.arange(len(left), len(nodes), dtype=np.int32)
+        if left is right:
+            b = a
+        none = np.int32(len(nodes))
+        while True:
+            c = np.minimum(a, np.where(near, b[None, :], none).min(axis=1))
+            d = np.minimum(c if left is right else b, np.where(near, c[:, None], none).min(axis=0))
+            if left is right:
+                c = d
+            if (c == a).all() and (d == b).all():
+                break
+            a, b = c, d
+        self.i += [left, right]
+        self.j += [nodes[a], nodes[b]]
+
     def batch(self) -> pa.RecordBatch | None:
         if not self.i:
             return None
@@ -139,17 +161,20 @@ def _block_pairs(found: _Found, x: np.ndarray, norm: np.ndarray, codes: np.ndarr
         near = np.triu(near, 1)
     for s in range(t):
         n = np.count_nonzero(near)
-        if n * (t - s) < near.size:
+        if n < DENSE:
             break
         near &= codes[left, s][:, None] != codes[right, s][None, :]
     else:
-        s = t
+        s, n = t, np.count_nonzero(near)
+    if n >= DENSE:
+        found.add_dense(near, left, right)
+        return
     i, j = np.nonzero(near)
-    for a in range(0, len(i), 65536):
-        y, z = left[i[a : a + 65536]], right[j[a : a + 65536]]
-        new = ~(codes[y, s:t] == codes[z, s:t]).any(axis=1)
+    y, z = left[i], right[j]
+    for a in range(0, len(y), 4096):
+        new = ~(codes[y[a : a + 4096], s:t] == codes[z[a : a + 4096], s:t]).any(axis=1)
         if new.any():
-            found.add(y[new], z[new])
+            found.add(y[a : a + 4096][new], z[a : a + 4096][new])
 
 
 def _pair_up(least: float, tables: int):
