@@ -220,7 +220,7 @@ def ppm(train):
     return prob
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_trie": 300, "max_words": 40}])
+@pytest.mark.parametrize("limits", [{}, {"max_trie": 300, "max_words": 40}, {"max_trie": 0, "max_words": 0}])
 def test_language_model(spark, limits):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(rng.choice(["The", "cat", "sat", "on", "mats", "éa", "\t\n", f"r{i}"], int(rng.integers(0, 30))))) for i in range(60)] + [(60, None), (61, ""), (7, "again"), (7, "again"), (None, "no id")]

@@ -8,10 +8,13 @@ The last resort is uniform. Texts end with a symbol of their own, so a text's
 log10 probability, the negative of its code length, is one of a distribution
 over texts.
 
-Counting is a distributed aggregation. Scoring needs the trie in memory: it is
-dealt by its contexts' last two bytes, the word counts by hash, into shards of
-bounded size, and each pass over the documents scores with one shard of either.
-A small corpus has one shard and so one pass.
+Counting is a distributed aggregation, and so are probabilities of the grams
+that the trie has at full order. The most frequent of them, a bounded number,
+are broadcast; one pass over the documents sums theirs up and keeps aside the
+few grams that are rarer or that no training document has. These are looked up
+by joins, and unseen ones escape through joins with the shorter contexts. Word
+counts go the same two ways. So the corpus is read twice whatever its size, once
+to count and once to score, and what goes through the driver doesn't grow.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,8 @@ from tidegate.llm.common import Scratch, spread, table
 ORDER = 5
 #: The end of a text, and what stands before its start; UTF-8 has no such byte.
 END = 0xFF
-#: Entries of one shard of the trie and of the words: about 30 and 12 bytes each.
-MAX_TRIE, MAX_WORDS = 3_000_000, 6_000_000
+#: Broadcast entries of the trie and of the words at most: about 26 and 12 bytes each.
+MAX_TRIE, MAX_WORDS = 3_000_000, 4_000_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _STEP = 1 << 20
 _NONE = np.uint64(2**64 - 1)
@@ -159,60 +162,14 @@ def _find(keys: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == q
 
 
-def _low(key: np.ndarray, n: int) -> np.ndarray:
-    return key & np.uint64((1 << (8 * n)) - 1)
-
-
 def _slots(q: np.ndarray, size: int) -> np.ndarray:
     return (((q * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
 
 
-@dataclass
-class Trie:
-    """Contexts whose last two bytes lie in [lo, hi), with all their suffixes.
-
-    first: hashed keys of full order and their log10 probabilities. contexts[j]:
-    sorted contexts of j bytes, with total, distinct symbols, and the parent's
-    total of those symbols. symbols[j]: sorted (context, symbol) keys and counts.
-    """
+class Grams:
+    """A hash table of full-order grams and their log10 probabilities."""
 
-    lo: int
-    hi: int
-    keys: np.ndarray = field(default_factory=lambda: np.full(1, _NONE))
-    values: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    contexts: dict[int, tuple[np.ndarray, ...]] = field(default_factory=dict)
-    symbols: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-
-    @classmethod
-    def build(cls, lo: int, hi: int, keys: np.ndarray, n: np.ndarray, pairs: np.ndarray) -> Trie:
-        """keys, n: counts of full order in this shard; pairs: counts of (last byte, symbol) over all."""
-        t = cls(lo, hi)
-        k, n = _summed(keys.astype(np.uint64), n.astype(np.int64))
-        for j in range(ORDER, 1, -1):
-            t.symbols[j] = (k, n)
-            k, n = _summed(_low(k, j), n)
-        k = np.flatnonzero(pairs).astype(np.uint64)
-        t.symbols[1] = (k, pairs[k.astype(np.int64)])
-        t.symbols[0] = _summed(_low(k, 1), t.symbols[1][1])
-        for j in range(ORDER, -1, -1):
-            k, n = t.symbols[j]
-            c = k >> np.uint64(8)
-            at = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1]))) if len(c) else np.empty(0, np.int64)
-            of_parent = np.ones(len(k), np.int64)
-            if j:
-                where, _ = _find(t.symbols[j - 1][0], _low(k, j))
-                of_parent = t.symbols[j - 1][1][where] if len(k) else n
-            add = lambda x, at=at: np.add.reduceat(x, at) if len(at) else x[:0]
-            t.contexts[j] = (c[at], add(n), np.diff(np.append(at, len(c))), add(of_parent))
-        k, n = t.symbols[ORDER]
-        where, _ = _find(t.contexts[ORDER][0], k >> np.uint64(8))
-        if len(k):
-            _, total, distinct, _ = t.contexts[ORDER]
-            t._fill(k, np.log10(n / (total[where] + distinct[where])))
-        t.symbols[ORDER] = (k[:0], n[:0])  # the hash table has them
-        return t
-
-    def _fill(self, k: np.ndarray, v: np.ndarray) -> None:
+    def __init__(self, k: np.ndarray, v: np.ndarray):
         size = int(1.6 * len(k)) + 8
         self.keys, self.values = np.full(size, _NONE), np.zeros(size)
         todo, slot = np.arange(len(k)), _slots(k, size)
@@ -225,13 +182,14 @@ class Trie:
             left[who] = False
             todo, slot = todo[left], (slot[left] + 1) % size
 
-    def log10(self, q: np.ndarray) -> np.ndarray:
-        """log10 probability of each key's symbol in its context."""
+    def look(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each gram's log10 probability, 0 for those that aren't here; and where these stand in q."""
         size = len(self.keys)
         slot = _slots(q, size)
         out = self.values[slot]
         found = self.keys[slot]
         todo = np.flatnonzero(found != q)
+        out[todo] = 0
         missing = [todo[found[todo] == _NONE]]
         todo = todo[found[todo] != _NONE]
         while len(todo):
@@ -241,103 +199,141 @@ class Trie:
             out[todo[hit]] = self.values[slot[todo[hit]]]
             missing.append(todo[k == _NONE])
             todo = todo[~hit & (k != _NONE)]
-        miss = np.concatenate(missing)
-        if len(miss):
-            u, back = np.unique(q[miss], return_inverse=True)
-            out[miss] = self._escape(u)[back]
-        return out
-
-    def _escape(self, u: np.ndarray) -> np.ndarray:
-        """log10 probabilities of keys that the full order hasn't seen."""
-        out, open_ = np.zeros(len(u)), np.ones(len(u), bool)
-        skip_n, skip_d = np.zeros(len(u), np.int64), np.zeros(len(u), np.int64)
-        for j in range(ORDER, -1, -1):
-            keys, total, distinct, of_parent = self.contexts[j]
-            at, known = _find(keys, _low(u, j + 1) >> np.uint64(8))
-            if not len(keys):
-                continue
-            where, seen = _find(self.symbols[j][0], _low(u, j + 1))
-            d = np.where(known, distinct[at] - skip_d, 0)
-            n = np.where(known, total[at] - skip_n, 0) + d
-            go = open_ & (d > 0)
-            here = go & seen
-            out[here] += np.log10(self.symbols[j][1][where[here]] / n[here])
-            open_ &= ~here
-            go &= ~seen
-            out[go] += np.log10(d[go] / n[go])
-            skip_d = np.where(known, distinct[at], skip_d)
-            skip_n = np.where(known, of_parent[at], skip_n)
-        left = 256 - skip_d
-        out[open_] -= np.log10(np.maximum(left[open_], 1))
-        return out
+        return out, np.concatenate(missing)
 
 
 @dataclass
 class Words:
-    """Counts of words whose hash lies in [lo, hi]: those met once as bare hashes."""
+    """Counts of the frequent words, by sorted hash; ``all`` if there are no others."""
 
-    lo: int
-    hi: int
-    once: np.ndarray
-    more: np.ndarray
+    hashes: np.ndarray
     n: np.ndarray
+    all: bool
 
     def count(self, h: np.ndarray) -> np.ndarray:
-        at, known = _find(self.more, h)
-        out = np.where(known, self.n[at].astype(np.int64) if len(self.n) else 0, 0)
-        return np.where(_find(self.once, h)[1], np.int64(1), out)
+        """-1 for words that may be elsewhere."""
+        at, known = _find(self.hashes, h)
+        return np.where(known, self.n[at].astype(np.int64) if len(self.n) else 0, 0 if self.all else -1)
 
 
 @dataclass
-class Shard:
-    trie: Trie | None
-    words: Words | None
-    first: bool
-    all: bool
+class Frequent:
+    grams: Grams
+    words: Words
     train_tokens: int
     distinct: int
 
+    def word_value(self, c: np.ndarray) -> np.ndarray:
+        return np.log10((c + 0.5) / (self.train_tokens + 0.5 * (self.distinct + 1)))
+
+
+_PART = "n_tokens long, n_known long, base_score double, score double, grams array<long>, words array<long>"
+
 
-_PART = "n_tokens long, n_known long, base_score double, score double"
+def _lists(of: list[np.ndarray], values: list[np.ndarray], m: int) -> pa.Array:
+    """values by their row numbers ``of``, as m lists."""
+    rows, v = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (of, values))
+    ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=m)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(v[np.argsort(rows, kind="stable")]))
 
 
 def _scorer(shared):
+    """Adds to each row what the frequent grams and words come to, and the others."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s: Shard = shared.value
-        norm = s.train_tokens + 0.5 * (s.distinct + 1)
+        s: Frequent = shared.value
         memo: dict[bytes, int] = {}
         for batch in batches:
             texts = [_bytes(t.as_py()) for t in batch.column("text")]
             m = len(texts)
             tokens, known, base, score = np.zeros(m, np.int64), np.zeros(m), np.zeros(m), np.zeros(m)
+            rare: list[list[np.ndarray]] = [[], [], [], []]
             for g, g_of, toks, tok_of in _chunks(texts):
-                if s.trie is not None and len(g):
-                    if not s.all:
-                        pair = (g >> np.uint64(8)) & np.uint64(0xFFFF)
-                        mine = (pair >= s.trie.lo) & (pair < s.trie.hi)
-                        g, g_of = g[mine], g_of[mine]
-                    if len(g):
-                        score += np.bincount(g_of, s.trie.log10(g), m)
-                if s.first:
-                    tokens += np.bincount(tok_of, minlength=m)
-                if s.words is not None and toks:
+                if len(g):
+                    value, missing = s.grams.look(g)
+                    score += np.bincount(g_of, value, m)
+                    rare[0].append(g_of[missing])
+                    rare[1].append(g[missing].view(np.int64))
+                tokens += np.bincount(tok_of, minlength=m)
+                if toks:
                     if len(memo) > 150_000:
                         memo.clear()
                     if new := list(set(toks).difference(memo)):
-                        h = np.fromiter(map(_hash, new), np.int64, len(new))
-                        c = s.words.count(h)
-                        if not s.all:
-                            c = np.where((h >= s.words.lo) & (h <= s.words.hi), c, -1)
-                        memo.update(zip(new, c.tolist(), strict=True))
+                        memo.update(zip(new, s.words.count(np.fromiter(map(_hash, new), np.int64, len(new))).tolist(), strict=True))
                     c = np.fromiter(map(memo.__getitem__, toks), np.int64, len(toks))
-                    value = np.log10((c + 0.5) / norm, where=c >= 0, out=np.zeros(len(c)))
-                    base += np.bincount(tok_of, value, m)
+                    here = c >= 0
+                    base += np.bincount(tok_of[here], s.word_value(c[here]), m)
                     known += np.bincount(tok_of, c > 0, m)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(tokens), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names=["row", "n_tokens", "n_known", "base_score", "score"])
+                    if not here.all():
+                        rare[2].append(tok_of[~here])
+                        rare[3].append(np.fromiter((_hash(toks[i]) for i in np.flatnonzero(~here)), np.int64))
+            columns = [batch.column("row"), pa.array(tokens), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), _lists(rare[0], rare[1], m), _lists(rare[2], rare[3], m)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "n_tokens", "n_known", "base_score", "score", "grams", "words"])
 
     return run
 
 
+def _low(key: Column, n: int) -> Column:
+    """The last n bytes of a gram."""
+    return key.bitwiseAND(F.lit((1 << 8 * n) - 1)) if n < 8 else key
+
+
+def _context(gram: Column) -> Column:
+    return F.shiftright(gram, 8)
+
+
+def _most(counts: DataFrame, most: int) -> int:
+    """The least power of two that at most ``most`` of counts.n reach; 1 if all may stay."""
+    doublings = 62
+    reach = counts.agg(*[F.count_if(F.col("n") >= (1 << k)).alias(str(k)) for k in range(doublings)]).first()
+    return 1 << next((k for k in range(doublings) if reach[k] <= most), doublings)
+
+
+@dataclass
+class Order:
+    """One order of the trie. grams: (k, n); contexts: (x, total, distinct, of_parent), the last the parent's total of the context's symbols."""
+
+    grams: DataFrame
+    contexts: DataFrame
+
+
+def _orders(full: DataFrame, scratch: Scratch) -> list[Order]:
+    """All orders from 0, by the counts (k, n) of the highest."""
+    grams = [full]
+    for j in range(ORDER, 0, -1):
+        grams.insert(0, scratch.keep(grams[0].groupBy(_low(F.col("k"), j).alias("k")).agg(F.sum("n").alias("n"))))
+    out = []
+    for j, g in enumerate(grams):
+        # an order's contexts, its symbols with what the parent has of them
+        parent = F.lit(1).cast("long")
+        both = g.withColumn("parent", parent)
+        if j:
+            both = g.withColumn("low", _low(F.col("k"), j)).join(grams[j - 1].select(F.col("k").alias("low"), F.col("n").alias("parent")), "low")
+        x = both.groupBy(_context(F.col("k")).alias("x")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum("parent").alias("of_parent"))
+        out.append(Order(g, scratch.keep(x)))
+    return out
+
+
+def _escaped(unseen: DataFrame, orders: list[Order]) -> DataFrame:
+    """(k, p): log10 probabilities of distinct grams that the full order hasn't seen."""
+    out, open_ = F.lit(0.0), F.lit(True)
+    skip_n, skip_d = F.lit(0).cast("long"), F.lit(0).cast("long")
+    now = unseen.select("k", out.alias("p"), open_.alias("open"), skip_n.alias("skip_n"), skip_d.alias("skip_d"))
+    for j in range(ORDER, -1, -1):
+        contexts, grams = orders[j].contexts, orders[j].grams.select(F.col("k").alias("g"), F.col("n").alias("seen"))
+        # up to 65,536 contexts of two bytes, and as many grams of one and a symbol
+        contexts, grams = F.broadcast(contexts) if j <= 2 else contexts, F.broadcast(grams) if j <= 1 else grams
+        at = now.withColumn("x", _context(_low(F.col("k"), j + 1))).join(contexts, "x", "left").withColumn("g", _low(F.col("k"), j + 1)).join(grams, "g", "left")
+        d = F.coalesce(F.col("distinct") - F.col("skip_d"), F.lit(0))
+        n = F.col("total") - F.col("skip_n") + d
+        go = F.col("open") & (d > 0)
+        here = go & F.col("seen").isNotNull()
+        p = F.col("p") + F.when(here, F.log10(F.col("seen") / n)).when(go, F.log10(d / n)).otherwise(0.0)
+        now = at.select("k", p.alias("p"), (F.col("open") & ~here).alias("open"), F.coalesce("of_parent", "skip_n").alias("skip_n"), F.coalesce("distinct", "skip_d").alias("skip_d"))
+    left = F.greatest(256 - F.col("skip_d"), F.lit(1))
+    return now.select("k", (F.col("p") - F.when(F.col("open"), F.log10(left)).otherwise(0.0)).alias("p"))
+
+
 def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % 5 == 1, F.lit(False))
 
@@ -348,69 +344,55 @@ def lm_scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_co
     Texts are lowered (A-Z). score is the trie's log10 probability of the text
     and its end, base_score a unigram model's over words and an end. Rows whose
     id hashes to held_out don't train; a null id isn't held out. Null texts are
-    empty: they have the end alone. Repeated rows each count. Without training
-    rows each byte is as likely as any other. Extra columns aren't read.
+    empty: they have the end alone. Repeated rows each count. Texts may be of
+    any length. Without training rows each byte is as likely as any other. Extra
+    columns aren't read; an empty table gives an empty one. The limits change
+    what is broadcast, not what comes out.
     """
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), held_out(id_col).alias("held_out"))
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    src = src.withColumn("held_out", held_out("id"))
     parts = spread(src.where("not held_out").select("text")).mapInArrow(_count, "kind int, key long, n long")
     counts = scratch.keep(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")))
-    grams, word_counts = counts.where("kind = 0"), counts.where("kind = 1")
+    grams, word_counts = counts.where("kind = 0").select(F.col("key").alias("k"), "n"), counts.where("kind = 1").select("key", "n")
     v, n = word_counts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    pairs = np.zeros(65536, np.int64)  # at most 65,536 rows
-    for k, c in grams.groupBy(F.expr("key & 65535").alias("k")).agg(F.sum("n")).collect():
-        pairs[k] = c
-    sizes = np.zeros(65536, np.int64)
-    for k, c in grams.groupBy(F.expr("shiftright(key, 8) & 65535").alias("k")).agg(F.count(F.lit(1))).collect():
-        sizes[k] = c
-
-    def tries() -> Iterator[Trie]:
-        lo = 0
-        while lo < 65536:
-            hi = max(lo + 1, int(np.searchsorted(np.cumsum(sizes[lo:]), max_trie, "right")) + lo)
-            got = grams.where(F.expr(f"(shiftright(key, 8) & 65535) >= {lo} and (shiftright(key, 8) & 65535) < {hi}")).select("key", "n").toArrow()
-            key, count = got["key"].to_numpy(), got["n"].to_numpy()
-            del got
-            yield Trie.build(lo, hi, key, count, pairs)
-            del key, count
-            pa.default_memory_pool().release_unused()
-            lo = hi
-
-    def vocabularies() -> Iterator[Words]:
-        k = max(1, -(-v // max_words))
-        edges = [-(2**63) + i * (2**64 // k) for i in range(k)] + [2**63]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            got = word_counts.where(F.col("key").between(a, b - 1)).select("key", F.col("n")).toArrow()
-            h, c = got["key"].to_numpy(), got["n"].to_numpy()
-            del got
-            order = np.argsort(h)
-            h, c = h[order], c[order]
-            del order
-            pa.default_memory_pool().release_unused()
-            yield Words(a, b - 1, h[c == 1], h[c > 1], c[c > 1].astype(np.uint32))
-
-    rows = spread(src.select(F.struct("id", "held_out", F.xxhash64("text").alias("h")).alias("row"), "text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    trie_parts, word_parts = tries(), vocabularies()
-    out, first, parts = None, True, []
-    pending = (next(trie_parts, None), next(word_parts, None))
-    while pending != (None, None):
-        after = (next(trie_parts, None), next(word_parts, None))
-        alone = first and after == (None, None)
-        shared = spark.sparkContext.broadcast(Shard(*pending, first, alone, n, v))
-        out = rows.mapInArrow(_scorer(shared), f"row {kind}, {_PART}")
-        if not alone:
-            parts.append(scratch.keep(out))
-            shared.unpersist()
-        first, pending = False, after
-    if parts:
-        # equal rows have equal parts: they are summed as one, and repeated
-        out = parts[0].withColumn("first", F.lit(1))
-        for p in parts[1:]:
-            out = out.union(p.withColumn("first", F.lit(0)))
-        sums = [(F.sum(c) / F.sum("first")).cast(t).alias(c) for c, t in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double"))]
-        out = out.groupBy("row").agg(*sums, F.sum("first").alias("times")).withColumn("t", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-    return out.select(F.col("row.id").alias("doc_id"), "row.held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    orders = _orders(grams, scratch)
+    x = orders[ORDER].contexts.select("x", "total", "distinct")
+    seen = grams.withColumn("x", _context(F.col("k"))).join(x, "x").select("k", "n", F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("p"))
+    seen = scratch.keep(seen)
+
+    from_n = _most(seen, max_trie)  # at most max_trie entries through the driver, whatever the corpus
+    got = seen.where(F.col("n") >= from_n).select("k", "p").toArrow()
+    table_of = Grams(got["k"].to_numpy().view(np.uint64), got["p"].to_numpy())
+    from_word = _most(word_counts, max_words)
+    got = word_counts.where(F.col("n") >= from_word).toArrow()
+    h, c = got["key"].to_numpy(), got["n"].to_numpy()
+    del got
+    order = np.argsort(h)
+    words = Words(h[order], np.minimum(c[order], 2**32 - 1).astype(np.uint32) if len(c) and c.max() < 2**32 else c[order], from_word == 1)
+    del h, c, order
+    pa.default_memory_pool().release_unused()
+    shared = spark.sparkContext.broadcast(Frequent(table_of, words, n, v))
+    del table_of, words
+
+    rows = spread(src.select(F.struct("id", "held_out").alias("row"), "text"))
+    scored = rows.mapInArrow(_scorer(shared), f"row {rows.schema['row'].dataType.simpleString()}, {_PART}")
+    scored = scratch.keep(scored.withColumn("rid", F.monotonically_increasing_id()))
+    shared.unpersist()
+
+    rare = scored.select("rid", F.explode("grams").alias("k")).groupBy("rid", "k").agg(F.count(F.lit(1)).alias("times"))
+    rare = scratch.keep(rare)
+    wanted = rare.select("k").distinct().join(seen.select("k", "p"), "k", "left")
+    wanted = scratch.keep(wanted)
+    p = wanted.where("p is not null").union(_escaped(wanted.where("p is null").select("k"), orders))
+    more = rare.join(scratch.keep(p), "k").groupBy("rid").agg(F.sum(F.col("times") * F.col("p")).alias("more_score"))
+    few = scored.select("rid", F.explode("words").alias("key")).groupBy("rid", "key").agg(F.count(F.lit(1)).alias("times"))
+    count = F.coalesce(F.col("n"), F.lit(0))
+    base = F.log10((count + 0.5) / F.lit(n + 0.5 * (v + 1)))
+    few = few.join(word_counts, "key", "left").groupBy("rid").agg(F.sum(F.col("times") * base).alias("more_base"), F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("more_known"))
+    out = scored.drop("grams", "words").join(more, "rid", "left").join(few, "rid", "left")
+    plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
+    return out.select(F.col("row.id").alias("doc_id"), "row.held_out", "n_tokens", plus("n_known", "more_known"), F.lit(n).cast("long").alias("train_tokens"), plus("base_score", "more_base"), plus("score", "more_score"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
