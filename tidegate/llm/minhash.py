@@ -30,7 +30,7 @@ SHINGLE = 5
 #: 3e-6, at 0.85 with 7e-9; SIGMAS refuses fewer than 1e-6 of those that do.
 BANDS, ROWS = 32, 5
 #: Members of a bucket compared at once; two blocks meet in one group.
-BLOCK = 256
+BLOCK = 128
 #: Signatures may fall short of the threshold by so many standard errors
 #: before a pair is refused without comparing its full sets.
 SIGMAS = 5.0
