@@ -71,6 +71,7 @@ def test_restatement_overwrites(spark, w):
     w.commit(wh.Commit())
     m = w.manifest()
     m["watermark"] = []
+    m["version"] += 1
     w._publish(m)
     night(w, TWO[:1], lambda a, s, e: daily(a, s, e, 99), backfill_days=5)
     got = rows(w, "pageviews")
@@ -232,6 +233,7 @@ def test_old_folders_lack_a_column(spark, w):
     spark.createDataFrame([("r", "sky", "A", "views_non_negative", "got -1", "{}")], "run_id string, venue_id string, article string, rule string, detail string, raw string").write.parquet(p)
     m = w.manifest()
     m["quarantine"].append("quarantine/old")
+    m["version"] += 1
     w._publish(m)
     night(w, TWO, lambda a, s, e: [item(a, s, -1)] + daily(a, s + timedelta(days=1), e), backfill_days=30)
     q = w.read("quarantine")
@@ -341,3 +343,42 @@ def test_absent_days_are_asked_for_until_settled(spark, w):
     asked = Asked()
     night(w, TWO[:1], asked, today=TODAY + timedelta(days=1))
     assert asked.calls == [("Sky_Tower", date(2026, 2, 24), date(2026, 2, 28))] and w.read("pageviews").count() == 11
+
+
+def test_a_second_writer_is_refused(spark, w):
+    """Of two runs from one snapshot the first holds; the other fails, and its log tells."""
+    base = w.manifest()
+    night(w, TWO[:1], backfill_days=5)
+    with pytest.raises(wh.ConcurrentCommit):
+        w.commit(wh.Commit(), base=base)
+
+    def meanwhile(a, s, e):
+        if not seen:
+            seen.append(night(w, TWO[1:], backfill_days=5))
+        return daily(a, s, e)
+
+    seen = []
+    before = len(rows(w, "pageviews"))
+    with pytest.raises(wh.ConcurrentCommit):
+        night(w, TWO[:1], meanwhile, today=TODAY + timedelta(days=3))
+    assert len(rows(w, "pageviews")) == before + 5
+    assert sorted(r["status"] for r in rows(w, "run_log")) == ["failed", "ok", "ok"]
+    # changes that build on no snapshot both hold
+    two = [wh.Warehouse(spark, w.path) for _ in range(2)]
+    for i, x in enumerate(two):
+        x.commit(wh.Commit(run_log=[(f"r{i}", wh.utc_now(), None, "ok", 0, 0, 0, 0, 0, 0.0, None)]))
+    assert {"r0", "r1"} <= {r["run_id"] for r in rows(w, "run_log")}
+
+
+def test_runs_leave_no_staging(spark, w):
+    import os
+
+    night(w, TWO, backfill_days=40)
+    with pytest.raises(OSError):
+        night(w, TWO, lambda a, s, e: (_ for _ in ()).throw(OSError("down")), backfill_days=40, today=TODAY + timedelta(days=3))
+    assert not os.listdir(f"{w.path}/_staging")
+    # a job of many months writes one folder
+    assert len({n.rsplit("/", 1)[0] for n in w.manifest()["pageviews"].values()}) == 1 and len(w.manifest()["pageviews"]) > 1
+    night(w, TWO, backfill_days=40, today=TODAY + timedelta(days=3))
+    kept = rows(w, "pageviews")
+    assert w.vacuum() >= 0 and rows(w, "pageviews") == kept and len(os.listdir(f"{w.path}/_manifests")) <= 2

@@ -70,8 +70,12 @@ def json_kind(raw: Column, field: str) -> Column:
 
     An int is an integer by its spelling: 120.0 and 1e2 are floats.
     """
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), f"$.{field}", "variant"))
-    text = F.get_json_object(raw, f"$.{field}")
+    return kind_of(F.try_variant_get(F.try_parse_json(raw), f"$.{field}", "variant"), F.get_json_object(raw, f"$.{field}"))
+
+
+def kind_of(value: Column, text: Column) -> Column:
+    """json_kind of a value that is parsed already, and its spelling."""
+    kind = F.schema_of_variant(value)
     return (
         F.when(kind == "VOID", "null")
         .when(kind == "BOOLEAN", "bool")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidegate import schema
-from tidegate.functions.scalars import is_ascii, json_kind, looks_alike, parse_stamp, same_nfc
+from tidegate.functions.scalars import is_ascii, kind_of, looks_alike, parse_stamp, same_nfc
 
 _PYTHON = {"null": "NoneType", "str": "str", "bool": "bool", "float": "float", "list": "list", "dict": "dict"}
 
@@ -32,10 +32,12 @@ def judge(items: DataFrame, today: Column, by_day: str = "window_start") -> Data
     the row's day whatever rule it breaks, null if it has none.
     """
     raw = F.col("raw")
-    j = items.withColumn("got__", F.get_json_object(raw, "$.article")).withColumn("stamp__", F.get_json_object(raw, "$.timestamp"))
-    j = j.withColumn("count__", F.get_json_object(raw, "$.views")).withColumn("kind__", json_kind(raw, "views"))
-    j = j.withColumn("is_title__", F.coalesce(json_kind(raw, "article") == "str", F.lit(False)))
-    j = j.withColumn("view_date", parse_stamp(F.when(json_kind(raw, "timestamp") == "str", F.col("stamp__"))))
+    # the text is parsed twice: for the values' kinds, and for their spelling
+    j = items.withColumn("v__", F.try_parse_json(raw)).withColumn("f__", F.from_json(raw, "article string, timestamp string, views string"))
+    j = j.select("*", F.col("f__.article").alias("got__"), F.col("f__.timestamp").alias("stamp__"), F.col("f__.views").alias("count__"))
+    kind = lambda field, text: kind_of(F.try_variant_get("v__", f"$.{field}", "variant"), F.col(text))
+    j = j.withColumn("kind__", kind("views", "count__")).withColumn("is_title__", F.coalesce(kind("article", "got__") == "str", F.lit(False)))
+    j = j.withColumn("view_date", parse_stamp(F.when(kind("timestamp", "stamp__") == "str", F.col("stamp__")))).drop("v__", "f__")
     # few rows, if any, need Python: they take a way of their own, and all others stay in the JVM
     got, asked = F.col("got__"), F.col("article")
     hard = F.col("is_title__") & looks_alike(got, asked)

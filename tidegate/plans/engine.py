@@ -65,7 +65,14 @@ def run(
     days = Days.of(today or datetime.now(UTC).date(), p)
     r = _Run(RunSummary(uuid.uuid4().hex[:12], "running", len(venues)), utc_now(), [], [])
     try:
-        _attempt(warehouse, venues, p, days, source or OnExecutors(), r)
+        return _logged(warehouse, venues, p, days, source or OnExecutors(), r)
+    finally:
+        warehouse.unstage(r.summary.run_id)
+
+
+def _logged(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, source: Callable[[DataFrame], DataFrame], r: _Run) -> RunSummary:
+    try:
+        _attempt(warehouse, venues, p, days, source, r)
     except Exception as e:
         r.summary.status, r.summary.rows_loaded = "failed", 0
         r.summary.note = "; ".join([*r.stalled, *r.silent, f"{type(e).__name__}: {e}"])
@@ -93,37 +100,32 @@ def _fresh(warehouse: Warehouse, r: _Run) -> DataFrame:
     return _as_rejects(gate.novel_rejects(r.bad, warehouse.read("quarantine")), r.summary.run_id)
 
 
-def _staged(warehouse: Warehouse, df: DataFrame, run_id: str, step: str) -> DataFrame:
-    """Written once: a source must not be asked twice for one run."""
-    path = f"{warehouse.path}/_staging/{run_id}/{step}"
-    df.write.parquet(path)
-    return warehouse.spark.read.schema(df.schema).parquet(path)
-
-
 def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, source: Callable[[DataFrame], DataFrame], r: _Run) -> None:
     s, spark = r.summary, warehouse.spark
     m = warehouse.manifest()
     stored = warehouse.read("pageviews", m)
     # one row per stored venue: what plans, alerts and the frontier need of the counts
-    history = _staged(warehouse, stored.groupBy("venue_id").agg(F.max("view_date").alias("last_stored"), F.max(F.when(F.col("view_date") <= F.lit(days.end), F.col("view_date"))).alias("last_due")), s.run_id, "history")
+    history = warehouse.stage(stored.groupBy("venue_id").agg(F.max("view_date").alias("last_stored"), F.max(F.when(F.col("view_date") <= F.lit(days.end), F.col("view_date"))).alias("last_due")), s.run_id, "history")
     end = F.lit(days.end)
     plan = planning.plan_starts(venues_frame(spark, venues), warehouse.read("watermark", m), history, end, F.lit(days.floor), p.backfill_days)
-    plan = _staged(warehouse, plan.withColumn("end", end), s.run_id, "plan")
+    plan = warehouse.stage(plan.withColumn("end", end), s.run_id, "plan")
     r.stalled += [f"{v}: gave up on {n} days" for v, n in plan.where("gave_up > 0").orderBy("ord").select("venue_id", "gave_up").collect()]
 
     asked = planning.plan_windows(plan, p.chunk_days)
     windows = asked.select("venue_id", F.col("wiki_article").alias("article"), F.col("start").alias("venue_start"), F.col("end").alias("venue_end"), "window_start", "window_end", "ord", "window_no")
-    windows = _staged(warehouse, _numbered(windows), s.run_id, "windows")
-    items = _staged(warehouse, source(windows), s.run_id, "items")
+    # requests in order, venue by venue; a venue has no more windows than days to look back
+    windows = windows.withColumn("call", F.col("ord").cast("long") * p.max_lookback_days + F.col("window_no")).drop("ord", "window_no")
+    windows = warehouse.stage(windows, s.run_id, "windows")
+    items = warehouse.stage(source(windows), s.run_id, "items")
     failed = items.where("error_type is not null").orderBy("seq").select("seq", "error_type", "error").first()
     s.requests = windows.count()
     if failed is not None:
         from tidegate.sources.items import CALL
 
-        s.requests = failed.seq // CALL + 1
+        s.requests = windows.where(F.col("call") <= failed.seq // CALL).count()
         s.rows_fetched = items.where(F.col("error_type").isNull() & (F.col("seq") < failed.seq)).count()
         raise _failure(failed.error_type, failed.error)
-    judged = _staged(warehouse, rules.judge(items, F.lit(days.today)), s.run_id, "judged")
+    judged = warehouse.stage(rules.judge(items, F.lit(days.today)), s.run_id, "judged")
     clean, bad = judged.where("rule is null"), judged.where("rule is not null")
     r.bad = bad
 
@@ -131,7 +133,7 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     seen = plan.where("start <= end").join(stats, "venue_id", "left").join(history, "venue_id", "left").fillna(0, ["n_clean", "n_bad"]).fillna(False, ["unknown_bad"])
     novel = gate.novel_rejects(bad, warehouse.read("quarantine", m))
     fresh = gate.held_venues(seen.withColumn("seen", F.col("n_clean") + F.col("n_bad")), novel, p.max_reject_rate)
-    fresh = _staged(warehouse, fresh, s.run_id, "venues")
+    fresh = warehouse.stage(fresh, s.run_id, "venues")
     observed = frontier.publication_frontier(history.select(F.col("last_due").alias("view_date")), clean, end).first().observed
     trusted = F.lit(None).cast("date") if observed is None else F.lit(min(days.trust_line, observed))
     far = frontier.venue_frontier(F.col("start"), end, trusted, F.col("last_clean"), F.col("first_bad"), F.col("unknown_bad"))
@@ -164,15 +166,6 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
             quarantine=_as_rejects(bad, s.run_id) if s.rows_quarantined else None,
             watermark=marks if any(v.new and not v.held for v in venue_rows) else None,
             run_log=[r.log_row()],
-        )
+        ),
+        base=m,
     )
-
-
-def _numbered(windows: DataFrame) -> DataFrame:
-    """call: the order of requests, venue by venue; offsets come from one count per venue."""
-    from pyspark.sql.window import Window
-
-    per = windows.groupBy("ord").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))
-    per = per.select("ord", F.coalesce(before, F.lit(0)).alias("before"))
-    return windows.join(per, "ord").withColumn("call", (F.col("before") + F.col("window_no")).cast("long")).drop("ord", "window_no", "before")

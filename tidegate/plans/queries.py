@@ -394,8 +394,9 @@ ORACLES |= {
     "upsert_pageviews": f"{_W}{_JUDGED}, o AS ({_DAYS.format(0)}), n AS ({_DAYS.format(1)}) SELECT * FROM n UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.venue_id = o.venue_id AND n.view_date = o.view_date)",
     "append_new_rejects": f"{_W}{_JUDGED}, {_NOVEL} SELECT venue_id, view_date, rule, 'old' AS written FROM bad WHERE seq % 3 = 0 UNION ALL SELECT venue_id, view_date, rule, 'new' FROM novel",
     "drop_held": f"{_W}{_JUDGED}, {_HELD} SELECT seq, clean.venue_id, view_date, views FROM clean JOIN held USING (venue_id) WHERE NOT held",
-    "merge_sources": f"""{_W}{_SHAPED}, one AS (SELECT stamp, seq AS pos FROM shaped WHERE venue_id = '1' AND stamp[1:8] BETWEEN '20240105' AND '20240120'),
-      w AS (SELECT stamp, pos, 0 AS src FROM one WHERE pos % 3 = 0) SELECT * FROM w UNION ALL SELECT stamp, pos, 1 FROM one WHERE pos % 3 <> 0 AND stamp NOT IN (SELECT stamp FROM w)""",
+    "merge_sources": f"""{_W}{_SHAPED}, every AS (SELECT venue_id, stamp, seq AS pos FROM shaped WHERE stamp[1:8] BETWEEN '20240105' AND '20240120'),
+      w AS (SELECT venue_id, stamp, pos, 0 AS src FROM every WHERE pos % 3 = 0)
+      SELECT stamp, pos, src FROM w UNION ALL SELECT stamp, pos, 1 FROM every e WHERE pos % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM w WHERE w.venue_id = e.venue_id AND w.stamp = e.stamp)""",
     "json_type_check": f"{_W}{_SHAPED}, {_RAW} SELECT seq, CASE json_type(raw::JSON, '$.views') WHEN 'NULL' THEN 'null' WHEN 'BOOLEAN' THEN 'bool' WHEN 'VARCHAR' THEN 'str' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'dict' WHEN 'DOUBLE' THEN 'float' ELSE 'int' END AS kind FROM raws",
     "contract_missing_fields": f"{_W}{_SHAPED}, {_RAW} SELECT seq, CASE WHEN NOT list_contains(json_keys(raw::JSON), 'agent') THEN 'an item has no [''agent'']' ELSE 'project is de.wikipedia, not ''en.wikipedia'': this answers another question' END AS drift FROM raws WHERE NOT list_contains(json_keys(raw::JSON), 'agent') OR raw::JSON->>'$.project' <> 'en.wikipedia'",
     "url_build": "SELECT p_partkey, 'https://wikimedia.org/api/rest_v1/metrics/pageviews/per-article/en.wikipedia/all-access/user/' || url_encode(p_name || ' (é)*~/' || p_partkey) || '/daily/20240101/20240126' AS url FROM part",
@@ -409,6 +410,6 @@ ORACLES |= {
     "run_summary": f"""{_W}{_JUDGED}, {_HELD}, r AS (SELECT min(d) AS s, max(d) AS e FROM base GROUP BY venue_id)
       SELECT (SELECT sum((e - s) // 7 + 1)::BIGINT FROM r) AS requests, (SELECT count(*) FROM judged) AS rows_fetched, (SELECT count(*) FROM bad) AS rows_quarantined,
         (SELECT count(*) FROM clean JOIN held USING (venue_id) WHERE NOT held) AS rows_loaded, (SELECT count(*) FROM bad)::DOUBLE / (SELECT count(*) FROM judged)::DOUBLE AS reject_rate""",
-    "title_nfc_match": "SELECT doc_id, nfc_normalize(replace(replace(t, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))) = nfc_normalize(t) AS same, nfc_normalize(replace(replace(t, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)) || chr(8203)) = nfc_normalize(t) AS odd FROM (SELECT doc_id, string_split(text, chr(10))[1] AS t FROM documents)",
+    "title_nfc_match": "SELECT doc_id, nfc_normalize(replace(replace(t, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))) = nfc_normalize(t) AS same, nfc_normalize(replace(replace(t, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)) || chr(8203)) = nfc_normalize(t) AS odd FROM (SELECT doc_id, text AS t FROM documents)",
     "ingest_runs": "SELECT n_nationkey::VARCHAR AS venue_id, n_name AS article, CAST(DATE '2025-11-30' + i::INT AS DATE) AS view_date, true AS counted FROM nation, range(93) r(i)",
 }

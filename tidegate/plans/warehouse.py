@@ -1,10 +1,11 @@
-"""The warehouse: immutable Parquet folders, and one manifest that names them.
-
-A commit writes new folders first and then replaces the manifest in one rename,
-so all tables change together or not at all, and a reader that resolved the
-manifest keeps its snapshot. Daily counts are kept by month: an upsert rewrites
-only the months that it touches. Works on any Hadoop file system whose rename
-replaces atomically.
+"""The warehouse: immutable Parquet folders, and manifests that name them.
+
+A commit writes new folders first and then the next version's manifest, under a
+name that only one writer can take, so all tables change together or not at all,
+and of two writers that began from one version the second is refused. A reader
+that resolved a manifest keeps its snapshot. Daily counts are kept by month: an
+upsert rewrites only the months that it touches, all in one job. Works on any
+Hadoop file system whose rename refuses a name that is taken.
 """
 
 from __future__ import annotations
@@ -19,7 +20,11 @@ from pyspark.sql import functions as F
 from tidegate import schema
 from tidegate.operators.merge import upsert
 
-MANIFEST = "_manifest.json"
+MANIFESTS, STAGING = "_manifests", "_staging"
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer has committed since the snapshot that a change is based on."""
 
 
 def utc_now():
@@ -42,8 +47,11 @@ class Commit:
 class Warehouse:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        if not self._exists(MANIFEST):
-            self._publish({"version": 0, "pageviews": {}, "quarantine": [], "watermark": [], "run_log": []})
+        if not self._versions():
+            try:
+                self._publish({"version": 0, "pageviews": {}, "quarantine": [], "watermark": [], "run_log": []})
+            except ConcurrentCommit:
+                pass  # another has just made it
 
     # files
 
@@ -56,27 +64,38 @@ class Warehouse:
     def _exists(self, name: str) -> bool:
         return self._fs().exists(self._jvm_path(name))
 
+    def _versions(self) -> list[str]:
+        """Names of manifests, oldest first."""
+        if not self._exists(MANIFESTS):
+            return []
+        return sorted(n for s in self._fs().listStatus(self._jvm_path(MANIFESTS)) if (n := s.getPath().getName()).startswith("v"))
+
     def manifest(self) -> dict:
-        stream = self._fs().open(self._jvm_path(MANIFEST))
+        stream = self._fs().open(self._jvm_path(f"{MANIFESTS}/{self._versions()[-1]}"))
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
     def _publish(self, manifest: dict) -> None:
-        """The commit point: a rename over the manifest."""
+        """The commit point: a rename to the version's name, refused if it is taken."""
         jvm = self.spark._jvm
-        new = self._jvm_path(f"_manifest-{uuid.uuid4().hex}.json")
+        new = self._jvm_path(f"{MANIFESTS}/_{uuid.uuid4().hex}")
         out = self._fs().create(new, True)
         try:
             out.write(bytearray(json.dumps(manifest).encode()))
         finally:
             out.close()
-        rename = jvm.org.apache.hadoop.fs.Options.Rename
-        how = self.spark.sparkContext._gateway.new_array(rename, 1)
-        how[0] = rename.OVERWRITE
+        how = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri() if new.toUri().getScheme() else self._fs().getUri(), self.spark._jsc.hadoopConfiguration())
-        context.rename(new, self._jvm_path(MANIFEST), how)
+        name = self._jvm_path(f"{MANIFESTS}/v{manifest['version']:012d}")
+        try:
+            context.rename(new, name, how)
+        except Exception as e:
+            if not self._fs().exists(name):
+                raise
+            self._fs().delete(new, False)
+            raise ConcurrentCommit(f"version {manifest['version']} of {self.path} is another writer's") from e
 
     def _write(self, df: DataFrame, table: str) -> str:
         name = f"{table}/{uuid.uuid4().hex}"
@@ -96,17 +115,28 @@ class Warehouse:
 
     # writing
 
-    def commit(self, change: Commit) -> None:
-        """All of a change, or on any error none of it."""
-        now = self.manifest()
+    def commit(self, change: Commit, base: dict | None = None, most: int = 5) -> None:
+        """All of a change, or on any error none of it.
+
+        base: the manifest that the change was worked out from; it must still be
+        the latest, else ConcurrentCommit. Without one the change holds whatever
+        others have written, and is tried again upon the latest.
+        """
+        for left in reversed(range(most)):
+            now = base or self.manifest()
+            if base and self.manifest()["version"] != base["version"]:
+                raise ConcurrentCommit(f"{self.path} has changed since version {base['version']}")
+            try:
+                return self._publish(self._changed(now, change))
+            except ConcurrentCommit:
+                if base or not left:
+                    raise
+
+    def _changed(self, now: dict, change: Commit) -> dict:
+        """The next manifest, its new folders written."""
         new = json.loads(json.dumps(now))
         if change.pageviews is not None:
-            month = F.date_format("view_date", "yyyy-MM")
-            touched = [r[0] for r in change.pageviews.select(month).distinct().collect()]  # one row a month
-            for m in touched:
-                part = change.pageviews.where(month == m)
-                old = self.read("pageviews", now, [m])
-                new["pageviews"][m] = self._write(upsert(old, part, ["venue_id", "view_date"]), "pageviews")
+            new["pageviews"].update(self._write_months(now, change.pageviews))
         if change.quarantine is not None:
             new["quarantine"].append(self._write(change.quarantine, "quarantine"))
         if change.watermark is not None:
@@ -122,7 +152,18 @@ class Warehouse:
             else:
                 new["run_log"].append(self._write(rows.coalesce(1), "run_log"))
         new["version"] += 1
-        self._publish(new)
+        return new
+
+    def _write_months(self, now: dict, rows: DataFrame) -> dict[str, str]:
+        """Folders by month of the months that rows touch, in one job however many."""
+        month = F.date_format("view_date", "yyyy-MM")
+        touched = [r[0] for r in rows.select(month).distinct().collect()]  # one row a month
+        merged = upsert(self.read("pageviews", now, touched), rows, ["venue_id", "view_date"])
+        name = f"pageviews/{uuid.uuid4().hex}"
+        kinds = [F.col(f.name).cast(f.dataType) for f in schema.TABLES["pageviews"]]
+        # a month's rows over several files where they are many, and not a file of each task
+        merged.select(*kinds, month.alias("month")).repartition("month", F.pmod(F.xxhash64("venue_id"), F.lit(8))).write.partitionBy("month").parquet(f"{self.path}/{name}")
+        return {m: f"{name}/month={m}" for m in touched}
 
     def compact(self, table: str = "quarantine") -> None:
         """An append-only table's folders as one."""
@@ -132,13 +173,35 @@ class Warehouse:
         self._publish(m)
 
     def vacuum(self) -> int:
-        """Deletes folders that the manifest no longer names; only when no one reads older snapshots. Returns how many."""
+        """Deletes folders that the latest manifest doesn't name, older manifests, and what broken runs have staged.
+
+        Only when no one reads older snapshots or writes. Returns how many folders went.
+        """
         m, fs, gone = self.manifest(), self._fs(), 0
         for table in schema.TABLES:
             used = set(m[table].values() if isinstance(m[table], dict) else m[table])
+            used |= {n.rsplit("/month=", 1)[0] for n in used}
             if self._exists(table):
                 for s in fs.listStatus(self._jvm_path(table)):
                     name = f"{table}/{s.getPath().getName()}"
                     if name not in used:
                         gone += fs.delete(s.getPath(), True)
+                    elif table == "pageviews":
+                        for month in fs.listStatus(s.getPath()):
+                            if month.isDirectory() and f"{name}/{month.getPath().getName()}" not in used:
+                                gone += fs.delete(month.getPath(), True)
+        for old in self._versions()[:-1]:
+            fs.delete(self._jvm_path(f"{MANIFESTS}/{old}"), False)
+        if self._exists(STAGING):
+            fs.delete(self._jvm_path(STAGING), True)
         return gone
+
+    def stage(self, df: DataFrame, run: str, step: str) -> DataFrame:
+        """A run's table, written once, as a source must not be asked twice; unstage() deletes all of a run's."""
+        path = f"{self.path}/{STAGING}/{run}/{step}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def unstage(self, run: str) -> None:
+        if self._exists(f"{STAGING}/{run}"):
+            self._fs().delete(self._jvm_path(f"{STAGING}/{run}"), True)

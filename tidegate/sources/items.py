@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Iterator
 from datetime import date
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -49,9 +50,13 @@ class OnExecutors:
         fetch = self.fetch
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                got = list(_rows(fetch, b.itertuples(index=False, name=None)))
-                yield pd.DataFrame(got, columns=_COLUMNS)
+            windows = (w for b in batches for w in b.itertuples(index=False, name=None))
+            # all of a task's windows are one run of requests: a failure ends it
+            rows = _rows(fetch, windows)
+            while held := list(islice(rows, 10_000)):
+                yield pd.DataFrame(held, columns=_COLUMNS)
+            for _ in windows:  # unasked
+                pass
 
         cols = windows.select("venue_id", "article", "venue_start", "venue_end", "window_start", "window_end", "call")
         dealt = cols.repartition(self.parallelism, "venue_id") if self.parallelism > 1 else cols.coalesce(1)
