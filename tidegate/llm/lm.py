@@ -37,7 +37,7 @@ ORDER = 5
 #: The end of a text, and what stands before its start; UTF-8 has no such byte.
 END = 0xFF
 #: Broadcast entries of the trie and of the words at most: about 26 and 12 bytes each.
-MAX_TRIE, MAX_WORDS = 3_000_000, 4_000_000
+MAX_TRIE, MAX_WORDS = 1_000_000, 1_000_000
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _STEP = 1 << 20
 _NONE = np.uint64(2**64 - 1)
@@ -283,10 +283,10 @@ def _context(gram: Column) -> Column:
 
 
 def _most(counts: DataFrame, most: int) -> int:
-    """The least power of two that at most ``most`` of counts.n reach; 1 if all may stay."""
-    doublings = 62
-    reach = counts.agg(*[F.count_if(F.col("n") >= (1 << k)).alias(str(k)) for k in range(doublings)]).first()
-    return 1 << next((k for k in range(doublings) if reach[k] <= most), doublings)
+    """The least count of a scale (1, 2, 3, 4, 6, 8, 12 and so on) that at most ``most`` of counts.n reach; 1 if all may stay."""
+    scale = sorted({x << k for k in range(61) for x in (2, 3)} | {1})
+    reach = counts.agg(*[F.count_if(F.col("n") >= n).alias(str(i)) for i, n in enumerate(scale)]).first()
+    return next((n for i, n in enumerate(scale) if reach[i] <= most), 2**63 - 1)
 
 
 @dataclass
