@@ -48,6 +48,18 @@ def ask(server, start=START, end=END, **how):
     return fetch_window(A, start, end, opener=server, sleep=lambda s: None, **how)
 
 
+def test_items_that_are_no_objects(spark):
+    """A string may hold the text of an object, and is none; numbers keep their spelling."""
+    from tidegate.sources.contract import parse_bodies
+
+    good = json.dumps(item(START)).replace('"views": 5', '"views": 120.0')
+    for odd, kind in (("null", "NoneType"), ("5", "int"), ('"x"', "str"), (json.dumps(good), "str"), ("[1]", "list"), ("true", "bool"), ("1.5", "float")):
+        df = spark.createDataFrame([(A, f'{{"items": [{good}, {odd}]}}'.encode())], "article string, body binary")
+        items, drift = parse_bodies(df)
+        assert [(r.pos, r.message) for r in drift.collect()] == [(1, f"{A}: an item is {kind}, not an object")]
+        assert '"views":120.0' in items.first().raw.replace(" ", "")
+
+
 def test_url():
     assert build_url("Sky_Tower_(Auckland)/é ~*", START, END).endswith("/en.wikipedia/all-access/user/Sky_Tower_%28Auckland%29%2F%C3%A9%20~%2A/daily/20260101/20260130")
     with pytest.raises(ValueError):

@@ -8,18 +8,26 @@ rule fires. customer is the venue list, most of whose venues have no rows.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import json
 import shutil
 import tempfile
+import uuid
+import zlib
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate import schema
 from tidegate.functions import scalars
 from tidegate.operators import frontier, gate, merge, planning, rules
-from tidegate.plans import reports
+from tidegate.plans import engine, reports
+from tidegate.plans.warehouse import Commit, Warehouse
+from tidegate.schema import Venue
 from tidegate.sources import contract, items
+from tidegate.sources.http import fetch_window
 
 FIRST = date(2024, 1, 1)
 _T, _E, _TRUST = date(2024, 1, 28), date(2024, 1, 26), date(2024, 1, 21)
@@ -299,7 +307,8 @@ def q_totals_scalar(spark, d):
 
 
 def q_recent_runs_topk(spark, d):
-    return _read(spark, d, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(10).select("o_orderkey", F.col("o_orderdate").cast("string").alias("o_orderdate"))
+    runs = _read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderdate").cast("date").cast("timestamp_ntz").alias("started_at"))
+    return reports.recent_runs(runs, 10).select("run_id", F.to_date("started_at").alias("day"))
 
 
 def q_stuck_venues(spark, d):
@@ -307,9 +316,11 @@ def q_stuck_venues(spark, d):
 
 
 def q_synthetic_weekend(spark, d):
-    n = _read(spark, d, "nation").select(F.col("n_name").alias("article"))
-    days = n.select("article", F.explode(F.sequence(F.lit(FIRST), F.lit(date(2024, 1, 14)))).alias("day"))
-    return days.select("article", "day", F.when(F.weekday("day") >= 5, F.lit(1.4).cast("double")).otherwise(F.lit(1.0).cast("double")).alias("weight"))
+    """The synthetic source's items, day by day."""
+    n = _read(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("venue_id"), F.col("n_name").alias("article"), F.col("n_nationkey").cast("long").alias("call"))
+    span = [F.lit(x).alias(c) for c, x in (("venue_start", FIRST), ("venue_end", date(2024, 1, 14)), ("window_start", FIRST), ("window_end", date(2024, 1, 14)))]
+    got = items.synthetic(n.select("venue_id", "article", *span, "call"), noise=False)
+    return got.select("article", F.get_json_object("raw", "$.timestamp").alias("stamp"), F.get_json_object("raw", "$.views").cast("long").alias("views"))
 
 
 def q_backoff_clamp(spark, d):
@@ -333,23 +344,138 @@ def q_title_nfc_match(spark, d):
     return docs.select("doc_id", scalars.same_title(apart, F.col("t")).alias("same"), scalars.same_title(F.concat(apart, F.lit("​")), F.col("t")).alias("odd"))
 
 
-def q_ingest_runs(spark, d):
-    """Two runs of the engine over the nations, into a warehouse of their own: its daily counts."""
-    from tidegate.plans.engine import run
-    from tidegate.plans.warehouse import Warehouse
-    from tidegate.schema import Venue
-
+def _warehouse(spark, name):
+    """A warehouse of its own in the folder that all executors share; a temporary one only on a local master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidegate-")
         atexit.register(shutil.rmtree, base, True)
-    import uuid
+    return Warehouse(spark, f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+
+
+def _nations(spark, d):
+    """The venue list: the nations."""
+    return [Venue(str(r.n_nationkey), r.n_name, str(r.n_regionkey), r.n_name) for r in _read(spark, d, "nation").orderBy("n_nationkey").collect()]
+
 
-    w = Warehouse(spark, f"{base}/ingest-{uuid.uuid4().hex}")
-    venues = [Venue(str(r.n_nationkey), r.n_name, str(r.n_regionkey), r.n_name) for r in _read(spark, d, "nation").orderBy("n_nationkey").collect()]
+def q_ingest_runs(spark, d):
+    """Two runs of the engine over the nations, into a warehouse of their own: its daily counts."""
+    w, venues = _warehouse(spark, "ingest"), _nations(spark, d)
     for day in (date(2026, 3, 1), date(2026, 3, 4)):
-        run(w, venues, today=day, source=lambda x: items.synthetic(x, noise=False))
-    return w.read("pageviews").select("venue_id", "article", "view_date", (F.col("views") > 0).alias("counted"))
+        engine.run(w, venues, today=day, source=lambda x: items.synthetic(x, noise=False))
+    return w.read("pageviews").select("venue_id", "article", "view_date", "views")
+
+
+class Narrow:
+    """A stub of the API that answers windows of few days only: how few depends on the article."""
+
+    def __call__(self, url):
+        *_, article, _, a, b = url.split("/")
+        a, b = (date(int(x[:4]), int(x[4:6]), int(x[6:])) for x in (a, b))
+        n = zlib.crc32(article.encode()) % 4
+        if (b - a).days + 1 > (0, 40, 7, 1)[n]:
+            return (404, {}, b"") if n % 2 else (200, {}, b'{"items": []}')
+        one = lambda x: {"project": schema.PROJECT, "article": article, "granularity": schema.GRANULARITY, "timestamp": f"{x:%Y%m%d}00", "access": schema.ACCESS, "agent": schema.AGENT, "views": x.day + n}
+        return 200, {}, json.dumps({"items": [one(a + timedelta(days=i)) for i in range((b - a).days + 1)]}).encode()
+
+
+def narrow_fetch(article, start, end):
+    return fetch_window(article, start, end, opener=Narrow(), sleep=lambda _: None)
+
+
+def _asked(spark, d):
+    """A window of 16 days for each part."""
+    p = _read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("venue_id"), F.concat(F.lit("Part_"), "p_partkey").alias("article"))
+    day = lambda x: F.lit(date(2026, 1, x))
+    return p.select("venue_id", "article", day(3).alias("venue_start"), day(18).alias("venue_end"), day(3).alias("window_start"), day(18).alias("window_end"), F.col("venue_id").cast("long").alias("call"))
+
+
+def q_fetch_windows(spark, d):
+    """Fetching in tasks, with wider windows and slices: a stub that refuses wide windows in place of the API."""
+    got = items.OnExecutors(narrow_fetch, parallelism=4)(_asked(spark, d))
+    v = lambda f, t: F.get_json_object("raw", f"$.{f}").cast(t).alias(f)
+    return got.select("venue_id", (F.col("seq") % items.CALL).alias("pos"), v("timestamp", "string"), v("views", "long"), "error")
+
+
+def q_fetch_source(spark, d):
+    """The nations' windows by the Python data source, over several partitions."""
+    windows = [[v.venue_id, v.wiki_article, "2026-01-03", "2026-01-18"] for v in _nations(spark, d)]
+    spark.dataSource.register(items.source_of(narrow_fetch, "tidegate_narrow"))
+    got = spark.read.format("tidegate_narrow").option("windows", json.dumps(windows)).option("parallelism", "3").load()
+    return got.select("venue_id", F.get_json_object("raw", "$.timestamp").alias("timestamp"), "error")
+
+
+def q_payload_drift(spark, d):
+    """Bodies that depart from the contract, one row for each departure: broken JSON, wrong shapes, missing fields, wrong kinds."""
+    s = shaped(spark, d).select("seq", "article", "stamp", "k")
+    at = lambda n: F.expr(f"seq % 17 = {n}")
+    text = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in p])
+    good = text('{"project":"en.wikipedia","article":"', F.col("article"), '","granularity":"daily","timestamp":"', F.col("stamp"), '","access":"all-access","agent":"user","views":', F.col("k").cast("string"), "}")
+
+    def body(good):
+        swap = lambda a, b: F.replace(good, F.lit(a), F.lit(b))
+        item = F.when(at(7), "5").when(at(8), "null").when(at(9), '"x"').when(at(10), swap('"user"', '"spider"')).when(at(11), swap('"daily"', '"hourly"')).when(at(12), swap('"all-access"', '"desktop"'))
+        item = item.when(at(13), F.regexp_replace(good, '"timestamp":"([0-9]*)"', '"timestamp":$1')).when(at(14), swap('"views"', '"hits"')).otherwise(good)
+        out = F.when(at(0), "{").when(at(1), "[]").when(at(2), '"x"').when(at(3), "{}").when(at(4), '{"items":null}').when(at(5), '{"items":{}}')
+        out = F.encode(out.otherwise(text('{"items":[', good, ",", item, "]}")), "UTF-8")
+        # a byte that UTF-8 has not
+        return F.when(at(6), F.concat(F.encode(F.lit('{"items":["'), "UTF-8"), F.unhex(F.lit("FF")), F.encode(F.lit('"]}'), "UTF-8"))).otherwise(out)
+
+    # bound once, as the contract looks at it many times
+    bodies = s.select("seq", "article", F.get(F.transform(F.array(good), body), F.lit(0)).alias("body"))
+    _, drift = contract.parse_bodies(bodies)
+    return drift.select("seq", "pos", "message")
+
+
+def q_judge_raw(spark, d):
+    """Raw items with faults of every rule, judged from their JSON text."""
+    s = shaped(spark, d)
+    views = F.when(F.col("kind") == "str", F.concat(F.lit('"'), F.col("cnt"), F.lit('"'))).otherwise(F.col("cnt"))
+    title = F.when(F.col("same"), F.col("article")).otherwise(F.concat(F.col("article"), F.lit("x")))
+    raw = F.concat(F.lit('{"article":"'), title, F.lit('","timestamp":"'), F.col("stamp"), F.lit('","views":'), views, F.lit("}"))
+    j = rules.judge(s.select("seq", "venue_id", "article", "window_start", "window_end", raw.alias("raw")), F.lit(_T))
+    return j.select("seq", "view_date", "views", "rule", "detail")
+
+
+def _poisoned(windows):
+    """Every count of the nations up to 14 is negative, each night on the same days."""
+    base = items.synthetic(windows, noise=False)
+    bad = F.regexp_replace("raw", r'"views":(\d+)', '"views":-$1')
+    return base.withColumn("raw", F.when(F.col("venue_id").cast("int") < 15, bad).otherwise(F.col("raw")))
+
+
+def q_abort_and_heal(spark, d):
+    """Most venues turn bad: the first night is refused but keeps its rejects, so that the second loads the others."""
+    w, venues = _warehouse(spark, "heal"), _nations(spark, d)
+    for _ in range(2):
+        with contextlib.suppress(schema.QualityGateFailed):
+            engine.run(w, venues, today=date(2026, 3, 1), backfill_days=10, source=_poisoned)
+    nights = w.read("run_log").select("status", "venues", "requests", "rows_fetched", "rows_loaded", "rows_quarantined", "reject_rate", F.lit("run").alias("what"))
+    none = lambda t: F.lit(None).cast(t)
+
+    def kept(t):
+        counts = w.read(t).agg(F.count(F.lit(1)).cast("int").alias("n"), F.countDistinct("venue_id").cast("int").alias("v"))
+        return counts.select(none("string"), "v", none("int"), none("int"), "n", none("int"), none("double"), F.lit(t))
+
+    return nights.union(kept("quarantine")).union(kept("pageviews"))
+
+
+def q_venue_counts(spark, d):
+    """count(DISTINCT column) by rule."""
+    return _bad(judged(spark, d)).groupBy("rule").agg(F.countDistinct("venue_id").alias("venues"), F.countDistinct("view_date").alias("days"))
+
+
+def q_migrated_quarantine(spark, d):
+    """Rejects of an older layout, without view_date, read with those of the present one."""
+    w = _warehouse(spark, "old")
+    bad = _bad(judged(spark, d)).select(F.lit("r").alias("run_id"), "venue_id", "article", "view_date", "rule", "detail", F.lit(None).cast("string").alias("raw"), F.lit(None).cast("timestamp_ntz").alias("seen_at"), "seq")
+    m = w.manifest()
+    bad.where("seq % 2 = 0").drop("view_date", "seq").write.parquet(f"{w.path}/quarantine/old")
+    w._publish({**m, "version": m["version"] + 1, "quarantine": ["quarantine/old"]})
+    w.commit(Commit(quarantine=bad.where("seq % 2 = 1").drop("seq")))
+    return w.read("quarantine").select("venue_id", "view_date", "rule", "detail")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -357,6 +483,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _W = "WITH "
+
+
+def _crc(s: str) -> str:
+    """The CRC-32 of a string, which DuckDB has no function for: eight steps a byte."""
+    byte = "lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    codes = rf"list_transform(string_split(rtrim(regexp_replace(hex(encode({s})), '(..)', '\1 ', 'g')), ' '), lambda h: ('0x' || h)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda s, b: list_reduce(list_concat([xor(s, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {byte})), 4294967295)"
+
+
+def _counted(article: str, first: str) -> str:
+    """The synthetic source's count on the i-th day."""
+    return f"floor((200 + {_crc(article)} % 800) * CASE WHEN isodow(DATE '{first}' + i::INT) >= 6 THEN 1.4::DOUBLE ELSE 1.0::DOUBLE END)::BIGINT"
+
+
 ORACLES = {
     "plan_windows": f"""{_W}{_SHAPED}, r AS (SELECT venue_id, min(d) AS s, max(d) AS e FROM base GROUP BY venue_id),
       w AS (SELECT venue_id, e, s, unnest(range(0, (e - s) // 7 + 1)) AS i FROM r)
@@ -403,13 +543,26 @@ ORACLES |= {
     "venue_profile": f"{_W}{_JUDGED} SELECT venue_id, count(*) AS days, round(avg(views)) AS mean_views, min(view_date) AS first_day, max(view_date) AS last_day FROM clean GROUP BY venue_id",
     "duplicate_pairs": f"{_W}{_SHAPED} SELECT count(*) AS duplicates FROM (SELECT venue_id, d FROM base GROUP BY 1, 2 HAVING count(*) > 1)",
     "totals_scalar": "SELECT (SELECT count(*) FROM events) AS total, (SELECT count(*) FROM (SELECT user_id, CAST(ts AS DATE) FROM events GROUP BY 1, 2 HAVING count(*) > 1)) AS duplicates",
-    "recent_runs_topk": "SELECT o_orderkey, o_orderdate::VARCHAR AS o_orderdate FROM orders ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 10",
+    "recent_runs_topk": "SELECT o_orderkey::VARCHAR AS run_id, CAST(o_orderdate AS DATE) AS day FROM orders ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey::VARCHAR LIMIT 10",
     "stuck_venues": f"{_W}{_JUDGED}, {_FAR} SELECT venue_id, new AS last_date FROM wm2 WHERE new IS NOT NULL ORDER BY new, venue_id",
-    "synthetic_weekend": "SELECT n_name AS article, CAST(DATE '2024-01-01' + i::INT AS DATE) AS day, CASE WHEN isodow(DATE '2024-01-01' + i::INT) >= 6 THEN 1.4::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM nation, range(14) r(i)",
+    "synthetic_weekend": f"SELECT n_name AS article, strftime(DATE '2024-01-01' + i::INT, '%Y%m%d') || '00' AS stamp, {_counted('n_name', '2024-01-01')} AS views FROM nation, range(14) r(i)",
     "backoff_clamp": "SELECT event_id, CASE WHEN event_id % 5 < 3 THEN least(pow(2.0::DOUBLE, (event_id % 9)::DOUBLE), 120.0::DOUBLE) ELSE greatest(least((event_id - 500)::DOUBLE, 120.0::DOUBLE), 0.0::DOUBLE) END AS seconds FROM events",
     "run_summary": f"""{_W}{_JUDGED}, {_HELD}, r AS (SELECT min(d) AS s, max(d) AS e FROM base GROUP BY venue_id)
       SELECT (SELECT sum((e - s) // 7 + 1)::BIGINT FROM r) AS requests, (SELECT count(*) FROM judged) AS rows_fetched, (SELECT count(*) FROM bad) AS rows_quarantined,
         (SELECT count(*) FROM clean JOIN held USING (venue_id) WHERE NOT held) AS rows_loaded, (SELECT count(*) FROM bad)::DOUBLE / (SELECT count(*) FROM judged)::DOUBLE AS reject_rate""",
     "title_nfc_match": "SELECT doc_id, nfc_normalize(replace(replace(t, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776))) = nfc_normalize(t) AS same, nfc_normalize(replace(replace(t, 'é', 'e' || chr(769)), 'ü', 'u' || chr(776)) || chr(8203)) = nfc_normalize(t) AS odd FROM (SELECT doc_id, text AS t FROM documents)",
-    "ingest_runs": "SELECT n_nationkey::VARCHAR AS venue_id, n_name AS article, CAST(DATE '2025-11-30' + i::INT AS DATE) AS view_date, true AS counted FROM nation, range(93) r(i)",
+    "ingest_runs": f"SELECT n_nationkey::VARCHAR AS venue_id, n_name AS article, CAST(DATE '2025-11-30' + i::INT AS DATE) AS view_date, {_counted('n_name', '2025-11-30')} AS views FROM nation, range(93) r(i)",
+    "fetch_windows": f"""WITH a AS (SELECT p_partkey, {_crc("'Part_' || p_partkey")} % 4 AS n FROM part)
+      SELECT p_partkey::VARCHAR AS venue_id, i::BIGINT AS pos, strftime(DATE '2026-01-03' + i::INT, '%Y%m%d') || '00' AS timestamp, (3 + i + n)::BIGINT AS views, NULL::VARCHAR AS error FROM a, range(16) r(i) WHERE n > 0""",
+    "fetch_source": f"""WITH a AS (SELECT n_nationkey, {_crc("replace(n_name, ' ', '%20')")} % 4 AS n FROM nation)
+      SELECT n_nationkey::VARCHAR AS venue_id, strftime(DATE '2026-01-03' + i::INT, '%Y%m%d') || '00' AS timestamp, NULL::VARCHAR AS error FROM a, range(16) r(i) WHERE n > 0""",
+    "payload_drift": f"""{_W}{_SHAPED} SELECT seq, (CASE WHEN seq % 17 < 7 THEN -1 ELSE 1 END)::INT AS pos, article || ': ' || CASE seq % 17 WHEN 0 THEN 'the body is no UTF-8 JSON' WHEN 6 THEN 'the body is no UTF-8 JSON' WHEN 1 THEN 'the body is list, not an object' WHEN 2 THEN 'the body is str, not an object'
+        WHEN 3 THEN 'the body has no ''items''' WHEN 4 THEN 'the body has no ''items''' WHEN 5 THEN '''items'' is dict, not a list' WHEN 7 THEN 'an item is int, not an object' WHEN 8 THEN 'an item is NoneType, not an object' WHEN 9 THEN 'an item is str, not an object'
+        WHEN 10 THEN 'agent is spider, not ''user'': this answers another question' WHEN 11 THEN 'granularity is hourly, not ''daily'': this answers another question' WHEN 12 THEN 'access is desktop, not ''all-access'': this answers another question'
+        WHEN 13 THEN 'timestamp is int, not a string' ELSE 'an item has no [''views'']' END AS message FROM shaped WHERE seq % 17 < 15""",
+    "judge_raw": f"{_W}{_JUDGED} SELECT seq, view_date, views, rule, CASE WHEN rule = 'article_matches_request' THEN 'got ''' || article || 'x'', asked for ''' || article || '''' ELSE detail END AS detail FROM judged",
+    "abort_and_heal": """SELECT 'failed' AS status, 25 AS venues, 25 AS requests, 250 AS rows_fetched, 0 AS rows_loaded, 150 AS rows_quarantined, 0.6::DOUBLE AS reject_rate, 'run' AS what UNION ALL SELECT 'ok', 25, 25, 250, 100, 150, 0.6::DOUBLE, 'run'
+      UNION ALL SELECT NULL, 15, NULL, NULL, 300, NULL, NULL, 'quarantine' UNION ALL SELECT NULL, 10, NULL, NULL, 100, NULL, NULL, 'pageviews'""",
+    "venue_counts": f"{_W}{_JUDGED} SELECT rule, count(DISTINCT venue_id) AS venues, count(DISTINCT view_date) AS days FROM bad GROUP BY rule",
+    "migrated_quarantine": f"{_W}{_JUDGED} SELECT venue_id, CASE WHEN seq % 2 = 1 THEN view_date END AS view_date, rule, detail FROM bad",
 }

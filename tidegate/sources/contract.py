@@ -38,9 +38,13 @@ def parse_bodies(responses: DataFrame, body: str = "body", article: str = "artic
         .when(~kind.startswith("ARRAY"), F.concat(F.lit("'items' is "), _kind(items), F.lit(", not a list")))
     )
     r = r.withColumn("wrong__", wrong)
-    raws = F.from_json(F.get_json_object("text__", "$.items"), "array<string>")
-    ok = r.where("wrong__ is null").select(*keep, F.posexplode(raws).alias("pos", "raw"))
-    judged = ok.withColumn("message", item_drift(F.col("raw")))
+    # an item's text is kept as it came; its kind is told apart from the text, as a string may hold an object's
+    listed = F.get_json_object("text__", "$.items")
+    kinds = F.transform(F.from_json(listed, "array<variant>"), lambda v: F.when(F.coalesce(F.schema_of_variant(v), F.lit("VOID")) == "VOID", "NoneType").otherwise(_kind(v)))
+    both = F.arrays_zip(F.from_json(listed, "array<string>").alias("raw"), kinds.alias("kind"))
+    ok = r.where("wrong__ is null").select(*keep, F.posexplode(both).alias("pos", "item__")).select(*keep, "pos", F.col("item__.raw").alias("raw"), F.col("item__.kind").alias("kind__"))
+    shape = F.when(F.col("kind__") != "dict", F.concat(F.lit("an item is "), F.col("kind__"), F.lit(", not an object")))
+    judged = ok.withColumn("message", F.coalesce(shape, item_drift(F.col("raw"))))
     told = lambda df, pos: df.select(*keep, pos.cast("int").alias("pos"), F.concat(F.col(article), F.lit(": "), F.col("message")).alias("message"))
     drift = told(r.where("wrong__ is not null").withColumn("message", F.col("wrong__")), F.lit(-1)).union(told(judged.where("message is not null"), F.col("pos")))
     return judged.where("message is null").select(*keep, "pos", "raw"), drift

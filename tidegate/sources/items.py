@@ -125,5 +125,18 @@ class WindowsDataSource(DataSource):
         return _Reader(windows, int(self.options.get("parallelism", "1")), self.fetch)
 
 
+def source_of(fetch_one: Fetch, format_name: str) -> type[DataSource]:
+    """A data source like WindowsDataSource that asks ``fetch_one``, under a name of its own."""
+
+    class Own(WindowsDataSource):
+        fetch = staticmethod(fetch_one)
+
+        @classmethod
+        def name(cls) -> str:
+            return format_name
+
+    return Own
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(WindowsDataSource)
