@@ -31,6 +31,10 @@ def test_sharding(spark):
             raw = (text[r.doc_id] or "").encode()
             assert (r.size, r.text_crc32) == (len(raw) + 8, zlib.crc32(raw))
     assert len({r.shard for r in got if r.doc_id == 5}) == 1
+    # rows without an id share a shard, but no salt
+    none = spark.createDataFrame([(None, f"t{i}") for i in range(300)], "doc_id long, text string")
+    lost = sharding.shard(none, t).collect()
+    assert len({r.shard for r in lost}) == 1 and sorted(r.slot for r in lost) == list(range(300))
     assert sharding.shard(df.where("1 = 0"), t).isEmpty()
     carried = sharding.shard(df, t, carry=True)
     assert carried.select("row.*").columns == df.columns
@@ -45,6 +49,10 @@ def test_weights_and_confined_moves(spark):
     assert share == pytest.approx([1 / 8, 1 / 8, 1 / 4, 1 / 2, 0], abs=0.015)
     # only within b did weights change: its rows stay in b, all others where they were
     assert all(r.x == r.y or (r.x == 3 and r.y == 4) for r in got)
+    # a heavier leaf makes its rack and region heavier: rows move into them from everywhere, and nowhere else
+    bigger = {"a": {"r1": {0: 1.0, 1: 1.0}, "r2": {2: 2.0}}, "b": {"r3": {3: 9.0, 4: 0.0}}}
+    moved = [(r.x, r.y) for r in ids.select(sharding.shard_of(F.col("k"), t).alias("x"), sharding.shard_of(F.col("k"), bigger).alias("y")).collect() if r.x != r.y]
+    assert {x for x, _ in moved} == {0, 1, 2} and {y for _, y in moved} == {3}
     with pytest.raises(ValueError):
         sharding.shard_of(F.col("k"), {"a": {"r": {0: 0.0}}})
 
@@ -165,6 +173,12 @@ def test_chat(spark, monkeypatch):
     assert chat.chat(df.where("1 = 0"), Scratch(spark, "t")).isEmpty()
 
 
+def test_chat_tells_no_id_from_its_name(spark):
+    rows = [(None, 0, "user", "one"), ("null", 0, "user", "two"), ("none", 0, "user", "three"), ("=none", 0, "user", "four")]
+    got = chat.chat(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"), Scratch(spark, "t")).collect()
+    assert {(r.conv_id, r.n_messages) for r in got} == {(None, 1), ("null", 1), ("none", 1), ("=none", 1)}
+
+
 def test_native_operators_run_no_python(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     c = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")

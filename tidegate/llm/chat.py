@@ -39,7 +39,8 @@ def collapse(turns: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     conversations the smallest conv_id stays, null last.
     """
     m = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
-    m = m.withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))).withColumn("at", F.coalesce("turn", F.lit(-(2**62)))).withColumn("part", F.expr(f"floor(at / {SEGMENT}L)"))
+    # a key that no id has stands for none
+    m = m.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("none"))).withColumn("at", F.coalesce("turn", F.lit(-(2**62)))).withColumn("part", F.expr(f"floor(at / {SEGMENT}L)"))
     m = scratch.keep(m)
     per_turn = m.groupBy("key", "conv_id", "part", "at").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("at", "role", "text")).alias("a"), F.bit_xor(F.xxhash64(F.lit("second"), "text", "role", "at")).alias("b"))
     per_turn = scratch.keep(per_turn)

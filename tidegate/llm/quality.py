@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tidegate.llm.common import Scratch, spread, table
+from tidegate.llm.common import Scratch, packed, spread, table
 from tidegate.llm.decontam import words
 
 #: Bounds of the samples that the classifiers are fitted on.
@@ -251,9 +252,11 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, max_labelled: in
     free = ids.join(of, "id", "left_anti").orderBy(F.xxhash64("id"), "id").limit(max_pool)
     pool = scratch.keep(free.select("id", F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("toxic")))
     want = lab.withColumn("pool", F.lit(False)).union(pool.withColumn("pool", F.lit(True)))
+    # of rows that repeat an id the same one in every run
+    one_each = Window.partitionBy("id").orderBy(F.xxhash64("text", "lang", "source", "n_chars"), "text")
     # at most max_labelled + max_pool rows of three numbers
     feats = scratch.keep(
-        src.join(F.broadcast(want.select("id", "low", "toxic")), "id").dropDuplicates(["id"]).select("id", "text", "lang", "source", "n_chars", "low", "toxic")
+        src.join(F.broadcast(want.select("id", "low", "toxic")), "id").withColumn("nth", F.row_number().over(one_each)).where("nth = 1").select("id", "text", "lang", "source", "n_chars", "low", "toxic")
         .mapInArrow(_features, "id long, low int, toxic int, shape array<int>, words array<long>, meta array<int>")
     )
     feats = scratch.keep(feats.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "id"), F.lit(5)) == 0))
@@ -321,13 +324,13 @@ def _scorer(shared):
     return run
 
 
-def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """row (a struct of ``carry``) with text_, meta_ (log-odds) and p_ (probability) of low and toxic; all rows of docs.
+def score(docs: DataFrame, model: Model, row: Column) -> DataFrame:
+    """``row`` with text_, meta_ (log-odds) and p_ (probability) of low and toxic; all rows of docs.
 
     Null and empty texts have no text features and are judged by the rest.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_WORDS weights a target
-    src = docs.select(F.struct(*carry).alias("row"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
+    src = docs.select(row.alias("row"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     kind = src.schema["row"].dataType.simpleString()
     return spread(src).mapInArrow(_scorer(shared), f"row {kind}, " + ", ".join(f"{v}_{t} double" for t in TARGETS for v in ("text", "meta", "p")))
 
@@ -336,14 +339,18 @@ KEPT = f"p_low < {MOST['low']} and p_toxic < {MOST['toxic']}"
 
 
 def accepted(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` without the rows judged low or toxic, all columns as they were."""
-    return score(docs, train(docs, labels, scratch), docs.columns).where(KEPT).select("row.*")
+    """``docs`` without the rows judged low or toxic, all columns as they were.
+
+    Rows that repeat an id are judged each by its own text. Without labels, and
+    where all have one value, no row is refused. An empty table gives an empty one.
+    """
+    return score(docs, train(docs, labels, scratch), packed(docs)).where(KEPT).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"))
-    out = score(docs, model, ["doc_id"])
+    out = score(docs, model, F.struct("doc_id"))
     return out.select("row.doc_id", (1 - F.col("p_low")).alias("quality"), F.col("p_toxic").alias("toxic"), "text_low", "meta_low", "text_toxic", "meta_toxic", F.expr(KEPT).alias("kept"))
 
 

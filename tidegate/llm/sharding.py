@@ -2,9 +2,11 @@
 
 A document descends region, rack and shard. At each level every child draws
 -ln(u)/weight, u a hash of the document's key and the child's name, and the
-smallest draw wins; a child's chance is its share of the weight. A level's draws
-don't depend on other levels, so a change of weight moves rows only between
-the changed child and its siblings, and inside no other subtree.
+smallest draw wins; a child's chance is its share of the weight, a node's weight
+the sum of its shards'. Draws of one child don't depend on others, so where
+weights change, a row moves only out of or into a subtree whose weight has
+changed, at the level where it has: between two subtrees that keep theirs, and
+within them, no row moves.
 
 A shard is added as a region of its own. Its draw competes at the top level
 only, so rows go into the new shard or stay: no row moves between old shards.
@@ -71,8 +73,8 @@ def shard(df: DataFrame, t: Tree, grown: Tree | None = None, id_col: str = "doc_
     """One row per row: doc_id, size, text_crc32, law, shard, slot, grown_shard; with ``carry`` also struct ``row``, the row itself.
 
     size: UTF-8 bytes of the text plus 8; a null text has 0 bytes and the CRC of
-    none. slot counts a shard's rows from 0 without gaps. A null id is a key
-    of its own, "null"; repeated rows fall into the same shard, in slots of
+    none. slot counts a shard's rows from 0 without gaps. Ids are integers. A
+    null id is a key of its own, "null"; repeated rows fall into the same shard, in slots of
     their own. Other columns aren't read unless carried; an empty table gives an
     empty one.
     """
@@ -81,7 +83,7 @@ def shard(df: DataFrame, t: Tree, grown: Tree | None = None, id_col: str = "doc_
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     new = shard_of(key, grown) if grown else F.lit(None).cast("int")
     rows = rows.withColumn("shard", F.coalesce(shard_of(key, t), F.lit(-1))).withColumn("grown_shard", new)
-    ranked = salted_rank(rows, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.coalesce(F.col("doc_id"), F.lit(0)), "slot")
+    ranked = salted_rank(rows, ["shard"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.coalesce(F.col("doc_id"), F.col("text_crc32")), "slot")
     return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", *(["row"] if carry else []))
 
 
@@ -117,6 +119,6 @@ c AS (
   FROM d, t
 ), s AS (SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, ({_sql(tree(24))})::INT AS shard, ({_sql(grow(tree(24)))})::INT AS grown_shard FROM c)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
-  row_number() OVER (PARTITION BY shard ORDER BY ((coalesce(doc_id, 0) % 256) + 256) % 256, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+  row_number() OVER (PARTITION BY shard ORDER BY ((coalesce(doc_id, text_crc32) % 256) + 256) % 256, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
 FROM s
 """
