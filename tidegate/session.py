@@ -11,7 +11,9 @@ def get_spark(app: str = "tidegate", **settings: str) -> SparkSession:
     b = SparkSession.builder.appName(app)
     for k, v in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship_code(spark)
+    return spark
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -20,7 +22,9 @@ def ship_code(spark: SparkSession) -> None:
     They do if its folder is on PYTHONPATH or the working folder, or if it came
     by --py-files. Done once a context.
     """
+    import atexit
     import os
+    import shutil
     import tempfile
     import zipfile
     from pathlib import Path
@@ -30,7 +34,10 @@ def ship_code(spark: SparkSession) -> None:
     known = {os.path.realpath(p) for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()] if p}
     if not root.is_dir() or str(root) in known or getattr(sc, "_tidegate_shipped", False):
         return
-    name = Path(tempfile.mkdtemp(prefix="tidegate-code-")) / "tidegate.zip"
+    # the driver's own, which serves it to executors until it ends
+    made = tempfile.mkdtemp(prefix="tidegate-code-")
+    atexit.register(shutil.rmtree, made, True)
+    name = Path(made) / "tidegate.zip"
     with zipfile.ZipFile(name, "w") as z:
         for p in sorted(root.glob("tidegate/**/*.py")):
             z.write(p, p.relative_to(root))

@@ -10,12 +10,13 @@ from tidegate import schema
 _NAMES = {"VOID": "NoneType", "STRING": "str", "BOOLEAN": "bool"}
 
 
-def _kind(v: Column) -> Column:
+def _kind(v: Column, text: Column) -> Column:
+    """The kind of a value; its spelling tells integers from other numbers."""
     k = F.schema_of_variant(v)
-    out = F.when(k.startswith("ARRAY"), "list").when(k.startswith("OBJECT"), "dict").when(F.regexp_like(k, F.lit("DOUBLE|FLOAT")), "float")
+    out = F.when(k.startswith("ARRAY"), "list").when(k.startswith("OBJECT"), "dict")
     for spark_name, name in _NAMES.items():
         out = out.when(k == spark_name, name)
-    return out.otherwise("int")
+    return out.when(F.regexp_like(text, F.lit(r"\A\s*-?[0-9]+\s*\z")), "int").otherwise("float")
 
 
 def parse_bodies(responses: DataFrame, body: str = "body", article: str = "article") -> tuple[DataFrame, DataFrame]:
@@ -33,17 +34,17 @@ def parse_bodies(responses: DataFrame, body: str = "body", article: str = "artic
     kind = F.schema_of_variant(items)
     wrong = (
         F.when(F.col("v__").isNull(), "the body is no UTF-8 JSON")
-        .when(~F.schema_of_variant("v__").startswith("OBJECT"), F.concat(F.lit("the body is "), _kind(F.col("v__")), F.lit(", not an object")))
+        .when(~F.schema_of_variant("v__").startswith("OBJECT"), F.concat(F.lit("the body is "), _kind(F.col("v__"), text), F.lit(", not an object")))
         .when(kind.isNull() | (kind == "VOID"), "the body has no 'items'")
-        .when(~kind.startswith("ARRAY"), F.concat(F.lit("'items' is "), _kind(items), F.lit(", not a list")))
+        .when(~kind.startswith("ARRAY"), F.concat(F.lit("'items' is "), _kind(items, F.get_json_object("text__", "$.items")), F.lit(", not a list")))
     )
     r = r.withColumn("wrong__", wrong)
     # an item's text is kept as it came; its kind is told apart from the text, as a string may hold an object's
     listed = F.get_json_object("text__", "$.items")
-    kinds = F.transform(F.from_json(listed, "array<variant>"), lambda v: F.when(F.coalesce(F.schema_of_variant(v), F.lit("VOID")) == "VOID", "NoneType").otherwise(_kind(v)))
-    both = F.arrays_zip(F.from_json(listed, "array<string>").alias("raw"), kinds.alias("kind"))
-    ok = r.where("wrong__ is null").select(*keep, F.posexplode(both).alias("pos", "item__")).select(*keep, "pos", F.col("item__.raw").alias("raw"), F.col("item__.kind").alias("kind__"))
-    shape = F.when(F.col("kind__") != "dict", F.concat(F.lit("an item is "), F.col("kind__"), F.lit(", not an object")))
+    both = F.arrays_zip(F.from_json(listed, "array<string>").alias("raw"), F.from_json(listed, "array<variant>").alias("v"))
+    ok = r.where("wrong__ is null").select(*keep, F.posexplode(both).alias("pos", "item__")).select(*keep, "pos", F.col("item__.raw").alias("raw"), F.col("item__.v").alias("v__"))
+    kind = F.when(F.col("raw").isNull(), "NoneType").otherwise(_kind(F.col("v__"), F.col("raw")))
+    shape = F.when(kind != "dict", F.concat(F.lit("an item is "), kind, F.lit(", not an object")))
     judged = ok.withColumn("message", F.coalesce(shape, item_drift(F.col("raw"))))
     told = lambda df, pos: df.select(*keep, pos.cast("int").alias("pos"), F.concat(F.col(article), F.lit(": "), F.col("message")).alias("message"))
     drift = told(r.where("wrong__ is not null").withColumn("message", F.col("wrong__")), F.lit(-1)).union(told(judged.where("message is not null"), F.col("pos")))
@@ -58,11 +59,11 @@ def item_drift(raw: Column) -> Column:
 def _item_drift(raw: Column) -> Column:
     keys = F.json_object_keys(raw)
     missing = F.array_join(F.array_except(F.lit(sorted(schema.FIELDS)), keys), "', '")
-    out = F.when(keys.isNull(), F.concat(F.lit("an item is "), F.coalesce(_kind(F.try_parse_json(raw)), F.lit("NoneType")), F.lit(", not an object")))
+    out = F.when(keys.isNull(), F.concat(F.lit("an item is "), F.coalesce(_kind(F.try_parse_json(raw), raw), F.lit("NoneType")), F.lit(", not an object")))
     out = out.when(missing != "", F.concat(F.lit("an item has no ['"), missing, F.lit("']")))
     for name, value in schema.DESCRIPTORS:
         # no value but this string is spelled so
         text = F.coalesce(F.get_json_object(raw, f"$.{name}"), F.lit("None"))
         out = out.when(text != value, F.concat(F.lit(f"{name} is "), text, F.lit(f", not '{value}': this answers another question")))
     stamp = F.try_variant_get(F.try_parse_json(raw), "$.timestamp", "variant")
-    return out.when(F.coalesce(F.schema_of_variant(stamp), F.lit("VOID")) != "STRING", F.concat(F.lit("timestamp is "), _kind(stamp), F.lit(", not a string")))
+    return out.when(F.coalesce(F.schema_of_variant(stamp), F.lit("VOID")) != "STRING", F.concat(F.lit("timestamp is "), _kind(stamp, F.get_json_object(raw, "$.timestamp")), F.lit(", not a string")))
