@@ -186,6 +186,36 @@ def test_native_operators_run_no_python(spark):
         assert not re.search("Python|Arrow|Pandas", q._jdf.queryExecution().toString())
 
 
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and repeated rows, a clashing column; and no rows at all."""
+    import corpus_pipeline as p
+
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", None, 0), (3, " \t\n", None, "b", 3), (4, "plain words of a text", "en", "a", -1), (4, "plain words of a text", "en", "a", -1), (4, "quite another text of it", "en", "a", 24), (None, "no id but some words", "en", "c", 20), (5, long, "en", "b", len(long)), (6, long + " x", "en", "b", None)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, shard int"
+    for name, these in (("some", rows), ("none", [])):
+        d = tmp_path / name
+        spark.createDataFrame([(*r, "r", 7) for r in these], schema).write.parquet(str(d / "documents.parquet"))
+        spark.createDataFrame([(4, 1, 0), (None, 0, 1)] if these else [], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
+        spark.createDataFrame([(1, None), (2, ""), (3, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11")] if these else [], "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
+        docs, scratch, seen = spark.read.parquet(str(d / "documents.parquet")), Scratch(spark, "t"), {}
+        for stage, f in p.STAGES:
+            docs = scratch.keep(f(spark, docs, str(d)))
+            seen[stage] = docs.collect()
+            if stage != "sharding":
+                assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+        if not these:
+            assert not any(seen.values())
+            continue
+        assert len(seen["quality"]) == len(rows)
+        texts = sorted(str((r.doc_id, (r.text or "")[:20], r.text is None)) for r in seen["near_duplicates"])
+        assert len(texts) == 8 and sum("plain" in t or "quite" in t for t in texts) == 2 and not any(t.startswith("(6,") for t in texts)
+        big = next(r for r in seen["decontamination"] if r.doc_id == 5)
+        assert big.text.startswith("w0 w12 ") and big.n_chars == len(big.text) and len(seen["decontamination"]) == 8
+        assert all((r.text or "").strip() for r in seen["mixing"]) and {r.row for r in seen["mixing"]} == {"r"}
+        assert len(seen["sharding"]) == len(seen["mixing"])
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as p
 

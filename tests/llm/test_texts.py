@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegate.llm import decontam, html, lm, pii, quality
 from tidegate.llm.common import Scratch
@@ -75,6 +76,18 @@ def test_cuts_do_not_depend_on_automata(spark, max_words):
     assert sorted(map(tuple, got)) == [(2, f"{x} {x}"), (3, x), (4, None), (5, "")]
 
 
+def test_decontamination_of_long_and_absent_texts(spark):
+    long = " ".join(f"w{i}" for i in range(400_000))
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(350_000, 350_040))), (2, "a" * 1_000_000)], "item_id long, text string")
+    d = spark.createDataFrame([(1, long), (2, "a" * 1_000_000), (3, None)], DOCS)
+    got = {r.doc_id: r for r in decontam.report(decontam.find_hits(d, items, Scratch(spark, "t"), ["doc_id"])).collect()}
+    assert [(got[i].n_words, got[i].n_hit, got[i].n_items) for i in (1, 2, 3)] == [(400_000, 40, 1), (1, 1, 1), (0, 0, 0)]
+    clean = {r.doc_id: r.text for r in decontam.decontaminate(d, items, Scratch(spark, "t")).collect()}
+    assert clean == {1: long.replace(" ".join(f"w{i}" for i in range(350_000, 350_040)) + " ", ""), 3: None}
+    none = d.where("1 = 0")
+    assert decontam.find_hits(none, items, Scratch(spark, "t"), ["doc_id"]).isEmpty() and decontam.decontaminate(none, items, Scratch(spark, "t")).isEmpty()
+
+
 def test_automaton_tracks_longest_matches():
     a = decontam.Automaton([("1", list("abcdef")), ("2", list("xabcy")), ("3", list("abc"))], window=4)
     spans, found = a.matches(list("zzabcdq"))
@@ -296,6 +309,16 @@ def test_quality(spark):
     assert len(ids & truth & unseen) >= 0.95 * len(truth & unseen)
 
 
+def test_quality_of_long_and_repeated_texts(spark):
+    rows, labels = corpus(200)
+    long = " ".join(f"g{i % 200}" for i in range(300_000))
+    more = [(900, long, "en", "s0", len(long)), (901, "vile " * 100_000, "en", "s0", 500_000), (1, "vile nasty foul " * 9, "en", "s0", 144)]
+    d = [spark.createDataFrame(r, SCHEMA).coalesce(1) for r in (rows + more, (rows + more)[::-1])]
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    a, b = ({(r.row.doc_id, r.text_toxic, r.p_toxic, r.p_low) for r in quality.score(x, quality.train(x, lab, Scratch(spark, "t")), F.struct("doc_id")).collect()} for x in d)
+    assert len(a) >= 200 and a == b  # whichever of a repeated id comes first
+
+
 def odd_ids(odd):
     return {r[0] for r in odd} - {3}
 
