@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
+import uuid
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -29,7 +31,10 @@ def demo(spark: SparkSession, venues: str, folder: str) -> tuple[list[RunSummary
 
 def main() -> None:
     spark = get_spark()
-    with tempfile.TemporaryDirectory() as folder:
+    given = sys.argv[2] if len(sys.argv) > 2 else spark.conf.get("spark.checkpoint.dir", None)
+    if given is None and not spark.sparkContext.master.startswith("local"):
+        raise SystemExit("name a folder that all executors share")
+    with contextlib.nullcontext(f"{given}/demo-{uuid.uuid4().hex}") if given else tempfile.TemporaryDirectory() as folder:
         summaries, total, twice = demo(spark, sys.argv[1], folder)
         for (label, _), s in zip(RUNS, summaries, strict=True):
             print(f"{label:18} {s.status:7} requests={s.requests} fetched={s.rows_fetched} loaded={s.rows_loaded} quarantined={s.rows_quarantined}")
