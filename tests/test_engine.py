@@ -6,6 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidegate import schema
 from tidegate.plans import warehouse as wh
 from tidegate.plans.engine import run
 from tidegate.plans.warehouse import Warehouse
@@ -370,6 +371,38 @@ def test_a_second_writer_is_refused(spark, w):
     assert {"r0", "r1"} <= {r["run_id"] for r in rows(w, "run_log")}
 
 
+def test_stamps_are_utc_in_any_zone(spark, w):
+    from datetime import datetime, timezone
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        night(w, TWO, lambda a, s, e: [item(a, s, -1), *daily(a, s + timedelta(days=1), e)], backfill_days=30)
+        stamps = [r["loaded_at"] for r in rows(w, "pageviews")] + [r["seen_at"] for r in rows(w, "quarantine")] + [r["updated_at"] for r in rows(w, "watermark")] + [r["started_at"] for r in rows(w, "run_log")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    assert len(stamps) > 30 and all(timedelta(0) <= now - s < timedelta(minutes=30) for s in stamps)
+
+
+def test_errors_are_logged_by_their_own_name(spark, w):
+    def broken(windows):
+        return windows.selectExpr("*", "call as seq", "raise_error('no such luck') as raw", "cast(null as string) error_type", "cast(null as string) error")
+
+    def crashes(batches):
+        for _ in batches:
+            raise ZeroDivisionError("by hand")
+        yield from ()
+
+    with pytest.raises(Exception):
+        run(w, TWO, today=TODAY, source=broken)
+    with pytest.raises(Exception):
+        run(w, TWO, today=TODAY, source=lambda x: x.mapInPandas(crashes, schema.ITEMS))
+    notes = [r["note"] for r in sorted(rows(w, "run_log"), key=lambda r: r["started_at"])]
+    assert "no such luck" in notes[0] and not notes[0].startswith(("Py4JJavaError", "SparkException:"))
+    assert notes[1].endswith("ZeroDivisionError: by hand")
+
+
 def test_runs_leave_no_staging(spark, w):
     import os
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import UTC, date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate import schema
@@ -20,6 +21,7 @@ from tidegate.sources.dimension import venues_frame
 from tidegate.sources.items import OnExecutors
 
 log = logging.getLogger(__name__)
+_ERROR_LINE = re.compile(r"[A-Za-z_][\w.]*(?:Error|Exception|Interrupt|Exit|Warning)\b")
 _KNOWN = {c.__name__: c for c in (ApiError, SchemaDriftError, QualityGateFailed, ValueError, TypeError, RuntimeError, OSError, KeyError)}
 
 
@@ -75,7 +77,7 @@ def _logged(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, so
         _attempt(warehouse, venues, p, days, source, r)
     except Exception as e:
         r.summary.status, r.summary.rows_loaded = "failed", 0
-        r.summary.note = "; ".join([*r.stalled, *r.silent, f"{type(e).__name__}: {e}"])
+        r.summary.note = "; ".join([*r.stalled, *r.silent, _told(e)])
         refused = isinstance(e, QualityGateFailed) and r.bad is not None
         try:
             warehouse.commit(Commit(quarantine=_fresh(warehouse, r) if refused else None, run_log=[r.log_row()]))
@@ -92,8 +94,26 @@ def _logged(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, so
     return r.summary
 
 
+def _told(e: BaseException) -> str:
+    """An error's own name and text, without what Spark has wrapped it in."""
+    name, text = type(e).__name__, str(e)
+    if origin := getattr(e, "java_exception", None) or getattr(e, "_origin", None):
+        while origin.getCause() is not None:
+            origin = origin.getCause()
+        name, text = origin.getClass().getSimpleName(), origin.getMessage() or ""
+    if name == "PythonException":  # a worker's traceback, whose last line is the error
+        errors = [x for x in text.splitlines() if _ERROR_LINE.match(x)]
+        return errors[-1] if errors else text
+    return f"{name}: {text}"
+
+
+def _now() -> Column:
+    """UTC wall time, whatever the zones of session and driver."""
+    return F.lit(utc_now().isoformat(" ")).cast("timestamp_ntz")
+
+
 def _as_rejects(bad: DataFrame, run_id: str) -> DataFrame:
-    return bad.select(F.lit(run_id).alias("run_id"), "venue_id", "article", "view_date", "rule", "detail", "raw", F.lit(utc_now()).cast("timestamp_ntz").alias("seen_at"))
+    return bad.select(F.lit(run_id).alias("run_id"), "venue_id", "article", "view_date", "rule", "detail", "raw", _now().alias("seen_at"))
 
 
 def _fresh(warehouse: Warehouse, r: _Run) -> DataFrame:
@@ -155,7 +175,7 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     free = [v for v in venue_rows if not v.held]
     gate.enforce_gate(sum(v.seen for v in free), sum(v.fresh for v in free), p.max_reject_rate)
 
-    now = F.lit(utc_now()).cast("timestamp_ntz")
+    now = _now()
     rows = gate.drop_held(clean, fresh).select("venue_id", "article", "view_date", "views", F.lit(s.run_id).alias("run_id"), now.alias("loaded_at"))
     marks = per.where("not held and new is not null").select("venue_id", F.col("new").alias("last_date"), now.alias("updated_at"))
     s.note, s.status = "; ".join([*r.stalled, *r.silent]), "ok"
