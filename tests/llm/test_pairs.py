@@ -1,5 +1,6 @@
 """Embedding and MinHash near-duplicates, and components, against brute force."""
 
+import itertools
 import math
 import random
 from collections import defaultdict
@@ -117,6 +118,34 @@ def test_first_band_is_by_the_buckets_keys():
     assert (i.tolist(), j.tolist()) == ([0], [1])
 
 
+def test_buckets_of_one_centre_are_dealt_together(spark):
+    """Near copies share many buckets: each is dealt once, all that share a bucket meet, and in one group take the pair."""
+    g = np.random.default_rng(5)
+    n, bands = 900, 16
+    inside = g.random((n, bands)) < 0.8
+    inside[0] = True  # the centre of all buckets
+    comp = np.where(np.arange(n) < 500, 0, np.arange(n))
+    rows = [(b, 1000 + b, x, 100, int(comp[x])) for b in range(bands) for x in range(n) if inside[x, b]]
+    rows += [(b, 2000 + b, 10_000 + 300 * b + x, 100, 10_000 + 300 * b + x) for b in range(2) for x in range(300)]  # one centre, nothing else in common
+    rows += [(1, 2001, 10_000, 100, 10_000)]
+    at = spark.createDataFrame(rows, "band int, key long, node long, n long, comp long")
+    centre = spark.createDataFrame([(1000 + b, 0, 0) for b in range(bands)] + [(2000, 10_000, 10_000), (2001, 10_000, 10_000)], "key long, a long, ac long")
+    got = minhash._meetings(at, centre, Scratch(spark, "t")).toPandas()
+    hot = got[got.node < n]
+    assert len(hot) <= n * 8  # before: each bucket on its own, 16 * 720 * 6
+    assert set(got[got.node >= 10_000].band) == {0, 1}  # together they'd make more rows
+    met = set()
+    for _, x in hot.groupby(["band", "key", "p", "q"]):
+        left, right = ((x.node[x.side == s]).tolist() for s in (0, 1))
+        for i, j in itertools.combinations(left, 2) if x.p.iloc[0] == x.q.iloc[0] else itertools.product(left, right):
+            if comp[i] != comp[j]:
+                assert (min(i, j), max(i, j)) not in met
+                met.add((min(i, j), max(i, j)))
+    assert met >= {(i, j) for i in range(n) for j in range(max(i + 1, 500), n) if (inside[i] & inside[j]).any()}
+    mask = hot.groupby("node")["mask"].first()
+    assert all(mask[x] == sum(1 << b for b in range(bands) if inside[x, b]) for x in mask.index)
+
+
 def test_minhash_of_long_texts(spark):
     long = " ".join(f"w{i}" for i in range(300_000))
     df = spark.createDataFrame([(1, long), (2, long + " more"), (3, "a" * 2_000_000), (4, "other words of a short text here")], "doc_id long, text string")

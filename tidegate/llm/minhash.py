@@ -6,8 +6,10 @@ bucket, the member found in the largest buckets, is compared with the other
 members; buckets whose members have come to one component need no more. The
 rest is compared in blocks of bounded size, across components only, first by
 signature, then by full sets; a block returns one link a member, not its
-pairs. A pair that shares several bands is taken in the first, by the buckets'
-own keys, so that bands and signatures alone decide what is missed.
+pairs. Near copies share most of their buckets, so buckets with one centre are
+dealt to blocks together, each member once. A pair that shares several bands is
+taken in the first, by the buckets' own keys, so that bands and signatures alone
+decide what is missed.
 
 Rows are what is linked, by the class of their shingle set; ids only name them.
 """
@@ -29,7 +31,7 @@ SHINGLE = 5
 #: 32 bands of 5 minima: a pair at similarity 0.80 shares none with probability
 #: 3e-6, at 0.85 with 7e-9; SIGMAS refuses fewer than 1e-6 of those that do.
 BANDS, ROWS = 32, 5
-#: Members of a bucket compared at once; two blocks meet in one group.
+#: Members of a group compared at once; two blocks meet in one task's rows.
 BLOCK = 128
 #: Signatures may fall short of the threshold by so many standard errors
 #: before a pair is refused without comparing its full sets.
@@ -141,23 +143,27 @@ def _like_signatures(least: float):
 def _near_pairs(g: pa.Table, least: float, percent: int, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of a group's pairs, across its two blocks and components, that the signatures bear out.
 
-    A pair is taken in the first band that it shares.
+    A pair is taken in the first band that it shares: if that is ``band``, or, below
+    0, where the group has that band's bucket.
     """
     sig = np.frombuffer(b"".join(g["sig"].to_pylist()), np.uint16).reshape(g.num_rows, -1)
     keys = g["bands"].combine_chunks().flatten().to_numpy().reshape(g.num_rows, -1)
     n, comp, side = (g[c].to_numpy() for c in ("n", "comp", "side"))
+    mask = g["mask"].to_numpy() if band < 0 else None
     within = g["p"][0] == g["q"][0]
     found: list[tuple[np.ndarray, np.ndarray]] = []
     left = np.flatnonzero(side == 0)
     right = left if within else np.flatnonzero(side == 1)
-    for at, i in enumerate(left):
-        js = right[at + 1 :] if within else right
+    for k, i in enumerate(left):
+        js = right[k + 1 :] if within else right
         js = js[(comp[js] != comp[i]) & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
         if not len(js):
             continue
         js = js[(sig[js] == sig[i]).mean(axis=1) >= least]
         if len(js):
-            js = js[(keys[js] == keys[i]).argmax(axis=1) == band]
+            same = keys[js] == keys[i]
+            first = same.argmax(axis=1)
+            js = js[first == band] if mask is None else js[same.any(axis=1) & ((mask[i] >> (first % 64)) & 1 == 1)]
             found.append((np.full(len(js), i), js))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -182,7 +188,39 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
-_MET = ["band", "key", "p", "q", "side", "node", "n", "comp", "sig", "bands"]
+_MET = ["band", "key", "p", "q", "side", "node", "n", "comp", "mask", "sig", "bands"]
+
+
+def _meetings(at: DataFrame, centre: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of buckets with more than one component, dealt to blocks (p, q) of groups (band, key): two members of one bucket and two components meet.
+
+    ``at``: band, key, node, n, comp. ``centre``: key, a (its centre), ac (that one's
+    component). A group is all of one centre's buckets (band -1, key the centre), each
+    member once, or one bucket where that makes fewer rows. mask has a bit for each
+    band whose bucket is in the group (of 64; a band beyond shares a bit). Members of
+    the centre's component don't meet each other.
+    """
+    mixed = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
+    mixed = scratch.keep(mixed.select("key", "size").join(centre, "key"))
+    parts = scratch.keep(at.join(mixed, "key").select("band", "key", "node", "n", "comp", F.expr("shiftleft(1L, band)").alias("mask"), "a", "ac"))
+    # a member has one n and one component, whatever its bucket
+    whole = scratch.keep(parts.groupBy("a", "node").agg(*[F.max(c).alias(c) for c in ("n", "comp", "ac")], F.bit_or("mask").alias("mask")))
+    cost = lambda n: F.col(n) * F.ceil(F.col(n) / BLOCK)
+    apart = mixed.groupBy("a").agg(F.sum(cost("size")).alias("apart"))
+    apart = scratch.keep(whole.groupBy("a").agg(F.count(F.lit(1)).alias("size")).join(apart, "a").where(cost("size") > F.col("apart")).select("a"))
+    cols = ["band", "key", "node", "n", "comp", "mask", "ac"]
+    of = whole.join(apart, "a", "left_anti").withColumn("band", F.lit(-1)).withColumn("key", F.col("a")).select(cols)
+    of = scratch.keep(of.union(parts.join(apart, "a", "left_semi").select(cols)))
+    near = F.count(F.when(F.col("comp") == F.col("ac"), 1))
+    blocks = of.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), near.alias("near"))
+    blocks = blocks.withColumn("near", F.when(F.col("size") <= BLOCK, 0).otherwise(F.col("near")))  # one block for all
+    # kept before it is joined back, as of too: a hot group can be split
+    blocks = scratch.keep(blocks.select("band", "key", F.ceil(F.col("near") / BLOCK).cast("int").alias("x"), F.ceil((F.col("size") - F.col("near")) / BLOCK).cast("int").alias("y")))
+    # blocks 0 to x - 1 are of the centre's component, y more of the others
+    met = of.join(blocks, ["band", "key"]).withColumn("inner", (F.col("comp") == F.col("ac")) & (F.col("x") > 0))
+    own = F.when(F.col("inner"), F.pmod(F.xxhash64("node"), F.greatest("x", F.lit(1)))).otherwise(F.col("x") + F.pmod(F.xxhash64("node"), F.col("y")))
+    met = met.withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.when(F.col("inner"), F.col("x")).otherwise(0), F.col("x") + F.col("y") - 1)))
+    return met.select("band", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "comp", "mask")
 
 
 def _block_likely(least: float, percent: int):
@@ -304,20 +342,19 @@ def _rows(
     # what isn't one component yet, in blocks
     at = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     at = scratch.keep(at.select("band", "key", "node", "n", "comp"))
-    mixed = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    mixed = scratch.keep(mixed)
-    at2 = at.join(mixed.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key")
-    at2 = at2.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = at2.select("band", "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "n", "comp")
+    own = centre.select("key", "a").join(comps.select(F.col("node").alias("a"), "comp"), "a", "left").select("key", "a", F.coalesce("comp", "a").alias("ac"))
+    inner = Scratch(scratch.spark, "meetings")
+    met = _meetings(at, own, inner)
     met = met.join(sig, "node").select(*_MET).repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
-    kind = "band int, key long, p int, q int, side int, node long, n long, comp long, sig binary, bands array<long>"
+    kind = "band int, key long, p int, q int, side int, node long, n long, comp long, mask long, sig binary, bands array<long>"
     maybe = scratch.keep(met.mapInArrow(_block_likely(least, percent), kind))
+    inner.clear()
     ends = scratch.keep(texts_of(maybe.select("node")))
     full = maybe.join(ends, "node").select(*_MET, "text").repartition("band", "key", "p", "q").sortWithinPartitions("band", "key", "p", "q", "side", "node")
     edges.append(scratch.keep(full.mapInArrow(_block_links(least, percent, shingle), "a long, b long")))
     first = comps
     comps = connected_components(edges[0].union(edges[1]), scratch)
-    scratch.drop(first, sizes, shared, centre, mixed, buckets, held, at, maybe, ends, *edges)
+    scratch.drop(first, sizes, shared, centre, buckets, held, at, maybe, ends, *edges)
 
     # the first row of a component, which may hold most classes: salted
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("s")
