@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -476,3 +477,19 @@ def test_long_and_hostile_texts(spark):
 def test_pii_runs_no_python(spark):
     plan = pii.pseudonymise(spark.createDataFrame(MIXED, DOCS), Scratch(spark, "t"), "key")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_features_hold_few_rows_at_once():
+    """A batch may have thousands of rows, each with hundreds of hashes; as Python's numbers they'd fill a worker."""
+    n = 2000
+    text = [" ".join(f"word{i * 7 + j}" for j in range(100)) for i in range(n)]
+    cols = {"id": range(n), "text": text, "lang": ["en"] * n, "source": ["s"] * n, "n_chars": [len(x) for x in text], "low": [None] * n, "toxic": [1] * n}
+    kinds = {"low": pa.int32(), "toxic": pa.int32()}
+    batch = pa.RecordBatch.from_arrays([pa.array(list(v), kinds.get(k)) for k, v in cols.items()], names=list(cols))
+    whole = list(quality._features(iter([batch])))
+    assert [i for x in whole for i in x.column("id").to_pylist()] == list(range(n))
+    assert max(x.num_rows for x in whole) <= quality.SLICE
+    apart = next(quality._features(iter([batch.slice(700, 1)])))
+    at, off = divmod(700, quality.SLICE)
+    assert whole[at].slice(off, 1).drop_columns(["words"]).equals(apart.drop_columns(["words"]))
+    assert sorted(whole[at].column("words")[off].as_py()) == sorted(apart.column("words")[0].as_py())

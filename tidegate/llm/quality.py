@@ -43,6 +43,8 @@ ROUNDS = 3
 SURE, PSEUDO_WEIGHT = 0.95, 0.3
 TARGETS = ("low", "toxic")
 BINS = 12
+#: Rows whose features are held as Python's numbers at once, and words whose features a scorer remembers: bounds on memory, not on results.
+SLICE, MEMO = 64, 50_000
 _SHAPE = 9
 #: Metadata hash to so many features (sources are many).
 META = 4096
@@ -85,7 +87,7 @@ def word_hashes(toks: list[bytes]) -> list[int]:
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text, lang, source, n_chars, low, toxic) to features."""
-    for batch in batches:
+    for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
         rows = batch.to_pylist()
         toks = [words(r["text"]) for r in rows]
         yield pa.RecordBatch.from_arrays(
@@ -304,7 +306,7 @@ def _scorer(shared):
                 for w in set(toks):
                     k = memo.get(w)
                     if k is None:
-                        if len(memo) > 200_000:
+                        if len(memo) > MEMO:
                             memo.clear()
                         k = memo[w] = tuple(base + i for i in map(model.vocab.get, forms(w)) if i is not None)
                     if k:
