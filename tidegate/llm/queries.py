@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegate.llm import chat, decontam, embedding, html, lm, minhash, mixing, pii, quality, sharding
+from tidegate.llm import chat, decontam, embedding, html, lm, merkle, minhash, mixing, pii, quality, rules, search, sharding
 
 QUERIES = {
     "op1_embedding": embedding.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_chat": chat.query,
     "op10_minhash": minhash.query,
+    "op11_rules": rules.query,
+    "op12_merkle": merkle.query,
+    "op13_search": search.query,
 }
 
 ORACLES = {
@@ -24,4 +27,7 @@ ORACLES = {
     "op7_html": html.ORACLE,
     "op9_chat": chat.ORACLE,
     "op10_minhash": minhash.ORACLE,
+    "op11_rules": rules.ORACLE,
+    "op12_merkle": merkle.ORACLE,
+    "op13_search": search.ORACLE,
 }
