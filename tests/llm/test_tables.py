@@ -1,6 +1,9 @@
 """Operators on tables: sharding, mixing, chat, and the pipeline."""
 
+import collections
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -240,3 +243,23 @@ def test_pipeline(spark, tmp_path):
     one = next(r for r in seen["decontamination"] if r.doc_id == 1)
     assert one.text.endswith(" tail") and one.n_chars == len(one.text)
     assert len(seen["sharding"]) == len(seen["mixing"]) == p.run(spark, str(tmp_path)).count()
+
+
+def test_white_space_of_any_length_is_counted_in_linear_time(spark):
+    blank = {"spaces": " " * 5_000_000, "tabs": "\t" * 5_000_000, "mixed": " \t\n\x0b\x0c\r" * 800_000}
+    texts = [f(x) for x in blank.values() for f in (lambda x: x, lambda x: "a" + x + "b", lambda x: x + "a", lambda x: "a" + x)]
+    began = time.perf_counter()
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", mixing.size_of(F.col("t")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in got] == [0, 2, 1, 1] * 3
+    assert time.perf_counter() - began < 60
+
+
+def test_rows_that_tie_in_id_mix_alike_in_any_order(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 5]), " ".join(rng.choices("abcdefgh", k=rng.choice([3, 7]))), rng.choice(["s", "t", None]), {"k": i % 3}) for i in range(440)]
+    rows.append((None, "a" + " " * 300_000 + "b", "s", None))
+    kept = []
+    for order in (rows, rows[::-1], sorted(rows, key=lambda r: r[1])):
+        df = spark.createDataFrame(order, "doc_id long, text string, source string, more map<string,int>").repartition(3)
+        kept.append(collections.Counter((r.doc_id, r.text, r.source, str(r.more)) for r in mixing.mixed_rows(df, Scratch(spark, "t")).collect()))
+    assert kept[0] == kept[1] == kept[2]

@@ -23,6 +23,7 @@ documents are too few for that.
 from __future__ import annotations
 
 import math
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,7 +40,13 @@ TOLERANCE = 1e-9
 
 def size_of(text: Column) -> Column:
     """Words divided by ASCII white space; null has none."""
-    return F.coalesce(F.size(F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+")) - F.when(F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]")), 0).otherwise(1), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
+
+
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two hashes of a whole row: rows that share both are taken as equal. Columns that can't be hashed count as JSON."""
+    plain = [F.col(f"`{c}`") if not re.search("map<|variant", t) else F.to_json(F.struct(F.col(f"`{c}`"))) for c, t in df.dtypes]
+    return [F.xxhash64(F.lit(seed), *plain).alias(name) for seed, name in ((1, "hash1"), (2, "hash2"))]
 
 
 def source_key(source: Column) -> Column:
@@ -144,11 +151,12 @@ def mix(df: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE,
     """Rows as struct ``row``, with size, source_size, target, rate and copies (0 to ``cap``).
 
     Null and empty texts have size 0 and no copies. A null source is a source of
-    its own, last in order. Repeated rows are rounded each on its own. An empty
+    its own, last in order. Repeated rows are rounded each on its own; rows that share an id
+    or have none are told apart by all their columns, so that reruns agree in any order of rows. An empty
     table gives an empty one. Other columns are carried along untouched,
     whatever their names. ``cap`` must be a whole number.
     """
-    rows = sized if sized is not None else df.select(packed(df).alias("row"), F.col(f"`{id_col}`").alias("id"), source_key(F.col(f"`{source_col}`")).alias("key"), size_of(F.col(f"`{text_col}`")).alias("size"))
+    rows = sized if sized is not None else df.select(packed(df).alias("row"), F.col(f"`{id_col}`").alias("id"), source_key(F.col(f"`{source_col}`")).alias("key"), size_of(F.col(f"`{text_col}`")).alias("size"), *row_hashes(df))
     cells = scratch.keep(rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")))
     totals = cells.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("total"), F.coalesce(F.sum(F.when(F.col("size") > 0, F.col("n"))), F.lit(0)).alias("docs"))
     of_source = solve_rates(cells, targets(totals, scratch, weights, share, cap), scratch, cap)
@@ -156,7 +164,8 @@ def mix(df: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = SHARE,
     m = cells.join(of_source.select("key", "mean", "lam"), "key").select("key", "size", "n", rate_of(F.col("size"), cap).alias("rate"), F.lit(int(cap)).alias("most"))
     m = m.groupBy("key").applyInPandas(_round_source, "key string, size long, n long, rate double, m long")
     m = scratch.keep(m.join(of_source.select("key", F.col("total").alias("source_size"), "target"), "key"))
-    ranked = salted_rank(rows, ["key", "size"], [F.xxhash64("id"), F.col("id")], F.xxhash64("id", F.lit("salt")), "rank", 64, m)
+    # by id first, then by all of the row: whatever the order of rows, the same texts get the copies
+    ranked = salted_rank(rows, ["key", "size"], [F.xxhash64("id"), F.col("id"), F.col("hash1"), F.col("hash2")], F.xxhash64("id", F.lit("salt"), "hash1"), "rank", 64, m)
     copies = (F.expr("m div n") + F.when(F.col("rank") < F.expr("m % n"), 1).otherwise(0)).cast("int")
     return ranked.select("row", "size", "source_size", "target", "rate", copies.alias("copies"))
 
@@ -170,7 +179,7 @@ def mixed_rows(df: DataFrame, scratch: Scratch, **how) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "mixing")
     docs = table(spark, sf_dir, "documents")
-    sized = scratch.keep(docs.select(F.struct("doc_id").alias("row"), F.col("doc_id").alias("id"), source_key(F.col("source")).alias("key"), size_of(F.col("text")).alias("size")))
+    sized = scratch.keep(docs.select(F.struct("doc_id").alias("row"), F.col("doc_id").alias("id"), source_key(F.col("source")).alias("key"), size_of(F.col("text")).alias("size"), *row_hashes(docs)))
     out = mix(docs, scratch, sized=sized)
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate")
 
