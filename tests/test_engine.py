@@ -265,18 +265,6 @@ def test_manifest_is_plain_json(w):
     assert json.loads(json.dumps(w.manifest()))["version"] == 0
 
 
-def test_stream_judges_what_has_landed(spark, tmp_path):
-    from tidegate.streaming.trigger import item_stream, judge_stream
-
-    (tmp_path / "in").mkdir()
-    raw = json.dumps(item("A", date(2026, 1, 5), -2))
-    (tmp_path / "in/a.json").write_text(json.dumps({"venue_id": "v", "article": "A", "window_start": "2026-01-01", "window_end": "2026-01-30", "seq": 0, "raw": raw}))
-    got = []
-    q = judge_stream(item_stream(spark, str(tmp_path / "in")), str(tmp_path / "cp"), lambda df, n: got.extend(df.select("rule", F.col("view_date")).collect()), TODAY)
-    q.awaitTermination(60)
-    assert [tuple(r) for r in got] == [("views_non_negative", date(2026, 1, 5))]
-
-
 def test_commit_is_all_or_nothing(spark, w, monkeypatch):
     night(w, TWO, backfill_days=5)
     before = {t: sorted(map(str, rows(w, t))) for t in ("pageviews", "quarantine", "watermark", "run_log")}

@@ -23,12 +23,13 @@ def _escaped(c: Column) -> Column:
     return F.array_join(F.transform(chars, one), "")
 
 
-def judge(items: DataFrame, today: Column, by_day: str = "window_start") -> DataFrame:
+def judge(items: DataFrame, today: Column, by_day: str | None = "window_start") -> DataFrame:
     """items with view_date, views, rule, detail; rule is null for clean rows.
 
     Needs venue_id, article, window_start, window_end, seq and raw. A day's
     first row in order of seq stays, among rows clean by all other rules and of
-    the same venue and window; later ones break one_row_per_date. view_date is
+    the same venue and window; later ones break one_row_per_date, which with
+    by_day None isn't looked at. view_date is
     the row's day whatever rule it breaks, null if it has none.
     """
     raw = F.col("raw")
@@ -46,7 +47,7 @@ def judge(items: DataFrame, today: Column, by_day: str = "window_start") -> Data
     return first_broken_rule(j, F.col("same__"), F.col("stamp__"), F.col("kind__"), F.col("count__"), today, got=F.col("got__"), by_day=by_day).drop("got__", "stamp__", "count__", "kind__", "is_title__", "same__")
 
 
-def first_broken_rule(j: DataFrame, same: Column, stamp: Column, kind: Column, count: Column, today: Column, got: Column | None = None, by_day: str = "window_start") -> DataFrame:
+def first_broken_rule(j: DataFrame, same: Column, stamp: Column, kind: Column, count: Column, today: Column, got: Column | None = None, by_day: str | None = "window_start") -> DataFrame:
     """The rules over columns already taken apart; j has view_date. Adds views, rule, detail.
 
     kind is the count's JSON kind, count its spelling.
@@ -78,7 +79,12 @@ def first_broken_rule(j: DataFrame, same: Column, stamp: Column, kind: Column, c
         .when(rule == schema.RULES[6], F.concat(F.lit("got "), count, F.lit(f", above the {schema.VIEWS_MAX} that the column holds")))
     )
     j = j.withColumn("rule", rule).withColumn("detail", detail).withColumn("views", F.when(rule.isNull(), number))
-    return one_row_per_date(j, by_day)
+    return one_row_per_date(j, by_day) if by_day else j
+
+
+def seen_before(day: object, views: int) -> str:
+    """The detail of a row whose day stands already, as one_row_per_date words it."""
+    return f"{day} already seen with {views} views"
 
 
 def one_row_per_date(j: DataFrame, by_day: str = "window_start") -> DataFrame:

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from tidegate import schema
 from tidegate.operators import frontier, gate, planning, rules
 from tidegate.params import Days, Params
+from tidegate.plans import reports
 from tidegate.plans.warehouse import Commit, Warehouse, utc_now
 from tidegate.schema import ApiError, QualityGateFailed, RunSummary, SchemaDriftError, Venue
 from tidegate.sources.dimension import venues_frame
-from tidegate.sources.items import OnExecutors
+from tidegate.sources.items import CALL, OnExecutors
 
 log = logging.getLogger(__name__)
 _ERROR_LINE = re.compile(r"[A-Za-z_][\w.]*(?:Error|Exception|Interrupt|Exit|Warning)\b")
@@ -37,10 +38,12 @@ class _Run:
 
     summary: RunSummary
     started: datetime
-    stalled: list[str]
-    silent: list[str]
+    notes: list[str]
     bad: DataFrame | None = None
 
+    def note(self, *more: str) -> str:
+        return "; ".join(x for x in (*self.notes, *more) if x)
+
     def log_row(self) -> tuple:
         s = asdict(self.summary)
         return (s["run_id"], self.started, utc_now(), s["status"], s["venues"], s["requests"], s["rows_fetched"], s["rows_loaded"], s["rows_quarantined"], float(s["reject_rate"]), s["note"])
@@ -65,7 +68,7 @@ def run(
     """
     p = Params(chunk_days, backfill_days, max_reject_rate, max_lookback_days, trust_lag_days)
     days = Days.of(today or datetime.now(UTC).date(), p)
-    r = _Run(RunSummary(uuid.uuid4().hex[:12], "running", len(venues)), utc_now(), [], [])
+    r = _Run(RunSummary(uuid.uuid4().hex[:12], "running", len(venues)), utc_now(), [])
     try:
         return _logged(warehouse, venues, p, days, source or OnExecutors(), r)
     finally:
@@ -77,7 +80,7 @@ def _logged(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, so
         _attempt(warehouse, venues, p, days, source, r)
     except Exception as e:
         r.summary.status, r.summary.rows_loaded = "failed", 0
-        r.summary.note = "; ".join([*r.stalled, *r.silent, _told(e)])
+        r.summary.note = r.note(_told(e))
         refused = isinstance(e, QualityGateFailed) and r.bad is not None
         try:
             warehouse.commit(Commit(quarantine=_fresh(warehouse, r) if refused else None, run_log=[r.log_row()]))
@@ -125,27 +128,25 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     m = warehouse.manifest()
     stored = warehouse.read("pageviews", m)
     # one row per stored venue: what plans, alerts and the frontier need of the counts
-    history = warehouse.stage(stored.groupBy("venue_id").agg(F.max("view_date").alias("last_stored"), F.max(F.when(F.col("view_date") <= F.lit(days.end), F.col("view_date"))).alias("last_due")), s.run_id, "history")
+    due = F.max(F.when(F.col("view_date") <= F.lit(days.end), F.col("view_date")))
+    history, before = warehouse.stage_counted(stored.groupBy("venue_id").agg(F.max("view_date").alias("last_stored"), due.alias("last_due")), s.run_id, "history", last_due=F.max("last_due"))
     end = F.lit(days.end)
     plan = planning.plan_starts(venues_frame(spark, venues), warehouse.read("watermark", m), history, end, F.lit(days.floor), p.backfill_days)
     plan = warehouse.stage(plan.withColumn("end", end), s.run_id, "plan")
-    r.stalled += [f"{v}: gave up on {n} days" for v, n in plan.where("gave_up > 0").orderBy("ord").select("venue_id", "gave_up").collect()]
+    r.notes.append(reports.stalled_note(plan).first().stalled)
 
     asked = planning.plan_windows(plan, p.chunk_days)
     windows = asked.select("venue_id", F.col("wiki_article").alias("article"), F.col("start").alias("venue_start"), F.col("end").alias("venue_end"), "window_start", "window_end", "ord", "window_no")
     # requests in order, venue by venue; a venue has no more windows than days to look back
     windows = windows.withColumn("call", F.col("ord").cast("long") * p.max_lookback_days + F.col("window_no")).drop("ord", "window_no")
-    windows = warehouse.stage(windows, s.run_id, "windows")
-    items = warehouse.stage(source(windows), s.run_id, "items")
-    failed = items.where("error_type is not null").orderBy("seq").select("seq", "error_type", "error").first()
-    s.requests = windows.count()
+    windows, planned = warehouse.stage_counted(windows, s.run_id, "windows", requests=F.count(F.lit(1)))
+    items, fetched = warehouse.stage_counted(source(windows), s.run_id, "items", **reports.fetch_counters())
+    s.requests, failed = planned["requests"], fetched["failed"]
     if failed is not None:
-        from tidegate.sources.items import CALL
-
         s.requests = windows.where(F.col("call") <= failed.seq // CALL).count()
         s.rows_fetched = items.where(F.col("error_type").isNull() & (F.col("seq") < failed.seq)).count()
         raise _failure(failed.error_type, failed.error)
-    judged = warehouse.stage(rules.judge(items, F.lit(days.today)), s.run_id, "judged")
+    judged, got = warehouse.stage_counted(rules.judge(items, F.lit(days.today)), s.run_id, "judged", **reports.judged_counters(end))
     clean, bad = judged.where("rule is null"), judged.where("rule is not null")
     r.bad = bad
 
@@ -153,38 +154,31 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     seen = plan.where("start <= end").join(stats, "venue_id", "left").join(history, "venue_id", "left").fillna(0, ["n_clean", "n_bad"]).fillna(False, ["unknown_bad"])
     novel = gate.novel_rejects(bad, warehouse.read("quarantine", m))
     fresh = gate.held_venues(seen.withColumn("seen", F.col("n_clean") + F.col("n_bad")), novel, p.max_reject_rate)
-    fresh = warehouse.stage(fresh, s.run_id, "venues")
-    observed = frontier.publication_frontier(history.select(F.col("last_due").alias("view_date")), clean, end).first().observed
-    trusted = F.lit(None).cast("date") if observed is None else F.lit(min(days.trust_line, observed))
+    evidence = [d for d in (before["last_due"], got["last_clean"]) if d is not None]
+    trusted = F.lit(min(days.trust_line, max(evidence)) if evidence else None).cast("date")
     far = frontier.venue_frontier(F.col("start"), end, trusted, F.col("last_clean"), F.col("first_bad"), F.col("unknown_bad"))
-    new = frontier.advance(far, F.col("current"))
-    per = fresh.withColumn("new", new)
-    per = per.withColumn("alert", frontier.alert(F.col("venue_id"), F.col("wiki_article"), F.col("last_stored").isNotNull(), F.col("n_clean"), F.col("n_bad"), F.greatest("last_stored", "last_clean"), end, F.coalesce("new", "current"), p.trust_lag_days))
-    # one row per venue, as the caller's list has
-    venue_rows = per.orderBy("ord").select("venue_id", "n_clean", "n_bad", "seen", "fresh", "held", "new", "alert").collect()
-
-    r.silent += [v.alert for v in venue_rows if v.alert]
-    s.rows_fetched = sum(v.seen for v in venue_rows)
-    s.rows_quarantined = sum(v.n_bad for v in venue_rows)
+    per = fresh.withColumn("new", frontier.advance(far, F.col("current")))
+    last = F.greatest("last_stored", "last_clean")
+    per = per.withColumn("alert", frontier.alert(F.col("venue_id"), F.col("wiki_article"), F.col("last_stored").isNotNull(), F.col("n_clean"), F.col("n_bad"), last, end, F.coalesce("new", "current"), p.trust_lag_days))
+    per = warehouse.stage(per, s.run_id, "venues")
+    # one row, however many venues
+    v = reports.run_report(per).first()
+
+    r.notes += [v.silent, v.known, v.held_note]
+    s.rows_fetched, s.rows_quarantined = got["rows_fetched"], got["rows_quarantined"]
     s.reject_rate = s.rows_quarantined / s.rows_fetched if s.rows_fetched else 0.0
-    n_novel = sum(v.fresh for v in venue_rows)
-    if n_novel != s.rows_quarantined:
-        r.silent.append(f"{s.rows_quarantined - n_novel} of {s.rows_quarantined} rejected rows were already quarantined; gate saw {n_novel}")
-    r.silent += [f"{v.venue_id}: {v.fresh}/{v.seen} newly rejected, above the ceiling, held" for v in venue_rows if v.held]
-    gate.enforce_majority(sum(v.seen > 0 for v in venue_rows), sum(v.held for v in venue_rows), p.max_reject_rate)
-    free = [v for v in venue_rows if not v.held]
-    gate.enforce_gate(sum(v.seen for v in free), sum(v.fresh for v in free), p.max_reject_rate)
+    gate.enforce_majority(v.answering, v.n_held, p.max_reject_rate)
+    gate.enforce_gate(v.gate_seen, v.gate_fresh, p.max_reject_rate)
 
     now = _now()
-    rows = gate.drop_held(clean, fresh).select("venue_id", "article", "view_date", "views", F.lit(s.run_id).alias("run_id"), now.alias("loaded_at"))
+    rows = gate.drop_held(clean, per).select("venue_id", "article", "view_date", "views", F.lit(s.run_id).alias("run_id"), now.alias("loaded_at"))
     marks = per.where("not held and new is not null").select("venue_id", F.col("new").alias("last_date"), now.alias("updated_at"))
-    s.note, s.status = "; ".join([*r.stalled, *r.silent]), "ok"
-    s.rows_loaded = sum(v.n_clean for v in free)
+    s.note, s.status, s.rows_loaded = r.note(), "ok", v.rows_loaded
     warehouse.commit(
         Commit(
             pageviews=rows if s.rows_loaded else None,
             quarantine=_as_rejects(bad, s.run_id) if s.rows_quarantined else None,
-            watermark=marks if any(v.new and not v.held for v in venue_rows) else None,
+            watermark=marks if v.marks else None,
             run_log=[r.log_row()],
         ),
         base=m,

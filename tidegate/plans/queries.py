@@ -302,8 +302,7 @@ def q_duplicate_pairs(spark, d):
 
 
 def q_totals_scalar(spark, d):
-    _read(spark, d, "events").createOrReplaceTempView("tidegate_events")
-    return spark.sql("SELECT (SELECT count(*) FROM tidegate_events) AS total, (SELECT count(*) FROM (SELECT user_id, to_date(ts) FROM tidegate_events GROUP BY 1, 2 HAVING count(*) > 1)) AS duplicates")
+    return reports.totals(_read(spark, d, "events").select("user_id", F.to_date("ts").alias("d")), "user_id", "d")
 
 
 def q_recent_runs_topk(spark, d):
@@ -337,6 +336,29 @@ def q_run_summary(spark, d):
     return requests.crossJoin(t).crossJoin(loaded).withColumn("reject_rate", scalars.reject_rate(F.col("rows_quarantined"), F.col("rows_fetched")))
 
 
+def _per_venue(spark, d):
+    """What a run's venues come to, the customers being the list: counts, hold, new mark and alert."""
+    j = judged(spark, d)
+    held = _held(j).select("venue_id", "seen", "fresh", "held")
+    marks = _watermarks(spark, d).select("venue_id", "n_clean", "n_bad", "new")
+    v = _venues(spark, d).select("venue_id", F.col("venue_id").cast("int").alias("ord")).join(held, "venue_id", "left").join(marks, "venue_id", "left").join(q_venue_alerts(spark, d), "venue_id", "left")
+    return v.withColumnRenamed("note", "alert").fillna(0, ["seen", "fresh", "n_clean", "n_bad"]).fillna(False, ["held"])
+
+
+def q_run_note(spark, d):
+    """All notes of a run: venues that gave up days, alerts, known rejects, held venues."""
+    plan = planning.plan_starts(_venues(spark, d), _marks(spark, d), _stored(spark, d), F.lit(_E), F.lit(date(2024, 1, 5)), 30).withColumn("ord", F.col("venue_id").cast("int"))
+    return reports.run_note(reports.stalled_note(plan), reports.run_report(_per_venue(spark, d)))
+
+
+def q_run_counters(spark, d):
+    """A run's counters, as observed by the tasks that write its judged rows."""
+    w = _warehouse(spark, "counters")
+    _, got = w.stage_counted(judged(spark, d), "run", "judged", **reports.judged_counters(F.lit(_E)))
+    w.unstage("run")
+    return spark.createDataFrame([(got["rows_fetched"], got["rows_quarantined"], got["last_clean"])], "rows_fetched long, rows_quarantined long, last_clean date")
+
+
 def q_title_nfc_match(spark, d):
     docs = _read(spark, d, "documents").select("doc_id", F.col("text").alias("t"))
     # the same text with its accents as marks of their own
@@ -464,7 +486,7 @@ def q_abort_and_heal(spark, d):
 
 def q_venue_counts(spark, d):
     """count(DISTINCT column) by rule."""
-    return _bad(judged(spark, d)).groupBy("rule").agg(F.countDistinct("venue_id").alias("venues"), F.countDistinct("view_date").alias("days"))
+    return reports.reject_breadth(_bad(judged(spark, d)))
 
 
 def q_migrated_quarantine(spark, d):
@@ -566,3 +588,9 @@ ORACLES |= {
     "venue_counts": f"{_W}{_JUDGED} SELECT rule, count(DISTINCT venue_id) AS venues, count(DISTINCT view_date) AS days FROM bad GROUP BY rule",
     "migrated_quarantine": f"{_W}{_JUDGED} SELECT venue_id, CASE WHEN seq % 2 = 1 THEN view_date END AS view_date, rule, detail FROM bad",
 }
+ORACLES["run_counters"] = f"{_W}{_JUDGED} SELECT count(*) AS rows_fetched, count(*) FILTER (rule IS NOT NULL) AS rows_quarantined, max(view_date) FILTER (rule IS NULL AND view_date <= DATE '2024-01-26') AS last_clean FROM judged"
+ORACLES["run_note"] = f"""WITH s AS ({_W}{_SHAPED}, {_MARKS}, {_STORED}, {_STARTS} SELECT venue_id, DATE '2024-01-05' - start AS days FROM starts WHERE start < DATE '2024-01-05'),
+  a AS ({ORACLES["venue_alerts"]}), h AS ({ORACLES["held_venues"]}), c AS ({_W}{_JUDGED}, {_NOVEL} SELECT (SELECT count(*) FROM bad) AS m, (SELECT count(*) FROM novel) AS k)
+  SELECT concat_ws('; ', (SELECT string_agg(venue_id || ': gave up on ' || days || ' days', '; ' ORDER BY venue_id::INT) FROM s), (SELECT string_agg(note, '; ' ORDER BY venue_id::INT) FROM a),
+    (SELECT CASE WHEN m <> k THEN (m - k) || ' of ' || m || ' rejected rows were already quarantined; gate saw ' || k END FROM c),
+    (SELECT string_agg(venue_id || ': ' || fresh || '/' || seen || ' newly rejected, above the ceiling, held', '; ' ORDER BY venue_id::INT) FROM h WHERE held)) AS note"""

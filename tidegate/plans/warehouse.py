@@ -14,7 +14,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schema
@@ -36,12 +36,18 @@ def utc_now():
 
 @dataclass
 class Commit:
-    """What a commit changes; a table left None stays."""
+    """What a commit changes; a table left None stays.
+
+    batch: a stream's id and the number of the micro-batch whose rows these are.
+    The manifest keeps each stream's last number, so a batch that has been
+    committed changes nothing when it comes again.
+    """
 
     pageviews: DataFrame | None = None
     quarantine: DataFrame | None = None
     watermark: DataFrame | None = None
     run_log: list[tuple] = field(default_factory=list)
+    batch: tuple[str, int] | None = None
 
 
 class Warehouse:
@@ -115,8 +121,12 @@ class Warehouse:
 
     # writing
 
+    def committed(self, batch: tuple[str, int], manifest: dict | None = None) -> bool:
+        """Whether a stream's batch, or a later one, has been committed."""
+        return (manifest or self.manifest()).get("streams", {}).get(batch[0], -1) >= batch[1]
+
     def commit(self, change: Commit, base: dict | None = None, most: int = 5) -> None:
-        """All of a change, or on any error none of it.
+        """All of a change, or on any error none of it. A stream's batch that stands already is left out.
 
         base: the manifest that the change was worked out from; it must still be
         the latest, else ConcurrentCommit. Without one the change holds whatever
@@ -126,6 +136,8 @@ class Warehouse:
             now = base or self.manifest()
             if base and self.manifest()["version"] != base["version"]:
                 raise ConcurrentCommit(f"{self.path} has changed since version {base['version']}")
+            if change.batch and self.committed(change.batch, now):
+                return None
             try:
                 return self._publish(self._changed(now, change))
             except ConcurrentCommit:
@@ -151,6 +163,8 @@ class Warehouse:
                 new["run_log"] = [self._write(upsert(self.read("run_log", now), rows, ["run_id"]).coalesce(1), "run_log")]
             else:
                 new["run_log"].append(self._write(rows.coalesce(1), "run_log"))
+        if change.batch:
+            new["streams"] = {**new.get("streams", {}), change.batch[0]: change.batch[1]}
         new["version"] += 1
         return new
 
@@ -202,6 +216,14 @@ class Warehouse:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def stage_counted(self, df: DataFrame, run: str, step: str, **counts: Column) -> tuple[DataFrame, dict]:
+        """stage(), and aggregates of its rows by name, observed by the tasks that write them: no job of their own.
+
+        They are taken in the writing stage, where a task that is run again counts once.
+        """
+        seen = Observation()
+        return self.stage(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), run, step), seen.get
+
     def unstage(self, run: str) -> None:
         if self._exists(f"{STAGING}/{run}"):
             self._fs().delete(self._jvm_path(f"{STAGING}/{run}"), True)
