@@ -85,7 +85,10 @@ def test_state_outlives_the_stream(spark, tmp_path):
     for views in (6, 7):
         judge_stream(item_stream(spark, path), str(tmp_path / "cp"), sink, TODAY).awaitTermination(60)
         (tmp_path / f"in/{views}.json").write_text(json.dumps(row(views, "v", FIRST, views)))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
     judge_stream(item_stream(spark, path), str(tmp_path / "cp"), sink, TODAY).awaitTermination(60)
+    assert spark.conf.get(key, None) == before
     assert [tuple(r) for r in got] == [(None, None)] + [("one_row_per_date", f"{FIRST} already seen with 5 views")] * 2
 
 

@@ -67,18 +67,29 @@ def judged_stream(items: DataFrame, today: date) -> DataFrame:
     A window that is asked for again, with the same first day, is the same
     window as long as the stream's checkpoint lives: state is some bytes a day
     and ends with it. (With a timeout on the clock, availableNow would never end.)
+    Its query must start under STATE_STORE, as those of ``started`` do.
     """
     j = judge(items, F.lit(today), by_day=None)
-    items.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return j.groupBy("venue_id", "window_start").transformWithState(FirstOfDay(), j.schema, "append", "none")
 
 
+def started(judged: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Starts what ends when all that has arrived is dealt with: trigger availableNow. The session keeps its settings; a query has its own."""
+    conf, key = judged.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
+    before = conf.get(key, None)
+    conf.set(key, STATE_STORE)
+    try:
+        return judged.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def judge_stream(items: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], today: date) -> StreamingQuery:
-    """Judges what has arrived, batch by batch, and ends: trigger availableNow. sink gets the judged rows and the batch's number.
+    """Judges what has arrived, batch by batch, and ends. sink gets the judged rows and the batch's number.
 
     sink must use the rows once: a second use would change the state again.
     """
-    return judged_stream(items, today).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return started(judged_stream(items, today), sink, checkpoint)
 
 
 def load_stream(items: DataFrame, warehouse: Warehouse, checkpoint: str, today: date, max_reject_rate: float = schema.MAX_REJECT_RATE) -> StreamingQuery:
@@ -98,7 +109,7 @@ def load_stream(items: DataFrame, warehouse: Warehouse, checkpoint: str, today:
             found.append(json.loads(warehouse.spark.read.text(f"{checkpoint}/metadata").first()[0])["id"])
         load_batch(warehouse, df, (found[0], n), max_reject_rate)
 
-    return judged_stream(items, today).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return started(judged_stream(items, today), batch, checkpoint)
 
 
 def load_batch(warehouse: Warehouse, judged: DataFrame, batch: tuple[str, int], max_reject_rate: float) -> None:
