@@ -403,3 +403,16 @@ def test_runs_leave_no_staging(spark, w):
     night(w, TWO, backfill_days=40, today=TODAY + timedelta(days=3))
     kept = rows(w, "pageviews")
     assert w.vacuum() >= 0 and rows(w, "pageviews") == kept and len(os.listdir(f"{w.path}/_manifests")) <= 2
+
+
+def test_counters_and_notes_cost_no_jobs_of_their_own(spark, w):
+    """A run's jobs don't grow with venues or windows; counting in jobs of their own and collecting venues took 38."""
+    sc = spark.sparkContext
+    for n, venues in enumerate((TWO, EIGHT)):
+        sc.setJobGroup(f"run-{n}", "")
+        try:
+            s = run(w, venues, today=TODAY + timedelta(days=n), source=synthetic)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert s.rows_fetched == s.rows_loaded > 0
+        assert len(sc.statusTracker().getJobIdsForGroup(f"run-{n}")) <= 33
