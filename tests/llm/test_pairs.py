@@ -185,6 +185,22 @@ def test_embedding(spark):
     assert embedding_links(df.where("1 = 0"), Scratch(spark, "t")).isEmpty()
 
 
+def test_components_of_any_size(spark):
+    """Huge and tiny doubles link by their true cosine, worked out in decimals."""
+    from decimal import Decimal as D
+
+    vs = [[1e-200, 0.0], [0.5, 0.866], [1e200, 1e200], [1e200, 1.0001e200], [5e-324, 5e-324], [1e308, 1.7e308], [1e-308, 1.7e-308], [3e-200, 1e-210], [-1e200, -1e200], [1e200, 1e-200], [2e-310, 3e-310]]
+
+    def cosine(a, b):
+        a, b = [*map(D, a)], [*map(D, b)]
+        norm = lambda v: sum((x * x for x in v), D(0)).sqrt()
+        return sum((x * y for x, y in zip(a, b, strict=True)), D(0)) / (norm(a) * norm(b))
+
+    got = {r.vec_id: r for r in embedding_links(spark.createDataFrame([(i, v, 1) for i, v in enumerate(vs)], "vec_id long, embedding array<double>, label int"), Scratch(spark, "t")).collect()}
+    for i, v in enumerate(vs):
+        assert got[i].n_links == sum(cosine(v, w) >= D("0.93") for j, w in enumerate(vs) if j != i), i
+
+
 def test_dense_blocks_are_the_same_links(monkeypatch):
     monkeypatch.setattr(embedding, "DENSE", 1000)
     rng = np.random.default_rng(3)

@@ -44,8 +44,18 @@ def tables_for(bits: int, least: float, miss: float = MISS) -> int:
     return max(1, math.ceil(math.log(miss) / math.log1p(-min(agree**bits, 1 - 1e-12))))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by the power of two that brings their largest component to [0.5, 1).
+
+    No bit of a component is lost by it, unless it is too small beside the largest
+    to count; squares neither overflow nor vanish.
+    """
+    power = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -power[:, None])
+
+
 def _signer(bits: int, tables: int, seed: int):
-    """Adds each vector's bytes, as doubles, and its code in every table."""
+    """Adds each vector's bytes, as scaled doubles, and its code in every table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
@@ -57,6 +67,7 @@ def _signer(bits: int, tables: int, seed: int):
                     planes.clear()
                     planes[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, bits * tables))
                 x = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(part.num_rows, dim)
+                x = _scaled(x)
                 codes = np.empty((len(x), tables), np.int32)
                 for at in range(0, len(x), 1024):
                     signs = (x[at : at + 1024] @ planes[dim] > 0).reshape(-1, tables, bits)
@@ -235,7 +246,8 @@ def embedding_links(vectors: DataFrame, scratch: Scratch, least: float = 0.93, b
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
     Vectors link if their labels are equal, their lengths too, and their cosine,
-    in doubles, is ``least`` or more. Labels of any type are compared as they
+    in doubles, is ``least`` or more, however large or small their components are.
+    Labels of any type are compared as they
     are. Null vectors, zero vectors, vectors with null or non-finite components,
     and null labels link with nothing. Exact copies are hashed once and count as
     often as they stand. Rows that repeat an id with the same vector are copies
