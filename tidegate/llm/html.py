@@ -3,8 +3,11 @@
 The standard library's streaming parser deals a page into lines, one per block,
 each with its text, its number of tags and the elements it lies in. A line's
 ratio is its text, links aside, to its tags; markup is a feature of it: lines of
-regions that the markup names (nav, footer, forms, adverts, comments and the
-like) have none. Ratios are smoothed with a Gaussian over neighbouring lines, and
+elements that the markup tells as no part of an article (nav, footer, forms and
+the like) have none, nor have those whose classes or ids say so (adverts,
+comments and the like), unless their ratios say more: an element that holds more
+than half of the page's, and all of its articles, is no advert, whatever its
+names, and what names it then tells nothing of others either. Ratios are smoothed with a Gaussian over neighbouring lines, and
 lines above the threshold, a share of the smoothed ratios' deviation, are
 content if a line of their cluster is above it by itself.
 
@@ -57,6 +60,13 @@ _OUT_ANYWHERE = frozenset("ad ads advert adverts advertisement advertising spons
 #: Within an article these name its own head.
 _HEADS = frozenset("header masthead".split())
 _NOT = frozenset("has with no without is".split())
+#: Names of the readers' talk, which may be longer than the article: only a heading of the first rank in it refutes these.
+_TALK = frozenset("comment comments commentlist disqus replies respond discussion".split())
+#: Words that say nothing of what an element holds. Within an article a name with two words beside these and _OUT_WORDS may be a section's.
+_FRAME = frozenset(
+    "area bar block body bottom box button class col column container content count field form group heading id inner item items label large left link links list main meta middle module new outer"
+    " page panel post right row section slot small space span text title top unit view wrap wrapper".split()
+)
 _PARTS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])")
 #: Elements whose end tags may be left out, by what ends them; and what these items lie in.
 _ITEMS = {"li": "li", "dt": "d", "dd": "d", "tr": "tr", "option": "option"}
@@ -67,18 +77,31 @@ _COMMENT_END, _COMMENT_CLOSE = re.compile("-?>"), re.compile("--!?>")
 _NO_CHARACTER = re.compile("&#(?:0*+[0-9]{8,}|[xX]0*+[0-9A-Fa-f]{7,});?")
 
 
-def _named(names: str, inside: bool) -> int:
-    """What an element's class and id names say: 0 nothing, 1 perhaps no part of an article, 2 none. inside: it lies in one."""
-    told = 0
+def _named(names: str, inside: bool) -> tuple[bool, frozenset[str], bool]:
+    """What an element's class and id names say: perhaps no part of an article; the names that say surely none; are some of talk. inside: it lies in one."""
+    doubt, sure, talk = False, set(), False
     for name in names.split():
         parts = _PARTS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
         if _NOT.isdisjoint(parts):
-            if not _OUT_ANYWHERE.isdisjoint(parts):
-                return 2
+            anywhere = not _OUT_ANYWHERE.isdisjoint(parts)
+            if anywhere and inside:
+                others = sum(bool(p) and not p.isdigit() and p not in _OUT_WORDS and p not in _OUT_ANYWHERE and p not in _FRAME for p in parts)
+                anywhere, doubt = others < 2, doubt or others >= 2
             ends = {p for p in (parts[0], parts[-1]) if p in _OUT_WORDS}
-            if ends - _HEADS if inside else ends:
-                told = 1 if inside else 2
-    return told
+            if anywhere or (ends and not inside):
+                sure.add(name)
+                talk = talk or not _TALK.isdisjoint(parts)
+            elif ends - _HEADS:
+                doubt = True
+    return doubt, frozenset(sure), talk
+
+
+class _Named(NamedTuple):
+    """An element that names say is no part of an article, by the number of the one around it."""
+
+    around: int
+    names: frozenset[str]
+    talk: bool
 
 
 class _Open(NamedTuple):
@@ -86,6 +109,8 @@ class _Open(NamedTuple):
 
     tag: str
     out: bool
+    #: number of the innermost element that names tell; 0 is none
+    named: int
     doubt: int
     region: int
     block: int
@@ -100,13 +125,16 @@ class _Line(NamedTuple):
     tags: int
     linked: int
     out: bool
+    #: in a heading of the first rank
+    head: bool
+    named: int
     #: numbers of the doubtful element and of the article or main that hold the line; 0 is none
     doubt: int
     region: int
     block: int
 
 
-_PAGE = _Open("", False, 0, 0, 0, False, -1, -1)
+_PAGE = _Open("", False, 0, 0, 0, 0, False, -1, -1)
 
 
 class _Lines(HTMLParser):
@@ -126,6 +154,7 @@ class _Lines(HTMLParser):
         self.top = _PAGE
         #: each block's parent, blocks in order of their start tags; block 0 is the page
         self.parents = [0]
+        self.named = [_Named(0, frozenset(), False)]
         self.linked = self.regions = self.doubts = self.tags = 0
         self.parts: list[str] = []
 
@@ -152,7 +181,7 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.parts).split())
         if text:
             t = self.top
-            self.lines.append(_Line(text, self.tags, min(self.linked, len(text)), t.out, t.doubt, t.region, t.block))
+            self.lines.append(_Line(text, self.tags, min(self.linked, len(text)), t.out, self.open["h1"] > 0, t.named, t.doubt, t.region, t.block))
             self.tags = 0
         self.parts.clear()
         self.linked = 0
@@ -193,25 +222,27 @@ class _Lines(HTMLParser):
         if tag in _VOID:
             return
         t, given = self.top, {k: v or "" for k, v in attrs}
-        out, doubt, region = t.out, t.doubt, t.region
+        out, named, doubt, region = t.out, t.named, t.doubt, t.region
         if not out:
             out = (tag in _OUT) or (tag == "header" and not region) or given.get("role", "").lower() in _OUT_ROLES or "hidden" in given or bool(_UNSEEN.search(given.get("style", "")))
             if not out and tag not in ("html", "body") and ("class" in given or "id" in given):
-                told = _named(f"{given.get('class', '')} {given.get('id', '')}", bool(region))
-                out = told == 2
-                if told == 1 and not doubt:
+                perhaps, sure, talk = _named(f"{given.get('class', '')} {given.get('id', '')}", bool(region))
+                if sure:
+                    self.named.append(_Named(named, sure, talk))
+                    named = len(self.named) - 1
+                elif perhaps and not doubt:
                     self.doubts += 1
                     doubt = self.doubts
         if not out and not region and (tag in ("article", "main") or given.get("role") in ("main", "article")):
             self.regions += 1
             region = self.regions
-        if (out, doubt, region) != t[1:4]:
+        if (out, named, doubt, region) != t[1:5]:
             self._flush()
         at, block = len(self.stack), t.block
         if tag in _BLOCK:
             self.parents.append(block)
             block = len(self.parents) - 1
-        self.top = _Open(tag, out, doubt, region, block, t.link or (tag == "a" and "href" in given), at if tag in _BLOCK else t.last_block, at if tag in _SCOPES else t.last_scope)
+        self.top = _Open(tag, out, named, doubt, region, block, t.link or (tag == "a" and "href" in given), at if tag in _BLOCK else t.last_block, at if tag in _SCOPES else t.last_scope)
         self.stack.append(self.top)
         self.open[tag] += 1
 
@@ -229,7 +260,7 @@ class _Lines(HTMLParser):
         while self.stack[i].tag != tag:
             i -= 1
         below = self.stack[i - 1] if i else _PAGE
-        if tag in _BLOCK or self.top[1:5] != below[1:5]:
+        if tag in _BLOCK or self.top[1:6] != below[1:6]:
             self._flush()
         for e in self.stack[i:]:
             self.open[e.tag] -= 1
@@ -281,9 +312,40 @@ def _extended(blocks: list[int], linked: list[bool], content: np.ndarray, parent
     return [i for i, b in enumerate(blocks) if (o := owner[b]) >= 0 and (not linked[i] or ends[o][0] <= i <= ends[o][1])]
 
 
+def _ratio(x: _Line) -> float:
+    return 0.0 if x.out else (len(x.text) - x.linked) / max(x.tags, 1)
+
+
+def weighed(lines: list[_Line], named: list[_Named]) -> list[_Line]:
+    """Lines, out if an element around them is so by a name that no ratios refute.
+
+    Refuted are the names of an element with more than half of the page's ratios
+    and all lines of its articles, and for talk the page's heading too.
+    """
+    if len(named) == 1:
+        return lines
+    mass, inside, heads = ([0.0] * len(named) for _ in range(3))
+    for x in lines:
+        if not x.out:
+            mass[x.named] += _ratio(x)
+            inside[x.named] += x.region > 0
+            heads[x.named] += x.head
+    for e in range(len(named) - 1, 0, -1):
+        for sums in (mass, inside, heads):
+            sums[named[e].around] += sums[e]
+    refuted: set[str] = set()
+    for e, (_, names, talk) in enumerate(named):
+        if e and 2 * mass[e] > mass[0] and inside[e] == inside[0] and (heads[e] or not talk):
+            refuted |= names
+    out = [False] * len(named)
+    for e, (around, names, _) in enumerate(named):
+        out[e] = bool(e) and (out[around] or not names <= refuted)
+    return [x._replace(out=x.out or out[x.named]) for x in lines]
+
+
 def content_of(lines: list[_Line]) -> np.ndarray:
     """Which lines belong to clusters of content."""
-    ratios = np.array([0.0 if x.out else (len(x.text) - x.linked) / max(x.tags, 1) for x in lines])
+    ratios = np.array([*map(_ratio, lines)])
     smooth = smoothed(ratios)
     least = LAMBDA * smooth.std()
     above = (smooth > least) & np.array([not x.out for x in lines])
@@ -307,6 +369,7 @@ def main_text(html: str | None) -> str:
     p._flush()
     if not p.lines:
         return ""
+    p.lines = weighed(p.lines, p.named)
     content = content_of(p.lines)
     linked, size = Counter(), Counter()
     for x in p.lines:
