@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -493,3 +494,53 @@ def test_features_hold_few_rows_at_once():
     at, off = divmod(700, quality.SLICE)
     assert whole[at].slice(off, 1).drop_columns(["words"]).equals(apart.drop_columns(["words"]))
     assert sorted(whole[at].column("words")[off].as_py()) == sorted(apart.column("words")[0].as_py())
+
+
+def test_repeated_short_items_share_a_number():
+    """Equal items, and items that end in a short one, take neither square memory nor a span each."""
+    items = [(f"one{i}", [b"word"]) for i in range(20_000)] + [(f"two{i}", [b"a%d" % i, b"word"]) for i in range(20_000)]
+    began = time.perf_counter()
+    a = decontam.Automaton(items)
+    assert sum(map(len, a.short)) < 100_000
+    spans, found = a.matches([b"word"] * 500 + [b"a7", b"word"])
+    assert len(spans) == 501 and found == {*(f"one{i}" for i in range(20_000)), "two7"}
+    assert decontam.covered(spans) == [(0, 501)] and time.perf_counter() - began < 20
+
+
+def test_short_and_long_items_against_every_window():
+    """Items of 1 to 14 words over few words, many of them equal: spans and items as by looking everywhere."""
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        items = [(str(i), [b"%d" % w for w in rng.integers(0, 3, rng.integers(1, 15))]) for i in range(12)]
+        items += [(f"again {i}", ws) for i, ws in items[:4]]
+        toks = [b"%d" % w for w in rng.integers(0, 4, 80)]
+        hit, found = set(), set()
+        for i, ws in items:
+            m = min(10, len(ws))
+            wins = {tuple(ws[k : k + m]) for k in range(len(ws) - m + 1)}
+            for at in range(len(toks) - m + 1):
+                if tuple(toks[at : at + m]) in wins:
+                    hit |= set(range(at, at + m))
+                    found.add(i)
+        spans, got = decontam.Automaton(items).matches(toks)
+        assert got == found and {k for a, b in spans for k in range(a, b + 1)} == hit
+
+
+STORY = "<p>" + "The river rose in the night and took the old bridge with it. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "body, blocks",
+    [
+        ("<nav><a href=x>Home</a></nav><div class='el el-widget'><h1>Title</h1></div><div class='el el-widget'>" + STORY * 5 + "</div><div class=ad>Buy now</div>", 6),
+        ("<article class='post hidden-sm'>" + STORY * 5 + "</article>", 5),
+        ("<article class=widget>" + STORY * 5 + "</article><div class=widget><a href=x>Other</a></div>", 5),
+        ("<article><h1>T</h1>" + STORY + "<div class=ad-hoc-networks>" + STORY + "</div><section id=comment-on-method>" + STORY + "</section><div class=comment-list>" + STORY + "</div></article>", 4),
+        ("<div class=story><h1>T</h1>" + STORY + "</div><div id=comments>" + STORY * 5 + "</div>", 2),
+        ("<article><h1>T</h1>" + STORY + "</article><div class='sidebar widget'>" + STORY * 5 + "</div>", 2),
+        ("<div class=el-widget>" + STORY * 5 + "<div class=advert>" + STORY + "</div></div>", 5),
+    ],
+)
+def test_ratios_refute_names(body, blocks):
+    text = html.main_text(f"<html><body>{body}</body></html>")
+    assert len(text.split("\n\n")) == blocks and "Buy" not in text and "Other" not in text

@@ -44,34 +44,44 @@ class Automaton:
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
-        items = [(i, [self.vocab.setdefault(w, len(self.vocab)) for w in ws]) for i, ws in items if ws]
-        for _, seq in items:
+        numbers: dict[tuple[int, ...], int] = {}
+        #: ids by the number of their text: items of equal words share one
+        self.ids: list[list[str]] = []
+        for i, ws in items:
+            if ws:
+                seq = tuple(self.vocab.setdefault(w, len(self.vocab)) for w in ws)
+                k = numbers.setdefault(seq, len(numbers))
+                if k == len(self.ids):
+                    self.ids.append([])
+                self.ids[k].append(i)
+        for seq in numbers:
             last = 0
             for c in seq:
                 last = self._extend(last, c)
         n = len(self.len)
         #: state of the last `window` words, for states of that length or more
         self.window_of = [0] * n
-        #: shorter items ending here: [(length, item)]
-        self.short: list[list[tuple[int, str]]] = [[] for _ in range(n)]
-        self.items: dict[int, set[str]] = {}
+        #: shorter texts ending here, [(length, text)]: fewer than ``window``, as each has a length of its own
+        self.short: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        self.texts: dict[int, set[int]] = {}
         order = sorted(range(1, n), key=self.len.__getitem__)
         for v in order:
             if self.len[v] >= window:
                 u = self.link[v]
                 self.window_of[v] = v if self.len[u] < window else self.window_of[u]
-        own: dict[int, list[tuple[int, str]]] = {}
-        for i, seq in items:
+        own: dict[int, list[tuple[int, int]]] = {}
+        for seq, k in numbers.items():
             v = 0
             for c in seq:
                 v = self.next[v][c]
                 if self.len[v] >= window:  # an item's own prefix is its state's longest
-                    self.items.setdefault(self.window_of[v], set()).add(i)
+                    self.texts.setdefault(self.window_of[v], set()).add(k)
             if len(seq) < window:
-                own.setdefault(v, []).append((len(seq), i))
+                own.setdefault(v, []).append((len(seq), k))
         for v in order:
-            self.short[v] = own.get(v, []) + self.short[self.link[v]]
-        self.shortest = min([window, *(len(s) for _, s in items)])
+            above = self.short[self.link[v]]
+            self.short[v] = own[v] + above if v in own else above
+        self.shortest = min([window, *map(len, numbers)])
         self.has_short = bool(own)
 
     def _extend(self, last: int, c: int) -> int:
@@ -107,9 +117,9 @@ class Automaton:
     def matches(self, toks: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Hit stretches [first, last] in order of last, and the items they are of."""
         spans: list[tuple[int, int]] = []
-        found: set[str] = set()
+        found: set[int] = set()
         if len(toks) < self.shortest or not self.vocab:
-            return spans, found
+            return spans, set()
         ids = np.fromiter(map(self.vocab.get, toks, repeat(-1)), np.int64, len(toks))
         known = np.flatnonzero(np.diff(np.concatenate(([False], ids >= 0, [False])).astype(np.int8)))
         nxt, link, length, window = self.next, self.link, self.len, self.window
@@ -125,17 +135,20 @@ class Automaton:
                 if c in nxt[v]:
                     v = nxt[v][c]
                     n += 1
-                if n >= window and (w := self.window_of[v]) in self.items:
+                if n >= window and (w := self.window_of[v]) in self.texts:
                     states.add(w)
                     spans.append((at - window + 1, at))
                 if self.has_short:
-                    for m, i in self.short[v]:
+                    longest = 0
+                    for m, k in self.short[v]:
                         if m <= n:
-                            spans.append((at - m + 1, at))
-                            found.add(i)
+                            longest = max(longest, m)
+                            found.add(k)
+                    if longest:
+                        spans.append((at - longest + 1, at))
         for w in states:
-            found |= self.items[w]
-        return spans, found
+            found |= self.texts[w]
+        return spans, {i for k in found for i in self.ids[k]}
 
 
 def covered(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
