@@ -182,6 +182,23 @@ def test_chat_tells_no_id_from_its_name(spark):
     assert {(r.conv_id, r.n_messages) for r in got} == {(None, 1), ("null", 1), ("none", 1), ("=none", 1)}
 
 
+def test_chat_goes_by_the_order_of_turns(spark, monkeypatch):
+    """Renumbered snapshots collapse; a turn of many messages comes in bounded rows, in order."""
+    rows = [(1, t, "user", f"m{t}") for t in (0, 1, 2)] + [(2, t + 7, "user", f"m{t}") for t in (0, 1)] + [(3, 5 * t, "user", f"m{t}") for t in (0, 1, 2)]
+    rows += [(4, 0, "user", "m0"), (4, 0, "user", "m1")]  # one turn of two messages is not two turns
+    schema = "conv_id long, turn long, role string, text string"
+    got = {r.conv_id: r for r in chat.chat(spark.createDataFrame(rows, schema), Scratch(spark, "t")).collect()}
+    assert {c: r.copies for c, r in got.items()} == {1: 2, 4: 1} and got[1].n_messages == 3
+    many = spark.range(50_000).selectExpr("id % 2 conv_id", "cast(null as long) turn", "'user' role", "concat(lpad(id, 6, '0'), repeat('x', 60)) text")
+    monkeypatch.setattr(chat, "BYTES", 20_000)
+    got = chat.chat(many, Scratch(spark, "t")).orderBy("conv_id", "part").collect()
+    assert max(len(r.text) for r in got) < 80_000 and max(r.n_messages for r in got) <= 1024
+    for c in (0, 1):
+        mine = [r for r in got if r.conv_id == c]
+        assert [r.part for r in mine] == list(range(len(mine))) and sum(r.n_messages for r in mine) == 25_000
+        assert re.findall("[0-9]{6}", "".join(r.text for r in mine)) == [f"{i:06d}" for i in range(c, 50_000, 2)]
+
+
 def test_native_operators_run_no_python(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     c = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
