@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate import schema
+from tidegate.operators import frontier
 from tidegate.plans import warehouse as wh
 from tidegate.plans.engine import run
 from tidegate.plans.warehouse import Warehouse
@@ -416,3 +417,52 @@ def test_counters_and_notes_cost_no_jobs_of_their_own(spark, w):
             sc.setLocalProperty("spark.jobGroup.id", None)
         assert s.rows_fetched == s.rows_loaded > 0
         assert len(sc.statusTracker().getJobIdsForGroup(f"run-{n}")) <= 33
+
+
+def test_summary_of_months_equals_a_full_scan(spark, w, monkeypatch):
+    """Kept up through restatements, for any end; an older warehouse's months are summed up from their counts."""
+
+    def same(end):
+        scan = w.read("pageviews").groupBy("venue_id").agg(F.max("view_date").alias("last"), F.max(F.when(F.col("view_date") <= F.lit(end), F.col("view_date"))).alias("due"))
+        want = {tuple(r) for r in scan.collect()}
+        return {tuple(r) for r in frontier.stored_history(w.history(), F.lit(end)).select("venue_id", "last_stored", "last_due").collect()} == want != set()
+
+    night(w, TWO, backfill_days=70)
+    night(w, TWO[:1], today=TODAY + timedelta(days=5))
+    w.commit(wh.Commit(pageviews=w.read("pageviews").where("view_date between '2026-01-10' and '2026-01-20'").withColumn("views", F.lit(7).cast("long"))))
+    ends = [date(2026, 1, 31), date(2026, 2, 1), date(2026, 2, 14), date(2025, 12, 1), date(2026, 12, 31)]
+    assert all(map(same, ends))
+    old = w.manifest()
+    old["history"].pop("2026-01")  # as an older writer leaves it: nothing, or what is no longer so
+    old["history"]["2026-02"][0] = "pageviews/other"
+    old["version"] += 1
+    w._publish(old)
+    assert all(map(same, ends))
+    assert w.vacuum() > 0 and all(map(same, ends))
+
+
+def test_a_run_reads_no_untouched_month(spark, w, monkeypatch):
+    """Its plans scan the counts of no month but those that it writes, and rejects of no other months."""
+    one_bad = lambda a, s, e: [item(a, s, -1), *daily(a, s + timedelta(days=1), e)]
+    night(w, TWO, one_bad, backfill_days=80, max_reject_rate=0.5)
+    scanned = []
+    real = Warehouse._folders
+    monkeypatch.setattr(Warehouse, "_folders", lambda self, names, kind: scanned.extend(names) or real(self, names, kind))
+    night(w, TWO, one_bad, today=TODAY + timedelta(days=45), backfill_days=10, max_reject_rate=0.5)
+    counts = {n.rsplit("month=", 1)[1] for n in scanned if n.startswith("pageviews/")}
+    assert counts == {"2026-04"} and len(w.manifest()["pageviews"]) > 3
+    before = len(w.read("quarantine", months=["2026-01"]).inputFiles())
+    rejects = w.read("quarantine").limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(90)))).withColumn("view_date", F.add_months(F.lit(date(2024, 6, 5)), -F.col("n"))).drop("n")
+    w.commit(wh.Commit(quarantine=rejects))
+    assert w.read("quarantine").count() > 90 and len(w.read("quarantine", months=["2026-01"]).inputFiles()) == before
+
+
+def test_rejects_of_any_day_have_a_month(spark, w):
+    """Far-off and absent days are kept together, and known the second time."""
+    def odd(article, start, end):
+        return [*daily(article, start, end), item(article, start, 5, timestamp="1850010100"), item(article, start, 5, timestamp="2950010100"), item(article, start, 5, timestamp="x"), item(article, start, 5, timestamp="2031050100")]
+
+    for known in (0, 8):
+        s = night(w, TWO, odd, backfill_days=30, max_reject_rate=0.9)
+        assert s.rows_quarantined == 8 and ("8 of 8 rejected rows were already" in s.note) == bool(known)
+    assert {n.rsplit("month=", 1)[1] for n in w.manifest()["quarantine"]} == {"none", "2031-05"}

@@ -6,6 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def days_by_month(rows: DataFrame, *also: str) -> DataFrame:
+    """Per venue and month of stored rows: first (the month's first day) and days, a bit for each day that has a row.
+
+    Of two sets of rows the months go together by bit_or; a month that is written
+    anew has its row anew. A plan, an alert and the frontier need no more of the
+    counts, and a year of a venue is 12 rows. also: columns that follow from venue
+    and day's month, kept.
+    """
+    day = F.expr("shiftleft(1L, day(view_date) - 1)")
+    return rows.groupBy("venue_id", F.trunc("view_date", "month").alias("first"), *also).agg(F.bit_or(day).alias("days"))
+
+
+def stored_history(months: DataFrame, end: Column) -> DataFrame:
+    """Per venue of ``days_by_month``: last_stored, its newest day, and last_due, the newest up to ``end``."""
+    within = F.least(F.greatest(F.datediff(end, "first") + 1, F.lit(0)), F.lit(31)).cast("int")
+    due = F.col("days").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), within) - 1)
+    newest = lambda bits: F.max(F.when(bits > 0, F.date_add("first", F.length(F.bin(bits)) - 1)))
+    return months.groupBy("venue_id").agg(newest(F.col("days")).alias("last_stored"), newest(due).alias("last_due"))
+
+
 def publication_frontier(stored: DataFrame, clean: DataFrame, end: Column) -> DataFrame:
     """One row: observed, the newest day up to ``end`` that any venue has, stored or in this run; null if none has."""
     best = lambda df: df.where(F.col("view_date") <= end).agg(F.max("view_date").alias("d"))

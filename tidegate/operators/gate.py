@@ -11,6 +11,11 @@ from tidegate.schema import QualityGateFailed
 KEY = ("venue_id", "view_date", "rule")
 
 
+def reject_month(view_date: Column) -> Column:
+    """The month by which rejects are kept. Days outside this century, and absent ones, are under "none", as a reject's day may be anything."""
+    return F.when(F.year(view_date).between(2000, 2099), F.date_format(view_date, "yyyy-MM")).otherwise("none")
+
+
 def already(quarantine: DataFrame) -> DataFrame:
     return quarantine.select(*KEY).distinct()
 

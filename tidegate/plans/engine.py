@@ -40,6 +40,7 @@ class _Run:
     started: datetime
     notes: list[str]
     bad: DataFrame | None = None
+    months: list[str] | None = None
 
     def note(self, *more: str) -> str:
         return "; ".join(x for x in (*self.notes, *more) if x)
@@ -120,17 +121,15 @@ def _as_rejects(bad: DataFrame, run_id: str) -> DataFrame:
 
 
 def _fresh(warehouse: Warehouse, r: _Run) -> DataFrame:
-    return _as_rejects(gate.novel_rejects(r.bad, warehouse.read("quarantine")), r.summary.run_id)
+    return _as_rejects(gate.novel_rejects(r.bad, warehouse.read("quarantine", months=r.months)), r.summary.run_id)
 
 
 def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, source: Callable[[DataFrame], DataFrame], r: _Run) -> None:
     s, spark = r.summary, warehouse.spark
     m = warehouse.manifest()
-    stored = warehouse.read("pageviews", m)
-    # one row per stored venue: what plans, alerts and the frontier need of the counts
-    due = F.max(F.when(F.col("view_date") <= F.lit(days.end), F.col("view_date")))
-    history, before = warehouse.stage_counted(stored.groupBy("venue_id").agg(F.max("view_date").alias("last_stored"), due.alias("last_due")), s.run_id, "history", last_due=F.max("last_due"))
     end = F.lit(days.end)
+    # one row per stored venue: what plans, alerts and the frontier need of the counts, which aren't read
+    history, before = warehouse.stage_counted(frontier.stored_history(warehouse.history(m), end), s.run_id, "history", last_due=F.max("last_due"))
     plan = planning.plan_starts(venues_frame(spark, venues), warehouse.read("watermark", m), history, end, F.lit(days.floor), p.backfill_days)
     plan = warehouse.stage(plan.withColumn("end", end), s.run_id, "plan")
     r.notes.append(reports.stalled_note(plan).first().stalled)
@@ -148,11 +147,11 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
         raise _failure(failed.error_type, failed.error)
     judged, got = warehouse.stage_counted(rules.judge(items, F.lit(days.today)), s.run_id, "judged", **reports.judged_counters(end))
     clean, bad = judged.where("rule is null"), judged.where("rule is not null")
-    r.bad = bad
+    r.bad, r.months = bad, list(got["reject_months"])
 
     stats = frontier.venue_stats(judged)
     seen = plan.where("start <= end").join(stats, "venue_id", "left").join(history, "venue_id", "left").fillna(0, ["n_clean", "n_bad"]).fillna(False, ["unknown_bad"])
-    novel = gate.novel_rejects(bad, warehouse.read("quarantine", m))
+    novel = gate.novel_rejects(bad, warehouse.read("quarantine", m, r.months))
     fresh = gate.held_venues(seen.withColumn("seen", F.col("n_clean") + F.col("n_bad")), novel, p.max_reject_rate)
     evidence = [d for d in (before["last_due"], got["last_clean"]) if d is not None]
     trusted = F.lit(min(days.trust_line, max(evidence)) if evidence else None).cast("date")

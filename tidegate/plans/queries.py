@@ -189,6 +189,27 @@ def q_novel_rejects(spark, d):
     return gate.novel_rejects(_bad(j), _known(j)).select("seq", "venue_id", "view_date", "rule")
 
 
+def q_novel_by_month(spark, d):
+    """New rejects against a quarantine by month, most of it of other years: its other months aren't read."""
+    w, j = _warehouse(spark, "months"), judged(spark, d)
+    known = _known(j).select(F.lit("r").alias("run_id"), "venue_id", "article", "view_date", "rule", "detail", F.lit(None).cast("string").alias("raw"), F.lit(None).cast("timestamp_ntz").alias("seen_at"))
+    older = known.where("view_date is not null").withColumn("years", F.explode(F.sequence(F.lit(1), F.lit(4))))
+    w.commit(Commit(quarantine=known))
+    w.commit(Commit(quarantine=older.withColumn("view_date", F.add_months("view_date", -12 * F.col("years")))))
+    months = [r[0] for r in _bad(j).select(gate.reject_month(F.col("view_date"))).distinct().collect()]
+    return gate.novel_rejects(_bad(j), w.read("quarantine", months=months)).select("seq", "venue_id", "view_date", "rule")
+
+
+def q_stored_history(spark, d):
+    """What a run needs of its stored counts, from the summary that commits keep up: orders by customer and day, the last year restated."""
+    w = _warehouse(spark, "history")
+    o = _read(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("venue_id"), F.lit("orders").alias("article"), F.to_date("o_orderdate").alias("view_date"), "o_orderkey")
+    for some, run in (("o_orderkey % 3 <> 0", "first"), ("view_date >= date'1997-08-01'", "again")):
+        counts = o.where(some).groupBy("venue_id", "article", "view_date").agg(F.count(F.lit(1)).alias("views"))
+        w.commit(Commit(pageviews=counts.select("*", F.lit(run).alias("run_id"), F.lit(None).cast("timestamp_ntz").alias("loaded_at"))))
+    return frontier.stored_history(w.history(), F.lit(date(1995, 6, 17)))
+
+
 def q_held_venues(spark, d):
     return _held(judged(spark, d)).select("venue_id", "seen", "fresh", "rate", "held")
 
@@ -594,3 +615,6 @@ ORACLES["run_note"] = f"""WITH s AS ({_W}{_SHAPED}, {_MARKS}, {_STORED}, {_START
   SELECT concat_ws('; ', (SELECT string_agg(venue_id || ': gave up on ' || days || ' days', '; ' ORDER BY venue_id::INT) FROM s), (SELECT string_agg(note, '; ' ORDER BY venue_id::INT) FROM a),
     (SELECT CASE WHEN m <> k THEN (m - k) || ' of ' || m || ' rejected rows were already quarantined; gate saw ' || k END FROM c),
     (SELECT string_agg(venue_id || ': ' || fresh || '/' || seen || ' newly rejected, above the ceiling, held', '; ' ORDER BY venue_id::INT) FROM h WHERE held)) AS note"""
+ORACLES["novel_by_month"] = ORACLES["novel_rejects"]
+ORACLES["stored_history"] = """SELECT o_custkey::VARCHAR AS venue_id, max(o_orderdate)::DATE AS last_stored, max(o_orderdate) FILTER (o_orderdate::DATE <= DATE '1995-06-17')::DATE AS last_due
+  FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderdate::DATE >= DATE '1997-08-01' GROUP BY o_custkey"""

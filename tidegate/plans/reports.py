@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.operators.gate import reject_month
+
 
 def venue_profile(rows: DataFrame) -> DataFrame:
     """Per venue: days, mean views rounded, first and last day."""
@@ -31,12 +33,13 @@ def stuck_venues(watermark: DataFrame) -> DataFrame:
 
 
 def judged_counters(end: Column) -> dict[str, Column]:
-    """Aggregates over judged rows, to be observed as they are written: rows_fetched, rows_quarantined, and last_clean, the newest clean day up to ``end``."""
+    """Aggregates over judged rows, to be observed as they are written: rows_fetched, rows_quarantined, last_clean, the newest clean day up to ``end``, and reject_months, as ``reject_month`` tells them."""
     clean = F.col("rule").isNull()
     return {
         "rows_fetched": F.count(F.lit(1)),
         "rows_quarantined": F.count_if(~clean),
         "last_clean": F.max(F.when(clean & (F.col("view_date") <= end), F.col("view_date"))),
+        "reject_months": F.collect_set(F.when(~clean, reject_month(F.col("view_date")))),
     }
 
 

@@ -4,7 +4,9 @@ A commit writes new folders first and then the next version's manifest, under a
 name that only one writer can take, so all tables change together or not at all,
 and of two writers that began from one version the second is refused. A reader
 that resolved a manifest keeps its snapshot. Daily counts are kept by month: an
-upsert rewrites only the months that it touches, all in one job. Works on any
+upsert rewrites only the months that it touches, all in one job, and with them the
+venues' days of these months, from which a run plans without reading counts.
+Rejects are kept by month too, and read only of those that a run rejects of. Works on any
 Hadoop file system whose rename refuses a name that is taken.
 """
 
@@ -16,8 +18,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegate import schema
+from tidegate.operators.frontier import days_by_month
+from tidegate.operators.gate import reject_month
 from tidegate.operators.merge import upsert
 
 MANIFESTS, STAGING = "_manifests", "_staging"
@@ -105,19 +110,51 @@ class Warehouse:
 
     def _write(self, df: DataFrame, table: str) -> str:
         name = f"{table}/{uuid.uuid4().hex}"
-        df.select([F.col(f.name).cast(f.dataType) for f in schema.TABLES[table]]).write.parquet(f"{self.path}/{name}")
+        rows = df.select([F.col(f.name).cast(f.dataType) for f in schema.TABLES[table]])
+        if table == "quarantine":
+            self._write_by(reject_month(F.col("view_date")), rows, name)
+        else:
+            rows.write.parquet(f"{self.path}/{name}")
         return name
 
+    def _write_by(self, month: Column, rows: DataFrame, name: str) -> None:
+        """A folder with one of each month; a month's rows over several files where they are many, and not a file of each task."""
+        self._dealt(month, rows).drop("part").write.partitionBy("month").parquet(f"{self.path}/{name}")
+
+    def _dealt(self, month: Column, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("month", month).withColumn("part", F.pmod(F.xxhash64("venue_id"), F.lit(8))).repartition("month", "part")
+
+    def _months_of(self, name: str) -> list[str]:
+        """The folders of months in a folder."""
+        return sorted(f"{name}/{n}" for s in self._fs().listStatus(self._jvm_path(name)) if (n := s.getPath().getName()).startswith("month="))
+
     # reading
 
     def read(self, table: str, manifest: dict | None = None, months: list[str] | None = None) -> DataFrame:
-        """A table of the current snapshot, or of ``manifest``; columns that old folders lack are null. months: only those of daily counts."""
+        """A table of the current snapshot, or of ``manifest``; columns that old folders lack are null.
+
+        months: only those of daily counts, or of rejects, whose old folders, with
+        rows of any month, are always read.
+        """
         names = (manifest or self.manifest())[table]
         if table == "pageviews":
             names = [n for m, n in names.items() if months is None or m in months]
+        elif table == "quarantine" and months is not None:
+            names = [n for n in names if "/month=" not in n or n.rsplit("/month=", 1)[1] in months]
+        return self._folders(names, schema.TABLES[table])
+
+    def _folders(self, names: list[str], kind: StructType) -> DataFrame:
         if not names:
-            return self.spark.createDataFrame([], schema.TABLES[table])
-        return self.spark.read.schema(schema.TABLES[table]).parquet(*[f"{self.path}/{n}" for n in names])
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(kind).parquet(*[f"{self.path}/{n}" for n in names])
+
+    def history(self, manifest: dict | None = None) -> DataFrame:
+        """``days_by_month`` of all daily counts, as each commit has left it. Counts are read only of months whose commit left none."""
+        m = manifest or self.manifest()
+        kept = {month: days for month, (counts, days) in m.get("history", {}).items() if m["pageviews"].get(month) == counts}
+        known = self._folders([*kept.values()], schema.HISTORY)
+        rest = [month for month in m["pageviews"] if month not in kept]
+        return known.unionByName(days_by_month(self.read("pageviews", m, rest))) if rest else known
 
     # writing
 
@@ -148,9 +185,11 @@ class Warehouse:
         """The next manifest, its new folders written."""
         new = json.loads(json.dumps(now))
         if change.pageviews is not None:
-            new["pageviews"].update(self._write_months(now, change.pageviews))
+            counts = self._write_months(now, change.pageviews)
+            new["pageviews"].update(counts)
+            new["history"] = {**new.get("history", {}), **self._write_history(counts)}
         if change.quarantine is not None:
-            new["quarantine"].append(self._write(change.quarantine, "quarantine"))
+            new["quarantine"] += self._months_of(self._write(change.quarantine, "quarantine"))
         if change.watermark is not None:
             new["watermark"] = [self._write(upsert(self.read("watermark", now), change.watermark, ["venue_id"]), "watermark")]
         if change.run_log:
@@ -174,15 +213,25 @@ class Warehouse:
         touched = [r[0] for r in rows.select(month).distinct().collect()]  # one row a month
         merged = upsert(self.read("pageviews", now, touched), rows, ["venue_id", "view_date"])
         name = f"pageviews/{uuid.uuid4().hex}"
-        kinds = [F.col(f.name).cast(f.dataType) for f in schema.TABLES["pageviews"]]
-        # a month's rows over several files where they are many, and not a file of each task
-        merged.select(*kinds, month.alias("month")).repartition("month", F.pmod(F.xxhash64("venue_id"), F.lit(8))).write.partitionBy("month").parquet(f"{self.path}/{name}")
+        self._write_by(month, merged.select([F.col(f.name).cast(f.dataType) for f in schema.TABLES["pageviews"]]), name)
         return {m: f"{name}/month={m}" for m in touched}
 
+    def _write_history(self, counts: dict[str, str]) -> dict[str, list[str]]:
+        """By month, the folder of counts and that of its venues' days."""
+        if not counts:
+            return {}
+        name = f"history/{uuid.uuid4().hex}"
+        written = self._folders([*counts.values()], schema.TABLES["pageviews"]).select("venue_id", "view_date")
+        # dealt as counts are, and summed up where they lie: one shuffle
+        days = days_by_month(self._dealt(F.date_format("view_date", "yyyy-MM"), written), "month", "part")
+        days.drop("part").write.partitionBy("month").parquet(f"{self.path}/{name}")
+        return {m: [folder, f"{name}/month={m}"] for m, folder in counts.items()}
+
     def compact(self, table: str = "quarantine") -> None:
         """An append-only table's folders as one."""
         m = self.manifest()
-        m[table] = [self._write(self.read(table, m), table)]
+        name = self._write(self.read(table, m), table)
+        m[table] = self._months_of(name) if table == "quarantine" else [name]
         m["version"] += 1
         self._publish(m)
 
@@ -192,15 +241,16 @@ class Warehouse:
         Only when no one reads older snapshots or writes. Returns how many folders went.
         """
         m, fs, gone = self.manifest(), self._fs(), 0
-        for table in schema.TABLES:
-            used = set(m[table].values() if isinstance(m[table], dict) else m[table])
+        named = {**{t: m[t] for t in schema.TABLES}, "pageviews": m["pageviews"].values(), "history": [days for _, days in m.get("history", {}).values()]}
+        for table, names in named.items():
+            used = set(names)
             used |= {n.rsplit("/month=", 1)[0] for n in used}
             if self._exists(table):
                 for s in fs.listStatus(self._jvm_path(table)):
                     name = f"{table}/{s.getPath().getName()}"
                     if name not in used:
                         gone += fs.delete(s.getPath(), True)
-                    elif table == "pageviews":
+                    elif table in ("pageviews", "history"):
                         for month in fs.listStatus(s.getPath()):
                             if month.isDirectory() and f"{name}/{month.getPath().getName()}" not in used:
                                 gone += fs.delete(month.getPath(), True)

@@ -64,6 +64,8 @@ ITEMS = _struct(
     venue_id=(_S, True), article=(_S, True), venue_start=(_D, True), venue_end=(_D, True), window_start=(_D, True), window_end=(_D, True),
     seq=(_L, True), raw=(_S, True), error_type=(_S, True), error=(_S, True),
 )
+#: A venue's stored days of one month, from its first day on: bit k - 1 of ``days`` stands for day k.
+HISTORY = _struct(venue_id=(_S, True), first=(_D, True), days=(_L, True))
 TABLES = {"pageviews": PAGEVIEWS, "quarantine": QUARANTINE, "watermark": WATERMARK, "run_log": RUN_LOG}
 
 

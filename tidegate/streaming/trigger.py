@@ -127,7 +127,8 @@ def load_batch(warehouse: Warehouse, judged: DataFrame, batch: tuple[str, int],
             return
         clean, bad = rows.where("rule is null"), rows.where("rule is not null")
         seen = rows.groupBy("venue_id").agg(F.count(F.lit(1)).alias("seen"), F.count_if(F.col("rule").isNotNull()).alias("bad"))
-        known = warehouse.read("quarantine")
+        months = [r[0] for r in bad.select(gate.reject_month(F.col("view_date"))).distinct().collect()]  # one row a month
+        known = warehouse.read("quarantine", months=months)
         held = warehouse.stage(gate.held_venues(seen, gate.novel_rejects(bad, known), max_reject_rate), run_id, "venues")
         total = lambda c: F.coalesce(F.sum(c), F.lit(0))
         sums = held.agg(total("seen").alias("n"), total("bad").alias("n_bad"), total(F.when(~F.col("held"), F.col("seen") - F.col("bad"))).alias("loaded"))
