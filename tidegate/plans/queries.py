@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidegate import schema
 from tidegate.functions import scalars
-from tidegate.operators import frontier, gate, merge, planning, rules
+from tidegate.operators import frontier, gate, merge, planning, rules, verify
 from tidegate.plans import engine, reports
 from tidegate.plans.warehouse import Commit, Warehouse
 from tidegate.schema import Venue
@@ -450,6 +450,42 @@ def q_fetch_source(spark, d):
     return got.select("venue_id", F.get_json_object("raw", "$.timestamp").alias("timestamp"), "error")
 
 
+def _records(spark, d):
+    """The events as an upstream's records: all hidden, hidden from wide questions, from just the windows' own width, in part, or not at all."""
+    v, e = F.expr("cast(venue_id as int) % 5"), F.expr("seq % 3")
+    low = F.when(v == 0, 1).when(v == 1, 8).when(v == 2, 10).when((v == 3) & (e == 0), 2).when(v == 4, F.when(e == 0, 4).otherwise(1))
+    high = F.when(v == 2, 10).when((v == 4) & (e == 0), 12).when(low.isNotNull(), 1000)
+    day = F.date_format("d", "yyyyMMdd'00'")
+    raw = F.concat(F.lit('{"timestamp":"'), day, F.lit('","views":'), F.col("k").cast("string"), F.lit("}"))
+    return shaped(spark, d).select("venue_id", "article", F.col("d").alias("day"), low.alias("hidden_from"), high.alias("hidden_to"), F.col("seq").alias("pos"), raw.alias("raw"))
+
+
+def _verify_windows(spark, d):
+    r = shaped(spark, d).groupBy("venue_id", "article").agg(F.min("d").alias("start"), F.max("d").alias("end"))
+    w = planning.plan_windows(r, 10)
+    call = F.col("venue_id").cast("long") * 1000 + F.col("window_no")
+    return w.select("venue_id", "article", F.col("start").alias("venue_start"), F.col("end").alias("venue_end"), "window_start", "window_end", call.alias("call"))
+
+
+def q_verify_requests(spark, d):
+    """Every question that windows of ten days take: the window, earlier starts, halves of what is empty."""
+    asks = verify.requests(verify.verified(_verify_windows(spark, d), _records(spark, d)))
+    return asks.select("venue_id", "window_start", "ask_no", "kind", "ask_start", "ask_end", "n_days")
+
+
+def q_verify_counts(spark, d):
+    """How many questions each window takes, and what they bring."""
+    asks = verify.requests(verify.verified(_verify_windows(spark, d), _records(spark, d)))
+    of = lambda k: F.count_if(F.col("kind") == k)
+    return asks.groupBy("venue_id", "window_start").agg(F.count(F.lit(1)).alias("n_requests"), of(verify.WIDENED).alias("n_widened"), of(verify.SLICE).alias("n_slices"))
+
+
+def q_recorded_items(spark, d):
+    """The items of recorded answers as a run stages them."""
+    got = items.recorded(_records(spark, d))(_verify_windows(spark, d))
+    return got.select("venue_id", "window_start", "seq", "raw")
+
+
 def q_payload_drift(spark, d):
     """Bodies that depart from the contract, one row for each departure: broken JSON, wrong shapes, missing fields, wrong kinds."""
     s = shaped(spark, d).select("seq", "article", "stamp", "k")
@@ -618,3 +654,29 @@ ORACLES["run_note"] = f"""WITH s AS ({_W}{_SHAPED}, {_MARKS}, {_STORED}, {_START
 ORACLES["novel_by_month"] = ORACLES["novel_rejects"]
 ORACLES["stored_history"] = """SELECT o_custkey::VARCHAR AS venue_id, max(o_orderdate)::DATE AS last_stored, max(o_orderdate) FILTER (o_orderdate::DATE <= DATE '1995-06-17')::DATE AS last_due
   FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderdate::DATE >= DATE '1997-08-01' GROUP BY o_custkey"""
+_ASKS = f"""{_SHAPED},
+  recs AS (SELECT venue_id, d, seq, k, venue_id::INT % 5 AS v, seq % 3 AS e FROM shaped),
+  rec AS (SELECT venue_id, d, seq, k, CASE WHEN v = 0 THEN 1 WHEN v = 1 THEN 8 WHEN v = 2 THEN 10 WHEN v = 3 AND e = 0 THEN 2 WHEN v = 4 AND e = 0 THEN 4 WHEN v = 4 THEN 1 ELSE 9999 END AS f,
+    CASE WHEN v = 2 THEN 10 WHEN v = 4 AND e = 0 THEN 12 ELSE 1000 END AS t FROM recs),
+  ways AS (SELECT DISTINCT venue_id, d, f, t FROM rec),
+  r AS (SELECT venue_id, min(d) AS s, max(d) AS e FROM base GROUP BY venue_id),
+  wi AS (SELECT venue_id, s, e, unnest(range(0, (e - s) // 10 + 1)) AS i FROM r),
+  w AS (SELECT venue_id, i, (s + (10 * i)::INT) AS ws, least(s + (10 * i)::INT + 9, e) AS we FROM wi),
+  node AS (
+    SELECT venue_id, i, ws, we, ws AS lo, we AS hi, (SELECT count(DISTINCT d) FROM ways x WHERE x.venue_id = w.venue_id AND x.d BETWEEN ws AND we AND NOT (we - ws + 1) BETWEEN x.f AND x.t) AS n FROM w
+    UNION ALL
+    SELECT venue_id, i, ws, we, lo, hi, (SELECT count(DISTINCT d) FROM ways x WHERE x.venue_id = h.venue_id AND x.d BETWEEN lo AND hi AND NOT (hi - lo + 1) BETWEEN x.f AND x.t) AS n
+    FROM (SELECT venue_id, i, ws, we, CASE WHEN right_half = 0 THEN lo ELSE lo + ((hi - lo + 1) // 2)::INT END AS lo, CASE WHEN right_half = 0 THEN lo + ((hi - lo + 1) // 2)::INT - 1 ELSE hi END AS hi
+      FROM node, range(2) g(right_half) WHERE n = 0 AND hi > lo) h
+  ),
+  padded AS (SELECT node.*, p, (SELECT count(DISTINCT d) FROM ways x WHERE x.venue_id = node.venue_id AND x.d BETWEEN ws AND we AND NOT (we - ws + 1 + p) BETWEEN x.f AND x.t) AS np FROM node, (SELECT unnest([15, 30]) AS p) WHERE lo = ws AND hi = we AND n = 0),
+  asks AS (
+    SELECT venue_id, i, ws, we, CASE WHEN lo = ws AND hi = we THEN 'direct' ELSE 'slice' END AS kind, lo, hi, n FROM node
+    UNION ALL SELECT venue_id, i, ws, we, 'widened', ws - p, we, np FROM padded a WHERE p = 15 OR NOT EXISTS (SELECT 1 FROM padded b WHERE b.venue_id = a.venue_id AND b.ws = a.ws AND b.p = 15 AND b.np > 0)
+  )"""
+ORACLES["verify_requests"] = f"""WITH RECURSIVE {_ASKS} SELECT venue_id, ws AS window_start, (row_number() OVER (PARTITION BY venue_id, ws ORDER BY CASE kind WHEN 'direct' THEN 0 WHEN 'widened' THEN 1 ELSE 2 END, CASE WHEN kind = 'widened' THEN ws - lo ELSE lo - ws END, hi DESC) - 1)::INT AS ask_no,
+  kind, CAST(lo AS DATE) AS ask_start, CAST(hi AS DATE) AS ask_end, n::INT AS n_days FROM asks"""
+ORACLES["verify_counts"] = f"WITH RECURSIVE {_ASKS} SELECT venue_id, ws AS window_start, count(*) AS n_requests, count(*) FILTER (kind = 'widened') AS n_widened, count(*) FILTER (kind = 'slice') AS n_slices FROM asks GROUP BY venue_id, ws"
+ORACLES["recorded_items"] = f"""WITH RECURSIVE {_ASKS}, hit AS (SELECT a.venue_id, a.i, a.ws, rec.d, rec.seq, rec.k, a.kind, max(CASE WHEN a.kind = 'slice' THEN 0 ELSE 1 END) OVER (PARTITION BY a.venue_id, a.ws, rec.d) AS wide
+    FROM asks a JOIN rec ON rec.venue_id = a.venue_id AND rec.d BETWEEN greatest(a.lo, a.ws) AND a.hi AND NOT (a.hi - a.lo + 1) BETWEEN rec.f AND rec.t)
+  SELECT venue_id, ws AS window_start, (venue_id::BIGINT * 1000 + i) * 1048576 + row_number() OVER (PARTITION BY venue_id, ws ORDER BY d, seq) - 1 AS seq, '{{"timestamp":"' || strftime(d, '%Y%m%d') || '00","views":' || k || '}}' AS raw FROM hit WHERE kind <> 'slice' OR wide = 0"""

@@ -16,8 +16,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.window import Window
 
 from tidegate import schema
+from tidegate.operators import verify
 from tidegate.sources.http import fetch_window
 
 Fetch = Callable[[str, date, date], list[dict]]
@@ -91,6 +93,26 @@ def synthetic(windows: DataFrame, noise: bool = True) -> DataFrame:
     return days.select("venue_id", "article", "venue_start", "venue_end", "window_start", "window_end", (F.col("call") * CALL + F.col("pos")).cast("long").alias("seq"), item.alias("raw"), none.alias("error_type"), none.alias("error"))
 
 
+def recorded(answers: DataFrame, pads: tuple[int, ...] = schema.VERIFY_PADS) -> Callable[[DataFrame], DataFrame]:
+    """A source of recorded answers: article, day, hidden_from, hidden_to, pos and raw, asked as the API is.
+
+    Each window takes the questions of ``verify``, all in one plan without
+    Python; its items come by day, a day's by pos. Records without a day are
+    in no answer.
+    """
+
+    def source(windows: DataFrame) -> DataFrame:
+        head = ["venue_id", "article", "venue_start", "venue_end", "window_start", "window_end", "call"]
+        days = verify.found_days(verify.verified(windows.select(*head), answers, pads))
+        hidden = F.coalesce(F.col("asked_days").between(F.col("hidden_from"), F.col("hidden_to")), F.lit(False))
+        got = days.join(answers.select("article", "day", "hidden_from", "hidden_to", "pos", "raw"), ["article", "day"]).where(~hidden)
+        nth = F.row_number().over(Window.partitionBy("call").orderBy("day", "pos", "raw")) - 1
+        none = F.lit(None).cast("string")
+        return got.select(*head[:-1], (F.col("call") * CALL + nth).cast("long").alias("seq"), "raw", none.alias("error_type"), none.alias("error"))
+
+    return source
+
+
 class _Part(InputPartition):
     def __init__(self, windows: list[tuple]):
         self.windows = windows
