@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import logging
 import re
 import uuid
@@ -16,8 +17,9 @@ from tidegate import schema
 from tidegate.operators import frontier, gate, planning, rules
 from tidegate.params import Days, Params
 from tidegate.plans import reports
+from tidegate.plans.cancel import Cancellation
 from tidegate.plans.warehouse import Commit, Warehouse, utc_now
-from tidegate.schema import ApiError, QualityGateFailed, RunSummary, SchemaDriftError, Venue
+from tidegate.schema import ApiError, QualityGateFailed, RunCancelled, RunSummary, SchemaDriftError, Venue
 from tidegate.sources.dimension import venues_frame
 from tidegate.sources.items import CALL, OnExecutors
 
@@ -41,6 +43,12 @@ class _Run:
     notes: list[str]
     bad: DataFrame | None = None
     months: list[str] | None = None
+    cancellation: Cancellation | None = None
+
+    def check(self) -> None:
+        """Between two jobs: was the run told to stop?"""
+        if self.cancellation is not None:
+            self.cancellation.check()
 
     def note(self, *more: str) -> str:
         return "; ".join(x for x in (*self.notes, *more) if x)
@@ -61,25 +69,31 @@ def run(
     max_lookback_days: int = schema.MAX_LOOKBACK_DAYS,
     trust_lag_days: int = schema.TRUST_LAG_DAYS,
     source: Callable[[DataFrame], DataFrame] | None = None,
+    cancellation: Cancellation | None = None,
 ) -> RunSummary:
     """One run over ``venues``; source defaults to the HTTP API, one request at a time.
 
     A refused run leaves its rejects and its log, so that the next one knows
-    them; a failed one its log; an interrupted one nothing.
+    them; a failed one its log; an interrupted or cancelled one nothing.
     """
     p = Params(chunk_days, backfill_days, max_reject_rate, max_lookback_days, trust_lag_days)
     days = Days.of(today or datetime.now(UTC).date(), p)
-    r = _Run(RunSummary(uuid.uuid4().hex[:12], "running", len(venues)), utc_now(), [])
-    try:
-        return _logged(warehouse, venues, p, days, source or OnExecutors(), r)
-    finally:
-        warehouse.unstage(r.summary.run_id)
+    r = _Run(RunSummary(uuid.uuid4().hex[:12], "running", len(venues)), utc_now(), [], cancellation=cancellation)
+    with cancellation or contextlib.nullcontext():
+        try:
+            return _logged(warehouse, venues, p, days, source or OnExecutors(), r)
+        finally:
+            if cancellation is not None and cancellation.asked:
+                cancellation.settle()
+            warehouse.unstage(r.summary.run_id)
 
 
 def _logged(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, source: Callable[[DataFrame], DataFrame], r: _Run) -> RunSummary:
     try:
         _attempt(warehouse, venues, p, days, source, r)
     except Exception as e:
+        if r.cancellation is not None and r.cancellation.asked:
+            raise RunCancelled(f"run {r.summary.run_id} was cancelled") from e
         r.summary.status, r.summary.rows_loaded = "failed", 0
         r.summary.note = r.note(_told(e))
         refused = isinstance(e, QualityGateFailed) and r.bad is not None
@@ -134,17 +148,20 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     plan = warehouse.stage(plan.withColumn("end", end), s.run_id, "plan")
     r.notes.append(reports.stalled_note(plan).first().stalled)
 
+    r.check()
     asked = planning.plan_windows(plan, p.chunk_days)
     windows = asked.select("venue_id", F.col("wiki_article").alias("article"), F.col("start").alias("venue_start"), F.col("end").alias("venue_end"), "window_start", "window_end", "ord", "window_no")
     # requests in order, venue by venue; a venue has no more windows than days to look back
     windows = windows.withColumn("call", F.col("ord").cast("long") * p.max_lookback_days + F.col("window_no")).drop("ord", "window_no")
     windows, planned = warehouse.stage_counted(windows, s.run_id, "windows", requests=F.count(F.lit(1)))
+    r.check()
     items, fetched = warehouse.stage_counted(source(windows), s.run_id, "items", **reports.fetch_counters())
     s.requests, failed = planned["requests"], fetched["failed"]
     if failed is not None:
         s.requests = windows.where(F.col("call") <= failed.seq // CALL).count()
         s.rows_fetched = items.where(F.col("error_type").isNull() & (F.col("seq") < failed.seq)).count()
         raise _failure(failed.error_type, failed.error)
+    r.check()
     judged, got = warehouse.stage_counted(rules.judge(items, F.lit(days.today)), s.run_id, "judged", **reports.judged_counters(end))
     clean, bad = judged.where("rule is null"), judged.where("rule is not null")
     r.bad, r.months = bad, list(got["reject_months"])
@@ -159,6 +176,7 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     per = fresh.withColumn("new", frontier.advance(far, F.col("current")))
     last = F.greatest("last_stored", "last_clean")
     per = per.withColumn("alert", frontier.alert(F.col("venue_id"), F.col("wiki_article"), F.col("last_stored").isNotNull(), F.col("n_clean"), F.col("n_bad"), last, end, F.coalesce("new", "current"), p.trust_lag_days))
+    r.check()
     per = warehouse.stage(per, s.run_id, "venues")
     # one row, however many venues
     v = reports.run_report(per).first()
@@ -173,6 +191,7 @@ def _attempt(warehouse: Warehouse, venues: list[Venue], p: Params, days: Days, s
     rows = gate.drop_held(clean, per).select("venue_id", "article", "view_date", "views", F.lit(s.run_id).alias("run_id"), now.alias("loaded_at"))
     marks = per.where("not held and new is not null").select("venue_id", F.col("new").alias("last_date"), now.alias("updated_at"))
     s.note, s.status, s.rows_loaded = r.note(), "ok", v.rows_loaded
+    r.check()
     warehouse.commit(
         Commit(
             pageviews=rows if s.rows_loaded else None,

@@ -73,6 +73,10 @@ class QualityGateFailed(RuntimeError):
     """Too much of a run was rejected; nothing of it may load."""
 
 
+class RunCancelled(RuntimeError):
+    """A run that was told to stop; it leaves nothing, its log included."""
+
+
 class ApiError(RuntimeError):
     """The API's answer can't be had, or means to stop asking."""
 
