@@ -79,6 +79,15 @@ def test_nothing_anywhere_costs_2n_plus_1(nothing):
         assert len(s.asked) == 2 * n + 1
 
 
+def test_a_window_quotes_its_title_once(monkeypatch):
+    """The 61 questions of a silent window share what they begin with."""
+    quote, quoted = http.urllib.parse.quote, []
+    monkeypatch.setattr(http.urllib.parse, "quote", lambda *x, **y: quoted.append(x[0]) or quote(*x, **y))
+    s = Server(lambda a, b: None)
+    assert fetch_window("Quoted once/é", START, END, opener=s, sleep=lambda _: None) == [] and len(s.asked) == 61
+    assert quoted == ["Quoted once/é"]
+
+
 def test_only_the_exact_window_refused():
     s = Server(lambda a, b: None if (a, b) == (START, END) else [item(d) for d in days(a, b)])
     got = ask(s)

@@ -12,9 +12,10 @@ from collections.abc import Callable, Iterable, Iterator
 from datetime import date
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.window import Window
 
@@ -25,7 +26,9 @@ from tidegate.sources.http import fetch_window
 Fetch = Callable[[str, date, date], list[dict]]
 #: Items of one call; a call has far fewer.
 CALL = 1 << 20
-_COLUMNS = schema.ITEMS.names
+_TYPES = {T.StringType(): pa.string(), T.DateType(): pa.date32(), T.LongType(): pa.int64()}
+_ARROW = pa.schema([(f.name, _TYPES[f.dataType]) for f in schema.ITEMS])
+_encode = json.JSONEncoder(ensure_ascii=False).encode
 
 
 def _rows(fetch: Fetch, windows: Iterable[tuple]) -> Iterator[tuple]:
@@ -38,7 +41,7 @@ def _rows(fetch: Fetch, windows: Iterable[tuple]) -> Iterator[tuple]:
             yield (*head, call * CALL, None, type(e).__name__, str(e))
             return
         for i, item in enumerate(items):
-            raw = item if isinstance(item, str) else json.dumps(item, ensure_ascii=False)
+            raw = item if isinstance(item, str) else _encode(item)
             yield (*head, call * CALL + i, raw, None, None)
 
 
@@ -51,18 +54,18 @@ class OnExecutors:
     def __call__(self, windows: DataFrame) -> DataFrame:
         fetch = self.fetch
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            windows = (w for b in batches for w in b.itertuples(index=False, name=None))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            windows = (w for b in batches for w in zip(*(c.to_pylist() for c in b.columns), strict=True))
             # all of a task's windows are one run of requests: a failure ends it
             rows = _rows(fetch, windows)
             while held := list(islice(rows, 10_000)):
-                yield pd.DataFrame(held, columns=_COLUMNS)
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held, strict=True), _ARROW.types, strict=True)], schema=_ARROW)
             for _ in windows:  # unasked
                 pass
 
         cols = windows.select("venue_id", "article", "venue_start", "venue_end", "window_start", "window_end", "call")
         dealt = cols.repartition(self.parallelism, "venue_id") if self.parallelism > 1 else cols.coalesce(1)
-        return dealt.sortWithinPartitions("call").mapInPandas(run, schema.ITEMS)
+        return dealt.sortWithinPartitions("call").mapInArrow(run, schema.ITEMS)
 
 
 class OnDriver:
