@@ -3,6 +3,7 @@
 import json
 from datetime import date, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,18 @@ def test_titles_are_compared_whole(spark, tmp_path, monkeypatch):
     assert [r[1] for r in ask()] == [False, True, False, None, True]  # what lies after line 1 is seen
 
 
+def test_long_titles_reach_python_in_bounded_batches(spark, tmp_path, monkeypatch):
+    spark.range(0, 200, 1, 1).selectExpr("id as doc_id", "concat(repeat('\u00e9', 100000), id) as text").write.parquet(f"{tmp_path}/documents.parquet")
+
+    @F.arrow_udf("boolean")
+    def same(got: pa.Array, asked: pa.Array) -> pa.Array:
+        assert got.nbytes + asked.nbytes < 32 << 20, "all 200 texts at once are 100 MB"
+        return pa.array([True] * len(got), pa.bool_())
+
+    monkeypatch.setattr(scalars, "_same_nfc", same)
+    assert queries.q_title_nfc_match(spark, str(tmp_path)).where("same and odd").count() == 200
+
+
 def test_scalars(spark):
     r = spark.range(1).select(
         scalars.reject_rate(F.lit(0), F.lit(0)).alias("a"), scalars.reject_rate(F.lit(1), F.lit(4)).alias("b"), scalars.url_quote(F.lit("é *~/(a)")).alias("c"),

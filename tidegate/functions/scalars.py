@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +16,14 @@ def nfc(title: str) -> str:
     return unicodedata.normalize("NFC", title)
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(nfc, na_action="ignore")
+def _same(got: pa.Scalar, asked: pa.Scalar) -> bool | None:
+    """One pair of texts at a time becomes Python's; null if either is."""
+    return nfc(got.as_py()) == nfc(asked.as_py()) if got.is_valid and asked.is_valid else None
+
+
+@F.arrow_udf(T.BooleanType())
+def _same_nfc(got: pa.Array, asked: pa.Array) -> pa.Array:
+    return pa.array(map(_same, got, asked), pa.bool_())
 
 
 def is_ascii(c: Column) -> Column:
@@ -32,7 +37,7 @@ def looks_alike(got: Column, asked: Column) -> Column:
 
 def same_nfc(got: Column, asked: Column) -> Column:
     """Equality up to NFC, in Python: Spark has no normalize(), and its collations equate too much."""
-    return _nfc(got) == _nfc(asked)
+    return _same_nfc(got, asked)
 
 
 def same_title(got: Column, asked: Column) -> Column:
