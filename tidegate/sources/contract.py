@@ -19,6 +19,12 @@ def _kind(v: Column, text: Column) -> Column:
     return out.when(F.regexp_like(text, F.lit(r"\A\s*-?[0-9]+\s*\z")), "int").otherwise("float")
 
 
+def _bound(df: DataFrame, **cols: Column) -> DataFrame:
+    """df with ``cols``, each worked out once a row: behind explode() no filter or projection takes them up again."""
+    made = df.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))).alias("bound__"))
+    return made.select(*df.columns, *[F.col(f"bound__.{n}").alias(n) for n in cols])
+
+
 def parse_bodies(responses: DataFrame, body: str = "body", article: str = "article") -> tuple[DataFrame, DataFrame]:
     """(items, drift) of 200 answers.
 
@@ -28,9 +34,11 @@ def parse_bodies(responses: DataFrame, body: str = "body", article: str = "artic
     the run; the first by its own order and pos is the one to report.
     """
     keep = [c for c in responses.columns if c != body]
-    text = F.when(F.is_valid_utf8(F.col(body).cast("string")), F.col(body).cast("string"))
-    r = responses.withColumn("v__", F.try_parse_json(text)).withColumn("text__", text)
-    items = F.try_variant_get(F.col("v__"), "$.items", "variant")
+    whole = F.col(body).cast("string")
+    r = _bound(responses, text__=F.when(F.is_valid_utf8(whole), whole))
+    r = _bound(r, v__=F.try_parse_json("text__"))
+    r = _bound(r, items__=F.try_variant_get("v__", "$.items", "variant"))
+    text, items = F.col("text__"), F.col("items__")
     kind = F.schema_of_variant(items)
     wrong = (
         F.when(F.col("v__").isNull(), "the body is no UTF-8 JSON")
@@ -38,14 +46,15 @@ def parse_bodies(responses: DataFrame, body: str = "body", article: str = "artic
         .when(kind.isNull() | (kind == "VOID"), "the body has no 'items'")
         .when(~kind.startswith("ARRAY"), F.concat(F.lit("'items' is "), _kind(items, F.get_json_object("text__", "$.items")), F.lit(", not a list")))
     )
-    r = r.withColumn("wrong__", wrong)
+    r = _bound(r, wrong__=wrong)
     # an item's text is kept as it came; its kind is told apart from the text, as a string may hold an object's
-    listed = F.get_json_object("text__", "$.items")
+    ok = _bound(r.where("wrong__ is null"), listed__=F.get_json_object("text__", "$.items"))
+    listed = F.col("listed__")
     both = F.arrays_zip(F.from_json(listed, "array<string>").alias("raw"), F.from_json(listed, "array<variant>").alias("v"))
-    ok = r.where("wrong__ is null").select(*keep, F.posexplode(both).alias("pos", "item__")).select(*keep, "pos", F.col("item__.raw").alias("raw"), F.col("item__.v").alias("v__"))
+    ok = ok.select(*keep, F.posexplode(both).alias("pos", "item__")).select(*keep, "pos", F.col("item__.raw").alias("raw"), F.col("item__.v").alias("v__"))
     kind = F.when(F.col("raw").isNull(), "NoneType").otherwise(_kind(F.col("v__"), F.col("raw")))
     shape = F.when(kind != "dict", F.concat(F.lit("an item is "), kind, F.lit(", not an object")))
-    judged = ok.withColumn("message", F.coalesce(shape, item_drift(F.col("raw"))))
+    judged = _bound(ok, message=F.coalesce(shape, item_drift(F.col("raw"))))
     told = lambda df, pos: df.select(*keep, pos.cast("int").alias("pos"), F.concat(F.col(article), F.lit(": "), F.col("message")).alias("message"))
     drift = told(r.where("wrong__ is not null").withColumn("message", F.col("wrong__")), F.lit(-1)).union(told(judged.where("message is not null"), F.col("pos")))
     return judged.where("message is null").select(*keep, "pos", "raw"), drift
